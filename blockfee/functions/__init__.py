@@ -1,6 +1,6 @@
 """Column functions; every one compiles to built-in Spark expressions."""
 
-from blockfee.functions.literal import cut_list, literal_to_json, split_ids
+from blockfee.functions.literal import JSON_OPTIONS, cut_list, list_items, literal_to_json
 from blockfee.functions.money import (
     SATOSHI_PER_COIN,
     block_subsidy,
@@ -12,14 +12,15 @@ from blockfee.functions.money import (
 from blockfee.functions.text import ascii_only, normalise_text, to_json_text, unescape
 
 __all__ = [
+    "JSON_OPTIONS",
     "SATOSHI_PER_COIN",
     "ascii_only",
     "block_subsidy",
     "cut_list",
+    "list_items",
     "literal_to_json",
     "normalise_text",
     "round_coin",
-    "split_ids",
     "subsidy_sat",
     "to_coin",
     "to_json_text",

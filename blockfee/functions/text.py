@@ -51,27 +51,43 @@ def _decode_token(token: Column) -> Column:
     )
 
 
+_NON_ASCII = r"[^\x00-\x7F]+"
+
+
+def _has_escape(text: Column) -> Column:
+    return F.contains(text, F.lit("\\"))
+
+
+def _has_non_ascii(text: Column) -> Column:
+    return F.octet_length(text) != F.char_length(text)
+
+
+def _decoded(text: Column) -> Column:
+    tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
+    return F.array_join(F.transform(tokens, _decode_token), "")
+
+
 def unescape(text: Column) -> Column:
     """Decode backslash escapes (``\\n``, ``\\xhh``, ``\\uhhhh``, octal, ...).
 
     Unknown and incomplete escapes stay as they are. Text without a backslash,
     the usual case, skips the tokeniser.
     """
-    tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
-    decoded = F.array_join(F.transform(tokens, _decode_token), "")
-    return F.when(F.contains(text, F.lit("\\")), decoded).otherwise(text)
+    return F.when(_has_escape(text), _decoded(text)).otherwise(text)
 
 
 def ascii_only(text: Column) -> Column:
     """Drop every non-ASCII character; pure ASCII text passes untouched."""
-    return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(
-        F.regexp_replace(text, r"[^\x00-\x7F]+", "")
-    )
+    return F.when(_has_non_ascii(text), F.regexp_replace(text, _NON_ASCII, "")).otherwise(text)
 
 
 def normalise_text(text: Column) -> Column:
     """Unescape, then drop what is not ASCII."""
-    return ascii_only(unescape(text))
+    return (
+        F.when(_has_escape(text), F.regexp_replace(_decoded(text), _NON_ASCII, ""))
+        .when(_has_non_ascii(text), F.regexp_replace(text, _NON_ASCII, ""))
+        .otherwise(text)
+    )
 
 
 def to_json_text(**fields: Column) -> Column:

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from blockfee.operators.once import with_columns_once
+
 # Names under which results are stored.
 FEE_FAMILY, FEE_QUALIFIER = "tx_fee_col", "tx_fee"
 JSON_FAMILY, JSON_QUALIFIER = "cfamily", "cats_json"
@@ -20,7 +22,7 @@ def fee_cells(fees: DataFrame, value: str = "fee_btc", rowkey: str = "height") -
 
 def json_records(lines: DataFrame, id_path: str = "$.id") -> DataFrame:
     """Add the ``id`` of each JSON line and ``reason`` (null if it has one)."""
-    keyed = lines.withColumn("id", F.get_json_object("value", id_path))
+    keyed = with_columns_once(lines, id=F.get_json_object("value", id_path))
     return keyed.withColumn("reason", F.when(F.col("id").isNull(), "no_id"))
 
 

@@ -12,7 +12,8 @@ lines printed in one exact field order and six-digit heights.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockfee.functions import cut_list, literal_to_json, normalise_text, split_ids
+from blockfee.functions import JSON_OPTIONS, cut_list, list_items, literal_to_json, normalise_text
+from blockfee.operators.once import with_columns_once
 from blockfee.schemas import BLOCK, EXPLORER_BLOCK
 
 # Places of fields in positional lines, counted in colons from 0.
@@ -25,8 +26,6 @@ EXPLORER_FEE_TAIL = 15
 
 TXID = "^[0-9a-f]{64}$"
 
-_JSON_OPTIONS = {"allowSingleQuotes": "true"}
-
 
 def _segment(text: Column, place: int) -> Column:
     return F.split_part(text, F.lit(":"), F.lit(place + 1))
@@ -47,52 +46,40 @@ def _reference_reason(closed: bool) -> Column:
     return F.when(~usable, F.coalesce(_unreadable(F.col("value"), closed), bad))
 
 
-def _node_record(value: Column) -> tuple[Column, Column]:
-    """Header struct and printed transaction list of a node block line."""
-    rest, items = cut_list(value, "tx")
-    return F.from_json(literal_to_json(rest), BLOCK, _JSON_OPTIONS), items
-
-
 def node_references(lines: DataFrame, mode: str = "named") -> DataFrame:
     """Height and id of the generation transaction of each node block line.
 
     Adds ``height_text`` (as printed), ``height``, ``txid`` and ``reason``.
     """
     if mode == "positional":
-        text = normalise_text(F.col("value"))
-        parsed = lines.withColumns(
-            {
-                "height_text": F.substring(_segment(text, NODE_HEIGHT_SEGMENT), 2, 6),
-                "txid": F.substring(_segment(text, NODE_TX_SEGMENT), 5, 64),
-            }
+        texts = with_columns_once(lines, _text=normalise_text(F.col("value")))
+        parsed = with_columns_once(
+            texts,
+            height_text=F.substring(_segment(F.col("_text"), NODE_HEIGHT_SEGMENT), 2, 6),
+            txid=F.substring(_segment(F.col("_text"), NODE_TX_SEGMENT), 5, 64),
         ).withColumn("height", F.col("height_text").try_cast("bigint"))
-        return parsed.withColumn("reason", _reference_reason(closed=False))
+        return with_columns_once(parsed, reason=_reference_reason(closed=False)).drop("_text")
     if mode == "named":
-        record, items = _node_record(F.col("value"))
-        first_item = F.substring_index(items, ",", 1)
-        parsed = lines.withColumns(
-            {
-                "height": record["height"],
-                "txid": F.coalesce(
-                    F.nullif(F.regexp_extract(first_item, "[0-9a-f]+", 0), F.lit("")),
-                    F.get(record["tx"], 0),
-                ),
-            }
-        ).withColumn("height_text", F.col("height").cast("string"))
-        return parsed.withColumn("reason", _reference_reason(closed=True))
+        parsed = with_columns_once(
+            lines,
+            height_text=F.regexp_extract("value", r"'height': (\d+)", 1),
+            txid=F.regexp_extract("value", r"'tx': \[u?'([0-9a-f]*)'", 1),
+        ).withColumn("height", F.col("height_text").try_cast("bigint"))
+        return with_columns_once(parsed, reason=_reference_reason(closed=True))
     raise ValueError(f"unknown parse mode: {mode!r}")
 
 
 def node_blocks(lines: DataFrame) -> DataFrame:
     """Every field of each node block line, by name, plus ``txid`` and ``reason``."""
-    record, items = _node_record(F.col("value"))
-    parsed = lines.withColumns({"_record": record, "_items": items})
-    fields = {
-        name: F.col("_record")[name] for name in BLOCK.fieldNames() if name != "tx"
-    }
-    fields["tx"] = F.coalesce(split_ids(F.col("_items")), F.col("_record")["tx"])
+    value = F.col("value")
+    parsed = with_columns_once(
+        lines,
+        _record=F.from_json(literal_to_json(cut_list(value, "tx")), BLOCK, JSON_OPTIONS),
+        tx=list_items(value, "tx"),
+    )
+    fields = {name: F.col("_record")[name] for name in BLOCK.fieldNames() if name != "tx"}
     blocks = parsed.withColumns(fields).withColumn("txid", F.get("tx", 0))
-    return blocks.withColumn("reason", _reference_reason(closed=True)).drop("_record", "_items")
+    return with_columns_once(blocks, reason=_reference_reason(closed=True)).drop("_record")
 
 
 def explorer_fields(lines: DataFrame, mode: str = "named") -> DataFrame:
@@ -102,40 +89,32 @@ def explorer_fields(lines: DataFrame, mode: str = "named") -> DataFrame:
     texts as cut: ``height_text``, ``fee_text`` and ``fee_text_padded`` (which
     keeps the blank in front).
     """
-    if mode == "positional":
-        text = normalise_text(F.col("value"))
-        fee = _segment(text, EXPLORER_FEE_SEGMENT)
-        kept = F.length(fee) - EXPLORER_FEE_TAIL
-        parsed = lines.withColumns(
-            {
-                "height_text": F.substring(_segment(text, EXPLORER_HEIGHT_SEGMENT), 2, 6),
-                "fee_text": F.substr(fee, F.lit(2), F.greatest(kept - 1, F.lit(0))),
-                "fee_text_padded": F.substr(fee, F.lit(1), F.greatest(kept, F.lit(0))),
-            }
-        ).withColumns(
-            {
-                "height": F.col("height_text").try_cast("bigint"),
-                "fee_sat": F.col("fee_text").try_cast("bigint"),
-            }
-        )
-    elif mode == "named":
-        rest, _ = cut_list(F.col("value"), "transaction_hashes")
-        parsed = lines.withColumn(
-            "_record", F.from_json(literal_to_json(rest), EXPLORER_BLOCK, _JSON_OPTIONS)
-        )
-        parsed = parsed.withColumns(
-            {
-                "height": F.col("_record")["height"],
-                "fee_sat": F.col("_record")["fees"],
-            }
-        ).drop("_record")
-    else:
-        raise ValueError(f"unknown parse mode: {mode!r}")
-
     bad = F.when(F.col("height").isNull(), "bad_height").when(
         F.col("fee_sat").isNull(), "bad_fee"
     )
     unreadable = _unreadable(F.col("value"), closed=mode == "named")
+    if mode == "positional":
+        texts = with_columns_once(lines, _text=normalise_text(F.col("value")))
+        segments = with_columns_once(
+            texts,
+            height_text=F.substring(_segment(F.col("_text"), EXPLORER_HEIGHT_SEGMENT), 2, 6),
+            _fee=_segment(F.col("_text"), EXPLORER_FEE_SEGMENT),
+        )
+        kept = F.length("_fee") - EXPLORER_FEE_TAIL
+        parsed = segments.withColumns(
+            {
+                "fee_text": F.substr("_fee", F.lit(2), F.greatest(kept - 1, F.lit(0))),
+                "fee_text_padded": F.substr("_fee", F.lit(1), F.greatest(kept, F.lit(0))),
+                "height": F.col("height_text").try_cast("bigint"),
+            }
+        ).withColumn("fee_sat", F.col("fee_text").try_cast("bigint"))
+        reason = F.when(bad.isNotNull(), F.coalesce(unreadable, bad))
+        return with_columns_once(parsed, reason=reason).drop("_text", "_fee")
     if mode == "named":
-        return parsed.withColumn("reason", F.coalesce(unreadable, bad))
-    return parsed.withColumn("reason", F.when(bad.isNotNull(), F.coalesce(unreadable, bad)))
+        rest = cut_list(F.col("value"), "transaction_hashes")
+        record = F.from_json(literal_to_json(rest), EXPLORER_BLOCK, JSON_OPTIONS)
+        parsed = with_columns_once(lines, _record=record).withColumns(
+            {"height": F.col("_record")["height"], "fee_sat": F.col("_record")["fees"]}
+        )
+        return with_columns_once(parsed, reason=F.coalesce(unreadable, bad)).drop("_record")
+    raise ValueError(f"unknown parse mode: {mode!r}")

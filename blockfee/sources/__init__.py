@@ -2,5 +2,6 @@
 
 from blockfee.sources.heights import height_range
 from blockfee.sources.lines import line_segments, lines_with, read_lines, stream_lines
+from blockfee.sources.spread import spread
 
-__all__ = ["height_range", "line_segments", "lines_with", "read_lines", "stream_lines"]
+__all__ = ["height_range", "line_segments", "lines_with", "read_lines", "spread", "stream_lines"]

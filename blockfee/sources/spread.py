@@ -1,0 +1,14 @@
+"""Parallelism of small scans."""
+
+from pyspark.sql import DataFrame
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Share out a scan that has fewer splits than the session has cores.
+
+    A file in one piece (small, or compressed in a way that cannot be split)
+    would be parsed by a single task. Scans with enough splits, so all large
+    ones, stay as they are and are not shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 from blockfee.functions import to_json_text
 from blockfee.operators import output_values
+from blockfee.operators.once import with_columns_once
+from blockfee.sources import spread
 
 FIRST_HEIGHT = 210_000
 
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+
 # Fixed value: text that a loader prints between the records.
 STRAY_TEXT = "No data from Hbase"
 
@@ -45,7 +49,7 @@ def _text(*parts) -> Column:
 
 def node_lines(spark: SparkSession, sf_dir: str, height: Column | None = None) -> DataFrame:
     """One printed block per order, with the order's own columns beside it."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders").select(*ORDER_COLUMNS))
     key = F.col("o_orderkey").cast("string")
     previous = F.when(F.col("o_orderkey") == 0, F.lit("")).otherwise(
         _text(", u'previousblockhash': u'", _sha("h", (F.col("o_orderkey") - 1).cast("string")), "'")
@@ -69,7 +73,7 @@ def node_lines(spark: SparkSession, sf_dir: str, height: Column | None = None) -
         "'", previous,
         ", u'nextblockhash': ", following, "}",
     )
-    return orders.withColumn("value", line)
+    return with_columns_once(orders, value=line)
 
 
 def flawed_node_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,19 +99,22 @@ def explorer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         fees,
         ", u'difficulty': 1}",
     )
-    return table(spark, sf_dir, "orders").withColumn("value", line)
+    orders = spread(table(spark, sf_dir, "orders").select(*ORDER_COLUMNS))
+    return with_columns_once(orders, value=line)
 
 
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON record per event; ``id`` is the number kept in its properties."""
-    events = table(spark, sf_dir, "events")
+    events = spread(
+        table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
+    )
     record = to_json_text(
         id=F.get_json_object("props", "$.k").cast("bigint"),
         event=F.col("event_id"),
         user=F.col("user_id"),
         type=F.col("event_type"),
     )
-    return events.select(record.alias("value"))
+    return with_columns_once(events, value=record).select("value")
 
 
 def coinbase(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +131,7 @@ def coinbase(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").cast("decimal(18,8)").alias("value"),
     )
     values = output_values(outputs, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"])
-    return values.withColumn("txid", _txid(F.col("l_orderkey")))
+    return with_columns_once(values, txid=_txid(F.col("l_orderkey")))
 
 
 def loaded_heights(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,155 @@
+from decimal import Decimal
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from blockfee import functions as fn
+from tests.lines import frame
+
+
+def apply(spark, function, *values):
+    rows = spark.createDataFrame(list(enumerate(values)), "i int, value string")
+    return [r[0] for r in rows.orderBy("i").select(function(F.col("value"))).collect()]
+
+
+@pytest.mark.parametrize(
+    ("text", "plain"),
+    [
+        ("plain", "plain"),
+        ("", ""),
+        (None, None),
+        ("café", "café"),
+        (r"caf\xe9", "café"),
+        (r"café!", "café!"),
+        (r"’s", "’s"),
+        (r"\U0001f600", "\U0001f600"),
+        (r"\x41\102\n\t\'\"\\", "AB\n\t'\"\\"),
+        (r"\\x41", r"\x41"),
+        (r"\\\x41", "\\A"),
+        (r"\q", r"\q"),
+        (r"\x4", r"\x4"),
+        ("end\\", "end\\"),
+        ("joined\\\nline", "joinedline"),
+        (r"\a\b\f\r\v", "\a\b\f\r\v"),
+        (r"\UFFFFFFFF", r"\UFFFFFFFF"),
+    ],
+)
+def test_unescape(spark, text, plain):
+    assert apply(spark, fn.unescape, text) == [plain]
+
+
+def test_normalise_drops_non_ascii_raw_and_escaped(spark):
+    texts = ["café", r"caf\xe9", r"café", r"😀x", "\U0001f600x", None, "ok"]
+    assert apply(spark, fn.normalise_text, *texts) == ["caf", "caf", "caf", "x", "x", None, "ok"]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(max_size=40), min_size=20, max_size=60))
+def test_normalise_undoes_escaping(spark, texts):
+    escaped = [t.encode("unicode_escape").decode("ascii") for t in texts]
+    kept = [t.encode("ascii", "ignore").decode("ascii") for t in texts]
+    assert apply(spark, fn.normalise_text, *escaped) == kept
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(max_size=40), min_size=20, max_size=60))
+def test_ascii_only(spark, texts):
+    kept = [t.encode("ascii", "ignore").decode("ascii") for t in texts]
+    assert apply(spark, fn.ascii_only, *texts) == kept
+
+
+def test_literal_to_json(spark):
+    cases = {
+        "{u'a': u'x', u'b': None, u'c': True, u'd': False}": {
+            "a": "x", "b": None, "c": "true", "d": "false",
+        },
+        "{u'a': Decimal('2.5'), 'b': 12L, u'c': u\"it's\", u'd': [1, 2]}": {
+            "a": "2.5", "b": "12", "c": "it's", "d": "[1,2]",
+        },
+        "{u'a': u'menu', u'b': u'None', u'c': u'caf\\xe9', u'd': -1L}": {
+            "a": "menu", "b": "None", "d": "-1",
+        },
+    }
+    rows = frame(spark, *cases)
+    parsed = rows.select(
+        F.from_json(
+            fn.literal_to_json(F.col("value")), "a string, b string, c string, d string",
+            fn.JSON_OPTIONS,
+        ).alias("r")
+    ).select("r.*")
+    for row, want in zip(parsed.collect(), cases.values()):
+        assert {k: row[k] for k in want} == want
+
+
+@pytest.mark.parametrize("number", ["0E-8", "3438908.96015914", "1E+3", "-0.5"])
+def test_printed_decimals_are_exact(spark, number):
+    rows = frame(spark, f"{{u'difficulty': Decimal('{number}'), u'n': 1L}}")
+    json = fn.literal_to_json(F.col("value"))
+    record = F.from_json(json, "difficulty decimal(30,8), n bigint", fn.JSON_OPTIONS)
+    assert tuple(rows.select(record.alias("r")).first().r) == (Decimal(number), 1)
+
+
+def test_lists(spark):
+    rows = frame(spark, "{u'tx': [u'a', u'b'], u'h': 1}", "{u'tx': [], u'h': 1}", "{u'h': 1}")
+    got = rows.select(
+        fn.cut_list(F.col("value"), "tx"), fn.list_items(F.col("value"), "tx")
+    ).collect()
+    assert [r[0] for r in got] == ["{u'tx': [], u'h': 1}", "{u'tx': [], u'h': 1}", "{u'h': 1}"]
+    assert [r[1] for r in got] == [["a", "b"], [], []]
+
+
+@pytest.mark.parametrize(
+    ("height", "coins"),
+    [
+        (0, "50"),
+        (209_999, "50"),
+        (210_000, "25"),
+        (419_999, "25"),
+        (420_000, "12.5"),
+        (63 * 210_000, "0"),
+        (64 * 210_000, "0"),
+        (1_000 * 210_000, "0"),
+    ],
+)
+def test_subsidy(spark, height, coins):
+    rows = spark.createDataFrame([(height,)], "height bigint")
+    sat, by_era, fixed = rows.select(
+        fn.subsidy_sat(F.col("height")),
+        fn.block_subsidy(F.col("height"), "era"),
+        fn.block_subsidy(F.col("height"), "fixed"),
+    ).first()
+    assert sat == int(Decimal(coins) * fn.SATOSHI_PER_COIN)
+    assert by_era == Decimal(coins)
+    assert fixed == 25
+
+
+def test_money_is_exact(spark):
+    amounts = ["0.00000001", "-0.00000001", "25.00000050", "20999999.97690000", "0"]
+    rows = spark.createDataFrame([(Decimal(a),) for a in amounts], "coins decimal(18,8)")
+    sat = rows.select("coins", fn.to_satoshi(F.col("coins")).alias("sat"))
+    back = sat.select("coins", "sat", fn.to_coin(F.col("sat")).alias("back")).collect()
+    assert [r.sat for r in back] == [int(Decimal(a) * 10**8) for a in amounts]
+    assert all(r.coins == r.back for r in back)
+
+
+def test_amount_beyond_money_is_null(spark):
+    rows = spark.createDataFrame([(9 * 10**18,)], "sat bigint")
+    assert rows.select(fn.to_coin(F.col("sat"))).first()[0] is None
+
+
+def test_round_coin(spark):
+    rows = spark.createDataFrame([("0.123456785",), ("1e-9",), ("2",)], "value string")
+    got = [r[0] for r in rows.select(fn.round_coin(F.col("value"))).collect()]
+    assert got == [Decimal("0.12345679"), Decimal("0E-8"), Decimal("2")]
+
+
+def test_to_json_text(spark):
+    row = spark.range(1).select(fn.to_json_text(id=F.col("id"), name=F.lit('a"b'))).first()
+    assert row[0] == r'{"id":0,"name":"a\"b"}'
+
+
+def test_unknown_rule(spark):
+    with pytest.raises(ValueError):
+        fn.block_subsidy(F.lit(1), "none")

@@ -1,0 +1,141 @@
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from blockfee import operators as op
+from blockfee import plans, sinks, sources, streaming
+from tests.lines import OTHER, TXID, explorer_line, node_line
+from tests.test_operators import transactions
+
+
+@pytest.fixture
+def dump(tmp_path):
+    path = tmp_path / "lines"
+    path.mkdir()
+    return path
+
+
+def batches(spark, table):
+    return sorted(r[0] for r in sinks.read_table(spark, table).select("put_id").distinct().collect())
+
+
+def run(spark, dump, put, checkpoint, files=1):
+    lines = sources.stream_lines(spark, str(dump), max_files_per_trigger=files)
+    streaming.run_stream(lines, put, str(checkpoint), interval=None)
+
+
+def test_stream_equals_batch(spark, dump, tmp_path):
+    for height in range(210000, 210005):
+        (dump / f"{height}.txt").write_text(node_line(str(height)) + "\n\nstray\n")
+    known = op.coinbase_values(transactions(spark, (TXID, ["26.5"])))
+    table = str(tmp_path / "t")
+    run(spark, dump, plans.put_node_fees(lambda: known, table), tmp_path / "c")
+    assert len(batches(spark, table)) == 5
+    streamed = sinks.read_table(spark, table).select("rowkey", "value")
+    batch = op.fee_cells(plans.node_fees(sources.read_lines(spark, str(dump)), known))
+    assert sorted(streamed.collect()) == sorted(batch.select("rowkey", "value").collect())
+
+
+def test_stream_goes_on_where_it_stopped(spark, dump, tmp_path):
+    table, checkpoint = str(tmp_path / "t"), tmp_path / "c"
+    put = plans.put_explorer_fees(table)
+    (dump / "a.txt").write_text(explorer_line())
+    run(spark, dump, put, checkpoint)
+    (dump / "b.txt").write_text(explorer_line("210001", "5"))
+    run(spark, dump, put, checkpoint)
+    rows = {(r.rowkey, r.value, r.put_id) for r in sinks.read_table(spark, table).collect()}
+    assert rows == {("210000", "11294626", 0), ("210001", "5", 1)}
+
+
+def test_failed_batch_is_put_again_under_its_number(spark, dump, tmp_path):
+    table, checkpoint = str(tmp_path / "t"), tmp_path / "c"
+    put = plans.put_explorer_fees(table)
+    calls = []
+
+    def failing(lines, batch_id):
+        calls.append(batch_id)
+        put(lines, batch_id)
+        if len(calls) == 1:
+            raise RuntimeError("lost after the put")
+
+    (dump / "a.txt").write_text(explorer_line())
+    with pytest.raises(StreamingQueryException):
+        run(spark, dump, failing, checkpoint)
+    run(spark, dump, failing, checkpoint)
+    assert calls == [0, 0]
+    assert sinks.read_table(spark, table).count() == 1
+
+
+def test_late_transaction_is_found_as_pending(spark, dump, tmp_path):
+    table, refused = str(tmp_path / "t"), str(tmp_path / "q")
+    lines = [node_line("210000"), node_line("210001", tx=[OTHER]), "stray"]
+    (dump / "a.txt").write_text("\n".join(lines))
+    first = transactions(spark, (TXID, ["26"]))
+    later = first.unionByName(transactions(spark, (OTHER, ["27"])))
+    known = {"transactions": first}
+    put = plans.put_node_fees(
+        lambda: op.coinbase_values(known["transactions"]), table, quarantine=refused
+    )
+    run(spark, dump, put, tmp_path / "c")
+    reasons = sinks.read_table(spark, refused).select("height", "reason", "value").collect()
+    assert sorted((r.height or 0, r.reason, r.value) for r in reasons) == [
+        (0, "stray_text", "stray"),
+        (210001, "missing_transaction", None),
+    ]
+
+    loaded = sinks.read_table(spark, table).select(F.col("rowkey").cast("bigint").alias("height"))
+    pending = op.pending_heights(sources.height_range(spark, 210000, 210002), loaded)
+    assert [r.height for r in pending.collect()] == [210001]
+
+    known["transactions"] = later
+    (dump / "again.txt").write_text(lines[1])
+    run(spark, dump, put, tmp_path / "c")
+    values = {r.rowkey: r.value for r in sinks.read_table(spark, table).collect()}
+    assert values == {"210000": "1.00000000", "210001": "2.00000000"}
+
+
+def test_explorer_quarantine(spark, tmp_path):
+    from tests.lines import frame
+
+    table, refused = str(tmp_path / "t"), str(tmp_path / "q")
+    put = plans.put_explorer_fees(table, quarantine=refused, value="fee_btc")
+    put(frame(spark, explorer_line(), "", explorer_line("None")), 0)
+    assert [r.value for r in sinks.read_table(spark, table).collect()] == ["0.11294626"]
+    rows = sinks.read_table(spark, refused).collect()
+    assert sorted(r.reason for r in rows) == ["bad_height", "empty_line"]
+
+
+def test_json_stream_keeps_the_newest(spark, dump, tmp_path):
+    table = str(tmp_path / "t")
+    (dump / "a.txt").write_text('{"id": 1, "n": 1}\n{"id": 2, "n": 9}\nbad\n{"name": 0}\n')
+    run(spark, dump, plans.put_json(table), tmp_path / "c")
+    (dump / "b.txt").write_text('{"id": 1, "n": 0}\n')
+    run(spark, dump, plans.put_json(table), tmp_path / "c")
+    newest = sinks.latest_by_key(sinks.read_table(spark, table).drop("seq"))
+    assert {r.rowkey: r.value for r in newest.collect()} == {
+        "1": '{"id": 1, "n": 0}',
+        "2": '{"id": 2, "n": 9}',
+    }
+
+
+def test_bounded_run_stops(spark, dump, tmp_path):
+    (dump / "a.txt").write_text(explorer_line())
+    table = str(tmp_path / "t")
+    lines = sources.stream_lines(spark, str(dump))
+    streaming.run_stream(lines, plans.put_explorer_fees(table), str(tmp_path / "c"), timeout=8)
+    assert not spark.streams.active
+    assert sinks.read_table(spark, table).count() == 1
+
+
+def test_preview_prints_rows(spark, dump, capfd):
+    (dump / "a.txt").write_text(explorer_line())
+    lines = sources.stream_lines(spark, str(dump))
+    fees = op.explorer_fields(lines, "positional").select("fee_text_padded")
+    streaming.preview_stream(fees, interval=None, timeout=None)
+    assert "11294626" in capfd.readouterr().out
+
+
+def test_work_dir_is_below_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = streaming.work_dir(spark), streaming.work_dir(spark)
+    assert first.startswith(shared) and first != second
