@@ -1,6 +1,6 @@
 """Column functions; every one compiles to built-in Spark expressions."""
 
-from blockfee.functions.literal import JSON_OPTIONS, cut_list, list_items, literal_to_json
+from blockfee.functions.literal import JSON_OPTIONS, list_items, literal_to_json
 from blockfee.functions.money import (
     SATOSHI_PER_COIN,
     block_subsidy,
@@ -16,7 +16,6 @@ __all__ = [
     "SATOSHI_PER_COIN",
     "ascii_only",
     "block_subsidy",
-    "cut_list",
     "list_items",
     "literal_to_json",
     "normalise_text",

@@ -4,19 +4,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def cut_list(text: Column, key: str) -> Column:
-    """Empty the flat list stored under ``key`` of a printed dict.
-
-    Id lists are nearly the whole of a block line. Without them only a short
-    remainder meets the rewriting below and the JSON parser.
-    """
-    return F.regexp_replace(text, rf"('{key}': \[)[^\]]*", "$1")
-
-
-def list_items(text: Column, key: str) -> Column:
-    """The ids of the flat list stored under ``key``, in order."""
-    inner = F.regexp_extract(text, rf"'{key}': \[u?'([^\]]*)'\]", 1)
-    return F.array_remove(F.split(inner, r"',\s*u?'"), "")
+def list_items(printed: Column) -> Column:
+    """The ids of a printed flat list, given what stands between its brackets."""
+    return F.array_remove(F.split(F.btrim(printed, F.lit("u'")), "', u?'"), "")
 
 
 # Every look-behind follows the letter it belongs to: the search then stops only

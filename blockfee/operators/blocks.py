@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from blockfee.operators.once import with_columns_once
+
 
 def block_headers(blocks: DataFrame) -> DataFrame:
     """Header table; the first block has no predecessor and gets an empty text."""
@@ -24,7 +26,9 @@ def block_headers(blocks: DataFrame) -> DataFrame:
 
 def tx_edges(blocks: DataFrame) -> DataFrame:
     """One row per transaction of each block, with its place in the block."""
-    return blocks.select("height", F.posexplode("tx").alias("pos", "txid"))
+    # Exploding adds a filter on the list's size, which would split it twice.
+    lists = with_columns_once(blocks.select("height", "tx"), _tx=F.col("tx"))
+    return lists.select("height", F.posexplode("_tx").alias("pos", "txid"))
 
 
 def blocks_at(heights: DataFrame, blocks: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ lines printed in one exact field order and six-digit heights.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockfee.functions import JSON_OPTIONS, cut_list, list_items, literal_to_json, normalise_text
+from blockfee.functions import JSON_OPTIONS, list_items, literal_to_json, normalise_text
 from blockfee.operators.once import with_columns_once
 from blockfee.schemas import BLOCK, EXPLORER_BLOCK
 
@@ -27,8 +27,23 @@ EXPLORER_FEE_TAIL = 15
 TXID = "^[0-9a-f]{64}$"
 
 
-def _segment(text: Column, place: int) -> Column:
-    return F.split_part(text, F.lit(":"), F.lit(place + 1))
+def _with_segments(lines: DataFrame) -> DataFrame:
+    """The cleaned line, cut at its colons, as ``_segments``."""
+    return with_columns_once(lines, _segments=F.split(normalise_text(F.col("value")), ":"))
+
+
+def _with_list_cut(lines: DataFrame, key: str) -> DataFrame:
+    """Take the flat list stored under ``key`` out of a printed dict.
+
+    Adds ``_items``, the text between the brackets, and ``_rest``, the dict with
+    an empty list instead. Id lists are nearly the whole of a block line; this
+    way only the short rest meets regular expressions and the JSON parser, while
+    cutting is plain text search.
+    """
+    halves = with_columns_once(lines, _halves=F.split("value", rf"'{key}': \[", 2))
+    cut = with_columns_once(halves, _list=F.split(F.get("_halves", 1), r"\]", 2))
+    rest = F.concat_ws(f"'{key}': []", F.get("_halves", 0), F.get("_list", 1))
+    return cut.withColumns({"_rest": rest, "_items": F.get("_list", 0)}).drop("_halves", "_list")
 
 
 def _unreadable(value: Column, closed: bool) -> Column:
@@ -52,13 +67,12 @@ def node_references(lines: DataFrame, mode: str = "named") -> DataFrame:
     Adds ``height_text`` (as printed), ``height``, ``txid`` and ``reason``.
     """
     if mode == "positional":
-        texts = with_columns_once(lines, _text=normalise_text(F.col("value")))
         parsed = with_columns_once(
-            texts,
-            height_text=F.substring(_segment(F.col("_text"), NODE_HEIGHT_SEGMENT), 2, 6),
-            txid=F.substring(_segment(F.col("_text"), NODE_TX_SEGMENT), 5, 64),
+            _with_segments(lines),
+            height_text=F.substring(F.get("_segments", NODE_HEIGHT_SEGMENT), 2, 6),
+            txid=F.substring(F.get("_segments", NODE_TX_SEGMENT), 5, 64),
         ).withColumn("height", F.col("height_text").try_cast("bigint"))
-        return with_columns_once(parsed, reason=_reference_reason(closed=False)).drop("_text")
+        return with_columns_once(parsed, reason=_reference_reason(closed=False)).drop("_segments")
     if mode == "named":
         parsed = with_columns_once(
             lines,
@@ -71,15 +85,16 @@ def node_references(lines: DataFrame, mode: str = "named") -> DataFrame:
 
 def node_blocks(lines: DataFrame) -> DataFrame:
     """Every field of each node block line, by name, plus ``txid`` and ``reason``."""
-    value = F.col("value")
     parsed = with_columns_once(
-        lines,
-        _record=F.from_json(literal_to_json(cut_list(value, "tx")), BLOCK, JSON_OPTIONS),
-        tx=list_items(value, "tx"),
+        _with_list_cut(lines, "tx"),
+        _record=F.from_json(literal_to_json(F.col("_rest")), BLOCK, JSON_OPTIONS),
+        txid=F.regexp_extract("_items", "^u?'([0-9a-f]*)'", 1),
     )
     fields = {name: F.col("_record")[name] for name in BLOCK.fieldNames() if name != "tx"}
-    blocks = parsed.withColumns(fields).withColumn("txid", F.get("tx", 0))
-    return with_columns_once(blocks, reason=_reference_reason(closed=True)).drop("_record")
+    # No filter looks at the whole list, so whoever does not read it does not split it.
+    fields["tx"] = list_items(F.col("_items"))
+    blocks = with_columns_once(parsed.withColumns(fields), reason=_reference_reason(closed=True))
+    return blocks.drop("_record", "_rest", "_items")
 
 
 def explorer_fields(lines: DataFrame, mode: str = "named") -> DataFrame:
@@ -94,11 +109,10 @@ def explorer_fields(lines: DataFrame, mode: str = "named") -> DataFrame:
     )
     unreadable = _unreadable(F.col("value"), closed=mode == "named")
     if mode == "positional":
-        texts = with_columns_once(lines, _text=normalise_text(F.col("value")))
         segments = with_columns_once(
-            texts,
-            height_text=F.substring(_segment(F.col("_text"), EXPLORER_HEIGHT_SEGMENT), 2, 6),
-            _fee=_segment(F.col("_text"), EXPLORER_FEE_SEGMENT),
+            _with_segments(lines),
+            height_text=F.substring(F.get("_segments", EXPLORER_HEIGHT_SEGMENT), 2, 6),
+            _fee=F.get("_segments", EXPLORER_FEE_SEGMENT),
         )
         kept = F.length("_fee") - EXPLORER_FEE_TAIL
         parsed = segments.withColumns(
@@ -109,12 +123,14 @@ def explorer_fields(lines: DataFrame, mode: str = "named") -> DataFrame:
             }
         ).withColumn("fee_sat", F.col("fee_text").try_cast("bigint"))
         reason = F.when(bad.isNotNull(), F.coalesce(unreadable, bad))
-        return with_columns_once(parsed, reason=reason).drop("_text", "_fee")
+        return with_columns_once(parsed, reason=reason).drop("_segments", "_fee")
     if mode == "named":
-        rest = cut_list(F.col("value"), "transaction_hashes")
-        record = F.from_json(literal_to_json(rest), EXPLORER_BLOCK, JSON_OPTIONS)
-        parsed = with_columns_once(lines, _record=record).withColumns(
+        record = F.from_json(literal_to_json(F.col("_rest")), EXPLORER_BLOCK, JSON_OPTIONS)
+        cut = _with_list_cut(lines, "transaction_hashes")
+        parsed = with_columns_once(cut, _record=record).withColumns(
             {"height": F.col("_record")["height"], "fee_sat": F.col("_record")["fees"]}
         )
-        return with_columns_once(parsed, reason=F.coalesce(unreadable, bad)).drop("_record")
+        return with_columns_once(parsed, reason=F.coalesce(unreadable, bad)).drop(
+            "_record", "_rest", "_items"
+        )
     raise ValueError(f"unknown parse mode: {mode!r}")
