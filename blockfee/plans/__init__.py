@@ -1,9 +1,10 @@
 """Whole jobs, composed of operators."""
 
 from blockfee.plans.fees import explorer_fees, node_fees, reference_fees
-from blockfee.plans.puts import put_explorer_fees, put_json, put_node_fees
+from blockfee.plans.puts import Put, put_explorer_fees, put_json, put_node_fees
 
 __all__ = [
+    "Put",
     "explorer_fees",
     "node_fees",
     "put_explorer_fees",

@@ -42,13 +42,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 def latest_by_key(
     puts: DataFrame,
     keys: Sequence[str] = CELL_KEY,
-    order: Sequence[str] = ("put_id",),
+    order: Sequence[str] | None = None,
 ) -> DataFrame:
     """The newest put per key by ``order``, ties going to the greatest row.
 
-    An aggregation with one row of state per key, combined before the shuffle,
+    By default the later batch wins, and within a batch the greater ``seq``, if
+    the table has that column. An aggregation with one row of state per key, combined before the shuffle,
     so a key that was put very often costs no more than any other.
     """
+    if order is None:
+        order = [name for name in ("put_id", "seq") if name in puts.columns]
     others = [name for name in puts.columns if name not in keys and name not in order]
     newest = puts.groupBy(*keys).agg(F.max(F.struct(*order, *others)).alias("_newest"))
     return newest.select(*keys, *[F.col("_newest")[name].alias(name) for name in (*others, *order)])
@@ -59,7 +62,7 @@ def compact(
     path: str,
     new_path: str,
     keys: Sequence[str] = CELL_KEY,
-    order: Sequence[str] = ("put_id",),
+    order: Sequence[str] | None = None,
 ) -> None:
     """Write the newest put per key of a table to a new table."""
     newest = latest_by_key(read_table(spark, path), keys, order)
