@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,21 +20,32 @@ from blockfee.streaming.run import (
 )
 
 
-def _coinbase(spark: SparkSession, path: str) -> DataFrame:
+def _transactions(spark: SparkSession, path: str) -> DataFrame:
     """Values of the transactions in a parquet table (txid, vout)."""
     return op.coinbase_values(spark.read.schema(schemas.TRANSACTION).parquet(path))
 
 
+def _known(spark: SparkSession, args) -> Callable[[DataFrame], DataFrame]:
+    """Look up in the table that the coinbase job writes, or in plain transactions."""
+    if args.coinbase:
+        return sinks.coinbase_reader(spark, args.coinbase)
+    return lambda parsed: _transactions(spark, args.transactions)
+
+
 def _node_rules(args) -> dict[str, str]:
     return {"mode": args.mode, "outputs": args.outputs, "subsidy": args.subsidy}
 
 
 def _node_put(spark: SparkSession, args) -> plans.Put:
     return plans.put_node_fees(
-        lambda: _coinbase(spark, args.transactions), args.table, args.quarantine, **_node_rules(args)
+        _known(spark, args), args.table, args.quarantine, **_node_rules(args)
     )
 
 
+def coinbase(spark: SparkSession, args) -> None:
+    sinks.put_coinbase(_transactions(spark, args.transactions), args.coinbase, args.batch_id)
+
+
 def _explorer_put(spark: SparkSession, args) -> plans.Put:
     return plans.put_explorer_fees(args.table, args.quarantine, args.mode)
 
@@ -66,7 +77,7 @@ def json_stream(spark: SparkSession, args) -> None:
 
 def node_preview(spark: SparkSession, args) -> None:
     lines = sources.read_lines(spark, args.lines)
-    fees = plans.node_fees(lines, _coinbase(spark, args.transactions), **_node_rules(args))
+    fees = plans.node_fees(lines, _transactions(spark, args.transactions), **_node_rules(args))
     fees.show(args.rows, truncate=False)
 
 
@@ -104,28 +115,39 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument("--outputs", choices=["first", "all"], default="first")
             sub.add_argument("--subsidy", choices=["era", "fixed"], default="era")
 
+    def lookup(sub) -> None:
+        either = sub.add_mutually_exclusive_group(required=True)
+        either.add_argument("--transactions", help="parquet table (txid, vout)")
+        either.add_argument("--coinbase", help="table written by the coinbase job")
+
     def stream(sub, timeout: float | None) -> None:
         sub.add_argument("--interval", default=DEFAULT_INTERVAL, help="empty: what is there, then stop")
         sub.add_argument("--timeout", type=float, default=timeout, help="seconds")
         sub.add_argument("--max-files", type=int, help="files per micro-batch")
 
     for function, required, outputs in (
-        (node_batch, ["lines", "transactions", "table"], True),
+        (node_batch, ["lines", "table"], True),
         (explorer_batch, ["lines", "table"], False),
     ):
         sub = job(function, "put the fees of a text dump", *required)
         sub.add_argument("--batch-id", type=int, default=0)
         sub.add_argument("--quarantine")
         rules(sub, outputs)
+        if outputs:
+            lookup(sub)
     for function, required, outputs, timeout in (
-        (node_stream, ["lines", "transactions", "table", "checkpoint"], True, NODE_TIMEOUT_SECONDS),
+        (node_stream, ["lines", "table", "checkpoint"], True, NODE_TIMEOUT_SECONDS),
         (explorer_stream, ["lines", "table", "checkpoint"], False, EXPLORER_TIMEOUT_SECONDS),
     ):
         sub = job(function, "put the fees of lines as they arrive", *required)
         sub.add_argument("--quarantine")
         rules(sub, outputs)
         stream(sub, timeout)
+        if outputs:
+            lookup(sub)
 
+    sub = job(coinbase, "reduce transactions for lookups", "transactions", "coinbase")
+    sub.add_argument("--batch-id", type=int, default=0)
     sub = job(json_stream, "put JSON records under their id", "lines", "table", "checkpoint")
     sub.add_argument("--id-path", default="$.id")
     sub.add_argument("--seq-path")

@@ -5,7 +5,8 @@ from blockfee.operators.cells import fee_cells, json_cells, json_records
 from blockfee.operators.coinbase import (
     attach_coinbase,
     coinbase_values,
-    missing_transactions,
+    look_up_coinbase,
+    merge_copies,
     output_values,
 )
 from blockfee.operators.fees import explorer_fee, node_fee
@@ -31,7 +32,8 @@ __all__ = [
     "heights_after",
     "json_cells",
     "json_records",
-    "missing_transactions",
+    "look_up_coinbase",
+    "merge_copies",
     "node_blocks",
     "node_fee",
     "node_references",

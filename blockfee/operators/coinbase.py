@@ -7,31 +7,33 @@ from blockfee.schemas import COIN, TOTAL_COIN
 
 
 def coinbase_values(transactions: DataFrame) -> DataFrame:
-    """Reduce decoded transactions to ``first_value``, ``total_value``, ``n_outputs``.
-
-    Copies of a transaction collapse to one row, so the lookup below never
-    multiplies blocks. They merge before the shuffle, however many there are.
-    """
+    """Reduce decoded transactions to ``first_value``, ``total_value``, ``n_outputs``."""
     zero = F.lit(0).cast(TOTAL_COIN)
     outputs = F.transform("vout", lambda output: output["value"].cast(TOTAL_COIN))
-    per_row = transactions.where(F.col("txid").isNotNull()).select(
-        "txid",
-        F.get("vout", 0)["value"].cast(COIN).alias("first_value"),
-        F.aggregate(
-            outputs, zero, lambda total, value: (total + value).cast(TOTAL_COIN)
-        ).alias("total_value"),
-        F.size("vout").alias("n_outputs"),
+    return merge_copies(
+        transactions.select(
+            "txid",
+            F.get("vout", 0)["value"].cast(COIN).alias("first_value"),
+            F.aggregate(
+                outputs, zero, lambda total, value: (total + value).cast(TOTAL_COIN)
+            ).alias("total_value"),
+            F.size("vout").alias("n_outputs"),
+        )
     )
+
+
+def merge_copies(values: DataFrame) -> DataFrame:
+    """One row per transaction, so that the lookup below never multiplies blocks.
+
+    Copies merge before the shuffle, however many there are.
+    """
     # The grouping has one column more than the lookup key. The lookup then
     # shuffles both sides anew, the shape in which adaptive execution can split
     # a hot txid; the extra shuffle carries one short row per transaction.
     return (
-        per_row.groupBy("txid", F.xxhash64("txid").alias("_spread"))
-        .agg(
-            F.min("first_value").alias("first_value"),
-            F.min("total_value").alias("total_value"),
-            F.min("n_outputs").alias("n_outputs"),
-        )
+        values.where(F.col("txid").isNotNull())
+        .groupBy("txid", F.xxhash64("txid").alias("_spread"))
+        .agg(*[F.min(name).alias(name) for name in ("first_value", "total_value", "n_outputs")])
         .drop("_spread")
     )
 
@@ -64,12 +66,14 @@ def attach_coinbase(references: DataFrame, coinbase: DataFrame) -> DataFrame:
     return references.join(coinbase, "txid", "inner")
 
 
-def missing_transactions(references: DataFrame, coinbase: DataFrame) -> DataFrame:
-    """Blocks whose generation transaction is not known (yet), with the reason.
+def look_up_coinbase(parsed: DataFrame, coinbase: DataFrame) -> DataFrame:
+    """The same lookup that keeps every row and gives unknown ids a reason.
 
-    Lines already refused keep their reason and stay out of the join, so a mass
-    of them cannot pile up on one key.
+    Rows refused before get a join key of their own that matches nothing, so a
+    mass of them does not pile up in one task.
     """
-    readable = references.where(F.col("reason").isNull())
-    unknown = readable.join(coinbase.select("txid"), "txid", "left_anti")
-    return unknown.withColumn("reason", F.lit("missing_transaction"))
+    alone = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))
+    keyed = parsed.withColumn("_key", F.when(F.col("reason").isNull(), F.col("txid")).otherwise(alone))
+    found = keyed.join(coinbase.withColumnRenamed("txid", "_key"), "_key", "left").drop("_key")
+    missing = F.when(F.col("n_outputs").isNull(), "missing_transaction")
+    return found.withColumn("reason", F.coalesce("reason", missing))

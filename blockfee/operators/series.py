@@ -7,11 +7,15 @@ from blockfee.schemas import COIN, TOTAL_COIN
 
 
 def fee_series(fees: DataFrame, first: int, last: int) -> DataFrame:
-    """(height, fee) points from ``first`` to ``last``, in order of height."""
+    """(height, fee) points from ``first`` to ``last``, in order of height.
+
+    The row number breaks ties, so the sort can share out many equal points.
+    """
+    points = fees.where(F.col("height").between(first, last)).select("height", "fee_btc")
     return (
-        fees.where(F.col("height").between(first, last))
-        .select("height", "fee_btc")
-        .orderBy("height", "fee_btc")
+        points.withColumn("_row", F.monotonically_increasing_id())
+        .orderBy("height", "fee_btc", "_row")
+        .drop("_row")
     )
 
 

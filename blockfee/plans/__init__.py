@@ -1,6 +1,6 @@
 """Whole jobs, composed of operators."""
 
-from blockfee.plans.fees import explorer_fees, node_fees, reference_fees
+from blockfee.plans.fees import explorer_fees, node_fees
 from blockfee.plans.puts import Put, put_explorer_fees, put_json, put_node_fees
 
 __all__ = [
@@ -10,5 +10,4 @@ __all__ = [
     "put_explorer_fees",
     "put_json",
     "put_node_fees",
-    "reference_fees",
 ]

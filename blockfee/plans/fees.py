@@ -12,14 +12,6 @@ from blockfee.operators import (
 )
 
 
-def reference_fees(
-    references: DataFrame, coinbase: DataFrame, outputs: str = "first", subsidy: str = "era"
-) -> DataFrame:
-    """Fees of parsed node lines, by looking up their generation transactions."""
-    usable = accepted(references).select("height", "txid")
-    return node_fee(attach_coinbase(usable, coinbase), outputs, subsidy)
-
-
 def node_fees(
     lines: DataFrame,
     coinbase: DataFrame,
@@ -28,7 +20,8 @@ def node_fees(
     subsidy: str = "era",
 ) -> DataFrame:
     """Fees of node block lines; they shrink to (height, txid) before the join."""
-    return reference_fees(node_references(lines, mode), coinbase, outputs, subsidy)
+    references = accepted(node_references(lines, mode)).select("height", "txid")
+    return node_fee(attach_coinbase(references, coinbase), outputs, subsidy)
 
 
 def explorer_fees(lines: DataFrame, mode: str = "named") -> DataFrame:

@@ -12,11 +12,11 @@ from blockfee.operators import (
     fee_cells,
     json_cells,
     json_records,
-    missing_transactions,
+    look_up_coinbase,
+    node_fee,
     node_references,
     quarantined,
 )
-from blockfee.plans.fees import reference_fees
 from blockfee.sinks import put_batch
 
 Put = Callable[[DataFrame, int], None]
@@ -29,7 +29,7 @@ def _without_good_lines(parsed: DataFrame, *columns: str) -> DataFrame:
 
 
 def put_node_fees(
-    coinbase: Callable[[], DataFrame],
+    coinbase: Callable[[DataFrame], DataFrame],
     table: str,
     quarantine: str | None = None,
     mode: str = "named",
@@ -38,25 +38,24 @@ def put_node_fees(
 ) -> Put:
     """Put the fees of node block lines; refused lines go to ``quarantine``.
 
-    ``coinbase`` is called per batch, so a stream sees transactions that arrived
-    since the last one. Blocks whose transaction is still missing are set aside
-    and found again as pending heights.
+    ``coinbase`` gets the parsed lines of each batch and gives the transactions
+    to look them up in, so a stream sees those that arrived since the last batch
+    and need not read all of them. Blocks whose transaction is still missing are
+    set aside and found again as pending heights.
     """
 
     def put(lines: DataFrame, batch_id: int) -> None:
-        known = coinbase()
-        references = node_references(lines, mode)
-        if quarantine is None:
-            put_batch(fee_cells(reference_fees(references, known, outputs, subsidy)), table, batch_id)
-            return
-        # Both outputs need the parsed lines: scan the text once, keep the
-        # short result. A lost block of it is computed again from the lines.
-        parsed = _without_good_lines(references, "height", "txid").persist()
+        # The long lines are scanned once; what is kept is short, and a lost
+        # block of it is computed again from the lines.
+        parsed = _without_good_lines(node_references(lines, mode), "height", "txid").persist()
+        outcome = look_up_coinbase(parsed, coinbase(parsed)).persist()
         try:
-            put_batch(fee_cells(reference_fees(parsed, known, outputs, subsidy)), table, batch_id)
-            refused = quarantined(parsed).unionByName(missing_transactions(parsed, known))
-            put_batch(refused, quarantine, batch_id)
+            put_batch(fee_cells(node_fee(accepted(outcome), outputs, subsidy)), table, batch_id)
+            if quarantine is not None:
+                refused = quarantined(outcome).select("height", "txid", "reason", "value")
+                put_batch(refused, quarantine, batch_id)
         finally:
+            outcome.unpersist()
             parsed.unpersist()
 
     return put

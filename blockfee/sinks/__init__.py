@@ -1,5 +1,13 @@
 """Replay-safe keyed tables on plain parquet."""
 
+from blockfee.sinks.coinbase import coinbase_reader, put_coinbase
 from blockfee.sinks.tables import compact, latest_by_key, put_batch, read_table
 
-__all__ = ["compact", "latest_by_key", "put_batch", "read_table"]
+__all__ = [
+    "coinbase_reader",
+    "compact",
+    "latest_by_key",
+    "put_batch",
+    "put_coinbase",
+    "read_table",
+]

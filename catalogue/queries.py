@@ -15,7 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SERIES_FIRST, SERIES_LAST = 211_000, 214_000
 OUTLIER_COINS = 50_000
-FILES_PER_TRIGGER = 4
+MICRO_BATCHES = 3
 
 
 def _node_fees(spark: SparkSession, sf_dir: str, **rules: str) -> DataFrame:
@@ -40,6 +40,17 @@ def _written_lines(lines: DataFrame, spark: SparkSession) -> str:
     return path
 
 
+def _stream(lines: DataFrame, put: plans.Put, spark: SparkSession, base: str) -> None:
+    """Write lines as a text dump, then stream it in a few micro-batches.
+
+    Their number does not grow with the dump; each reads lookup data once.
+    """
+    files = lines.rdd.getNumPartitions()
+    dump = _written_lines(lines, spark)
+    source = sources.stream_lines(spark, dump, -(-files // MICRO_BATCHES))
+    streaming.run_stream(source, put, f"{base}/checkpoint", interval=None)
+
+
 def fee_node_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parity_fees(spark, sf_dir).select("height", "fee_btc")
 
@@ -151,27 +162,17 @@ def mode_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = standin.flawed_node_lines(spark, sf_dir)
-    parsed = op.node_references(lines)
-    known = standin.coinbase(spark, sf_dir)
-    usable = op.attach_coinbase(parsed.where(F.col("reason").isNull()), known)
-    outcome = (
-        op.quarantined(parsed)
-        .select("reason")
-        .unionByName(op.missing_transactions(parsed, known).select("reason"))
-        .unionByName(usable.select("reason"))
-    )
-    return op.reason_counts(outcome)
+    parsed = op.node_references(standin.flawed_node_lines(spark, sf_dir))
+    references = parsed.select("txid", "reason")
+    return op.reason_counts(op.look_up_coinbase(references, standin.coinbase(spark, sf_dir)))
 
 
 def stream_fee_node(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = streaming.work_dir(spark)
-    dump = _written_lines(standin.node_lines(spark, sf_dir).repartition(8), spark)
-    put = plans.put_node_fees(
-        lambda: standin.coinbase(spark, sf_dir), f"{base}/table", mode="positional", subsidy="fixed"
-    )
-    lines = sources.stream_lines(spark, dump, FILES_PER_TRIGGER)
-    streaming.run_stream(lines, put, f"{base}/checkpoint", interval=None)
+    sinks.put_coinbase(standin.coinbase(spark, sf_dir).drop("l_orderkey"), f"{base}/coinbase", 0)
+    known = sinks.coinbase_reader(spark, f"{base}/coinbase")
+    put = plans.put_node_fees(known, f"{base}/table", mode="positional", subsidy="fixed")
+    _stream(standin.node_lines(spark, sf_dir), put, spark, base)
     cells = sinks.read_table(spark, f"{base}/table")
     return cells.select(
         F.col("rowkey").cast("bigint").alias("height"), F.col("value").cast(COIN).alias("fee_btc")
@@ -180,19 +181,15 @@ def stream_fee_node(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_fee_explorer(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = streaming.work_dir(spark)
-    dump = _written_lines(standin.explorer_lines(spark, sf_dir).repartition(8), spark)
     put = plans.put_explorer_fees(f"{base}/table", mode="positional")
-    lines = sources.stream_lines(spark, dump, FILES_PER_TRIGGER)
-    streaming.run_stream(lines, put, f"{base}/checkpoint", interval=None)
+    _stream(standin.explorer_lines(spark, sf_dir), put, spark, base)
     return sinks.read_table(spark, f"{base}/table").select("rowkey", "value")
 
 
 def stream_json_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = streaming.work_dir(spark)
-    dump = _written_lines(standin.json_lines(spark, sf_dir).repartition(8), spark)
     put = plans.put_json(f"{base}/table", seq_path="$.event")
-    lines = sources.stream_lines(spark, dump, FILES_PER_TRIGGER)
-    streaming.run_stream(lines, put, f"{base}/checkpoint", interval=None)
+    _stream(standin.json_lines(spark, sf_dir), put, spark, base)
     puts = sinks.read_table(spark, f"{base}/table")
     return sinks.latest_by_key(puts, order=("seq", "put_id")).select("rowkey", "value")
 

@@ -52,7 +52,10 @@ def test_node_rules(spark, places):
 def test_streams(spark, places):
     (places["dump"] / "a").write_text(node_line())
     run = ["--table", places["table"], "--checkpoint", places["checkpoint"], "--interval", ""]
-    main(node_args("node-stream", places, *run, "--max-files", "1"))
+    known = places["quarantine"]
+    main(["coinbase", "--transactions", places["transactions"], "--coinbase", known])
+    lines = ["--lines", str(places["dump"]), "--coinbase", known]
+    main(["node-stream", *lines, *run, "--max-files", "1"])
     assert values(spark, places["table"]) == {"210000": "1.00000000"}
 
 

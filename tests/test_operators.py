@@ -68,13 +68,16 @@ def test_copies_of_a_transaction_do_not_multiply_blocks(spark):
     assert [r.fee_btc for r in rows] == [1, 1, 1]
 
 
-def test_missing_transactions(spark):
+def test_lookup_keeps_every_row(spark):
     coinbase = op.coinbase_values(transactions(spark, (TXID, ["26"])))
     lines = frame(spark, node_line(), node_line("210001", tx=[OTHER]), "", "", "stray")
-    parsed = op.node_references(lines)
-    missing = op.missing_transactions(parsed, coinbase).collect()
-    assert [(r.height, r.txid, r.reason) for r in missing] == [
-        (210001, OTHER, "missing_transaction")
+    outcome = op.look_up_coinbase(op.node_references(lines), coinbase).collect()
+    assert sorted((r.height or 0, str(r.reason)) for r in outcome) == [
+        (0, "empty_line"),
+        (0, "empty_line"),
+        (0, "stray_text"),
+        (210000, "None"),
+        (210001, "missing_transaction"),
     ]
     assert plans.node_fees(lines, coinbase).count() == 1
 

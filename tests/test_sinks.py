@@ -1,8 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from blockfee import operators as op
 from blockfee import sinks
 from blockfee.schemas import CELL
+from tests.test_operators import transactions
 
 
 def cells(spark, **values):
@@ -68,3 +70,20 @@ def test_order_by_sequence_before_batch(spark):
     assert {r.k: r.value for r in by_seq.collect()} == {"a": "new", "b": "y"}
     by_put = sinks.latest_by_key(rows, keys=["k"], order=["put_id", "seq"])
     assert {r.k: r.value for r in by_put.collect()} == {"a": "old", "b": "y"}
+
+
+def test_coinbase_table_is_read_in_parts(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first, numeric, other = "0a" + "1" * 62, "1e" + "2" * 62, "07" + "3" * 62
+    sinks.put_coinbase(op.coinbase_values(transactions(spark, (first, ["1"]))), path, 0)
+    rest = transactions(spark, (first, ["1"]), (numeric, ["2"]), (other, ["3"]))
+    sinks.put_coinbase(op.coinbase_values(rest), path, 1)
+    parsed = spark.createDataFrame(
+        [(first, None), (numeric, None), ("junk", "bad_txid")], "txid string, reason string"
+    )
+    known = sinks.coinbase_reader(spark, path)(parsed)
+    assert sorted((r.txid, r.first_value) for r in known.collect()) == [(first, 1), (numeric, 2)]
+    text = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [prefix" in text
+    nothing = sinks.coinbase_reader(spark, path)(parsed.where("reason is not null"))
+    assert nothing.count() == 0

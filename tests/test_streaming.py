@@ -29,7 +29,7 @@ def test_stream_equals_batch(spark, dump, tmp_path):
         (dump / f"{height}.txt").write_text(node_line(str(height)) + "\n\nstray\n")
     known = op.coinbase_values(transactions(spark, (TXID, ["26.5"])))
     table = str(tmp_path / "t")
-    run(spark, dump, plans.put_node_fees(lambda: known, table), tmp_path / "c")
+    run(spark, dump, plans.put_node_fees(lambda parsed: known, table), tmp_path / "c")
     assert len(batches(spark, table)) == 5
     streamed = sinks.read_table(spark, table).select("rowkey", "value")
     batch = op.fee_cells(plans.node_fees(sources.read_lines(spark, str(dump)), known))
@@ -74,7 +74,7 @@ def test_late_transaction_is_found_as_pending(spark, dump, tmp_path):
     later = first.unionByName(transactions(spark, (OTHER, ["27"])))
     known = {"transactions": first}
     put = plans.put_node_fees(
-        lambda: op.coinbase_values(known["transactions"]), table, quarantine=refused
+        lambda parsed: op.coinbase_values(known["transactions"]), table, quarantine=refused
     )
     run(spark, dump, put, tmp_path / "c")
     reasons = sinks.read_table(spark, refused).select("height", "reason", "value").collect()
