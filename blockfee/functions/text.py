@@ -9,20 +9,10 @@ _TOKEN = (
     r"|[^\\]+|\\"
 )
 
-# Single-letter escapes of a printed string and what they stand for.
-_LETTERS = {
-    "\\\\": "\\",
-    "\\'": "'",
-    '\\"': '"',
-    "\\a": "\a",
-    "\\b": "\b",
-    "\\f": "\f",
-    "\\n": "\n",
-    "\\r": "\r",
-    "\\t": "\t",
-    "\\v": "\v",
-    "\\\n": "",
-}
+# Letters of escapes and the control characters they stand for.
+_LETTERS, _CONTROLS = "abfnrtv", "\a\b\f\n\r\t\v"
+# Escapes that stand for the character itself.
+_PLAIN = "\\'\""
 
 
 def _character(code: Column, token: Column) -> Column:
@@ -37,17 +27,19 @@ def _character(code: Column, token: Column) -> Column:
 
 
 def _decode_token(token: Column) -> Column:
-    letters = F.create_map(*[F.lit(x) for pair in _LETTERS.items() for x in pair])
     kind = F.substring(token, 2, 1)
     hexadecimal = kind.isin("x", "u", "U") & (F.length(token) > 2)
     octal = kind.between("0", "7")
-    hex_code = F.conv(F.substring(token, 3, 8), 16, 10).cast("bigint")
-    octal_code = F.conv(F.substring(token, 2, 3), 8, 10).cast("bigint")
+    code = F.when(octal, F.conv(F.substring(token, 2, 3), 8, 10)).otherwise(
+        F.conv(F.substring(token, 3, 8), 16, 10)
+    )
     return (
         F.when(~token.startswith("\\"), token)
-        .when(hexadecimal, _character(hex_code, token))
-        .when(octal, _character(octal_code, token))
-        .otherwise(F.coalesce(F.try_element_at(letters, token), token))
+        .when(hexadecimal | octal, _character(code.cast("bigint"), token))
+        .when(kind.isin(*_LETTERS), F.translate(kind, _LETTERS, _CONTROLS))
+        .when(kind.isin(*_PLAIN), kind)
+        .when(kind == "\n", F.lit(""))
+        .otherwise(token)
     )
 
 

@@ -9,7 +9,7 @@ field by its place between colons and by character offsets, which only fits
 lines printed in one exact field order and six-digit heights.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blockfee.functions import JSON_OPTIONS, list_items, literal_to_json, normalise_text
@@ -46,19 +46,30 @@ def _with_list_cut(lines: DataFrame, key: str) -> DataFrame:
     return cut.withColumns({"_rest": rest, "_items": F.get("_list", 0)}).drop("_halves", "_list")
 
 
-def _unreadable(value: Column, closed: bool) -> Column:
+def _unreadable(closed: bool) -> str:
     """Reason why a line is no printed record at all, else null."""
-    text = F.trim(F.coalesce(value, F.lit("")))
-    reason = F.when(text == "", "empty_line").when(~text.startswith("{"), "stray_text")
-    return reason.when(~text.endswith("}"), "truncated") if closed else reason
+    line = "trim(coalesce(value, ''))"
+    truncated = f"WHEN NOT endswith({line}, '}}') THEN 'truncated'" if closed else ""
+    return f"""CASE WHEN {line} = '' THEN 'empty_line'
+        WHEN NOT startswith({line}, '{{') THEN 'stray_text' {truncated} END"""
 
 
-def _reference_reason(closed: bool) -> Column:
-    usable = F.col("height").isNotNull() & F.coalesce(F.col("txid").rlike(TXID), F.lit(False))
-    bad = F.when(F.col("height").isNull(), "bad_height").otherwise("bad_txid")
-    if closed:
-        return F.coalesce(_unreadable(F.col("value"), closed), F.when(~usable, bad))
-    return F.when(~usable, F.coalesce(_unreadable(F.col("value"), closed), bad))
+def _with_reason(parsed: DataFrame, bad: str, closed: bool) -> DataFrame:
+    """Add ``reason``: that of an unreadable line, else that of a bad field.
+
+    Where lines need not be closed, readable fields are good enough.
+    """
+    unreadable = _unreadable(closed)
+    reason = f"coalesce({unreadable}, {bad})"
+    if not closed:
+        reason = f"CASE WHEN ({bad}) IS NOT NULL THEN {reason} END"
+    return with_columns_once(parsed, reason=F.expr(reason))
+
+
+_BAD_REFERENCE = f"""CASE WHEN height IS NULL THEN 'bad_height'
+    WHEN NOT coalesce(txid RLIKE '{TXID}', false) THEN 'bad_txid' END"""
+_BAD_EXPLORER = """CASE WHEN height IS NULL THEN 'bad_height'
+    WHEN fee_sat IS NULL THEN 'bad_fee' END"""
 
 
 def node_references(lines: DataFrame, mode: str = "named") -> DataFrame:
@@ -72,14 +83,14 @@ def node_references(lines: DataFrame, mode: str = "named") -> DataFrame:
             height_text=F.substring(F.get("_segments", NODE_HEIGHT_SEGMENT), 2, 6),
             txid=F.substring(F.get("_segments", NODE_TX_SEGMENT), 5, 64),
         ).withColumn("height", F.col("height_text").try_cast("bigint"))
-        return with_columns_once(parsed, reason=_reference_reason(closed=False)).drop("_segments")
+        return _with_reason(parsed, _BAD_REFERENCE, closed=False).drop("_segments")
     if mode == "named":
         parsed = with_columns_once(
             lines,
             height_text=F.regexp_extract("value", r"'height': (\d+)", 1),
             txid=F.regexp_extract("value", r"'tx': \[u?'([0-9a-f]*)'", 1),
         ).withColumn("height", F.col("height_text").try_cast("bigint"))
-        return with_columns_once(parsed, reason=_reference_reason(closed=True))
+        return _with_reason(parsed, _BAD_REFERENCE, closed=True)
     raise ValueError(f"unknown parse mode: {mode!r}")
 
 
@@ -93,7 +104,7 @@ def node_blocks(lines: DataFrame) -> DataFrame:
     fields = {name: F.col("_record")[name] for name in BLOCK.fieldNames() if name != "tx"}
     # No filter looks at the whole list, so whoever does not read it does not split it.
     fields["tx"] = list_items(F.col("_items"))
-    blocks = with_columns_once(parsed.withColumns(fields), reason=_reference_reason(closed=True))
+    blocks = _with_reason(parsed.withColumns(fields), _BAD_REFERENCE, closed=True)
     return blocks.drop("_record", "_rest", "_items")
 
 
@@ -104,10 +115,6 @@ def explorer_fields(lines: DataFrame, mode: str = "named") -> DataFrame:
     texts as cut: ``height_text``, ``fee_text`` and ``fee_text_padded`` (which
     keeps the blank in front).
     """
-    bad = F.when(F.col("height").isNull(), "bad_height").when(
-        F.col("fee_sat").isNull(), "bad_fee"
-    )
-    unreadable = _unreadable(F.col("value"), closed=mode == "named")
     if mode == "positional":
         segments = with_columns_once(
             _with_segments(lines),
@@ -122,15 +129,13 @@ def explorer_fields(lines: DataFrame, mode: str = "named") -> DataFrame:
                 "height": F.col("height_text").try_cast("bigint"),
             }
         ).withColumn("fee_sat", F.col("fee_text").try_cast("bigint"))
-        reason = F.when(bad.isNotNull(), F.coalesce(unreadable, bad))
-        return with_columns_once(parsed, reason=reason).drop("_segments", "_fee")
+        return _with_reason(parsed, _BAD_EXPLORER, closed=False).drop("_segments", "_fee")
     if mode == "named":
         record = F.from_json(literal_to_json(F.col("_rest")), EXPLORER_BLOCK, JSON_OPTIONS)
         cut = _with_list_cut(lines, "transaction_hashes")
         parsed = with_columns_once(cut, _record=record).withColumns(
             {"height": F.col("_record")["height"], "fee_sat": F.col("_record")["fees"]}
         )
-        return with_columns_once(parsed, reason=F.coalesce(unreadable, bad)).drop(
-            "_record", "_rest", "_items"
-        )
+        blocks = _with_reason(parsed, _BAD_EXPLORER, closed=True)
+        return blocks.drop("_record", "_rest", "_items")
     raise ValueError(f"unknown parse mode: {mode!r}")

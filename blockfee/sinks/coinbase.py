@@ -12,27 +12,32 @@ from pyspark.sql import functions as F
 from blockfee.operators import merge_copies
 from blockfee.sinks.tables import put_batch, read_table
 
-PREFIX_DIGITS = 2
+DIGITS = 2
 
 
-def _prefix(txid: str) -> Column:
+def _prefix(txid: str, digits: int) -> Column:
     # The letter keeps partition values from being read as numbers.
-    return F.concat(F.lit("x"), F.substring(txid, 1, PREFIX_DIGITS))
+    return F.concat(F.lit("x"), F.substring(txid, 1, digits))
 
 
-def put_coinbase(values: DataFrame, path: str, batch_id: int) -> None:
-    """Add one batch of transactions, reduced by ``coinbase_values``."""
-    rows = values.withColumn("prefix", _prefix("txid"))
+def put_coinbase(values: DataFrame, path: str, batch_id: int, digits: int = DIGITS) -> None:
+    """Add one batch of transactions, reduced by ``coinbase_values``.
+
+    More ``digits`` make smaller partitions: 16 with one, 256 with two.
+    """
+    rows = values.withColumn("prefix", _prefix("txid", digits))
     put_batch(rows, path, batch_id, partition_by=["prefix"])
 
 
-def coinbase_reader(spark: SparkSession, path: str) -> Callable[[DataFrame], DataFrame]:
+def coinbase_reader(
+    spark: SparkSession, path: str, digits: int = DIGITS
+) -> Callable[[DataFrame], DataFrame]:
     """Read those partitions of the table that parsed lines ask for."""
 
     def read(parsed: DataFrame) -> DataFrame:
         usable = parsed.where(F.col("reason").isNull())
-        # Two hexadecimal digits: never more than 256 values.
-        wanted = usable.select(_prefix("txid").alias("prefix")).distinct().collect()
+        # Hexadecimal digits: never more values than the table has partitions.
+        wanted = usable.select(_prefix("txid", digits).alias("prefix")).distinct().collect()
         table = read_table(spark, path)
         return merge_copies(table.where(F.col("prefix").isin([r.prefix for r in wanted])))
 

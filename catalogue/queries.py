@@ -83,12 +83,12 @@ def text_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def subsidy_by_height(spark: SparkSession, sf_dir: str) -> DataFrame:
-    heights = standin.table(spark, sf_dir, "orders").select(standin.wide_height().alias("height"))
+    heights = standin.table(spark, sf_dir, "orders").selectExpr(f"{standin.WIDE_HEIGHT} AS height")
     return heights.select("height", subsidy_sat(F.col("height")).alias("subsidy_sat"))
 
 
 def fee_era(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = standin.node_lines(spark, sf_dir, standin.wide_height())
+    lines = standin.node_lines(spark, sf_dir, standin.WIDE_HEIGHT)
     return plans.node_fees(lines, standin.coinbase(spark, sf_dir)).drop("source")
 
 
@@ -114,11 +114,11 @@ def pending_heights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resume_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = standin.table(spark, sf_dir, "orders")
-    blocks = orders.select(standin.dense_height().alias("height"), "o_orderstatus")
+    blocks = orders.selectExpr(f"{standin.DENSE_HEIGHT} AS height")
     # As if the run had stopped half-way up the chain.
     ends = blocks.agg(F.min("height").alias("low"), F.max("height").alias("high"))
     progress = ends.select(F.expr("(low + high) div 2").alias("last_block_processed"))
-    return op.heights_after(blocks.select("height"), progress)
+    return op.heights_after(blocks, progress)
 
 
 def block_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,8 +169,10 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_fee_node(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = streaming.work_dir(spark)
-    sinks.put_coinbase(standin.coinbase(spark, sf_dir).drop("l_orderkey"), f"{base}/coinbase", 0)
-    known = sinks.coinbase_reader(spark, f"{base}/coinbase")
+    values = standin.coinbase(spark, sf_dir).drop("l_orderkey")
+    # Every micro-batch is a large part of the chain, so few partitions do.
+    sinks.put_coinbase(values, f"{base}/coinbase", 0, digits=1)
+    known = sinks.coinbase_reader(spark, f"{base}/coinbase", digits=1)
     put = plans.put_node_fees(known, f"{base}/table", mode="positional", subsidy="fixed")
     _stream(standin.node_lines(spark, sf_dir), put, spark, base)
     cells = sinks.read_table(spark, f"{base}/table")

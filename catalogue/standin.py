@@ -4,7 +4,7 @@ Orders are blocks, lineitems are outputs of generation transactions, events are
 JSON records. Lines are rendered in the printed form that the parsers read.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blockfee.functions import to_json_text
@@ -24,56 +24,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dense_height() -> Column:
-    """Heights one apart."""
-    return F.col("o_orderkey") + FIRST_HEIGHT
-
-
-def wide_height() -> Column:
-    """Heights 60 apart, from 0: a few thousand of them cross several eras."""
-    return F.col("o_orderkey") * 60
-
-
-def _sha(*parts) -> Column:
-    return F.sha2(F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts]), 256)
-
-
-def _txid(key: Column) -> Column:
-    return F.sha2(key.cast("string"), 256)
-
-
-def _text(*parts) -> Column:
-    """Concatenate texts and columns."""
-    return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
-
-
-def node_lines(spark: SparkSession, sf_dir: str, height: Column | None = None) -> DataFrame:
+#: Heights one apart, and 60 apart from 0, where a few thousand cross several eras.
+DENSE_HEIGHT = f"o_orderkey + {FIRST_HEIGHT}"
+WIDE_HEIGHT = "o_orderkey * 60"
+
+# A printed block. {height} is an expression.
+_NODE_LINE = """concat(
+    "{{u'hash': u'", sha2(concat('h', o_orderkey), 256),
+    "', u'confirmations': ", o_custkey + 1,
+    ", u'size': ", o_custkey + 1000,
+    ", u'bits': u'", lpad(lower(hex(o_custkey)), 8, '0'),
+    "', u'nonce': ", o_custkey,
+    ", u'tx': [u'", sha2(string(o_orderkey), 256),
+    "', u'", sha2(concat(o_orderkey, '-1'), 256),
+    "', u'", sha2(concat(o_orderkey, '-2'), 256),
+    "'], u'merkleroot': u'", sha2(concat('m', o_orderkey), 256),
+    "', u'height': ", {height},
+    ", u'version': 2, u'time': ", o_orderkey * 600 + 1354116278,
+    ", u'difficulty': Decimal('", cast(o_totalprice AS decimal(18,2)),
+    "'), u'chainwork': u'", lpad(lower(hex(o_orderkey)), 64, '0'), "'",
+    if(o_orderkey = 0, '',
+       concat(", u'previousblockhash': u'", sha2(concat('h', o_orderkey - 1), 256), "'")),
+    ", u'nextblockhash': ",
+    if(o_orderstatus = 'P', 'None', concat("u'", sha2(concat('h', o_orderkey + 1), 256), "'")),
+    "}}")"""
+
+# A printed explorer record: 14 colons before the height, 15 before the fee.
+_EXPLORER_LINE = f"""concat(
+    "{{u'k0': 0, u't1': u'2012-11-28T15:24:38Z', u'k2': 1, u'k3': 1, u'k4': 1, u'k5': 1,",
+    " u'k6': 1, u'k7': 1, u'k8': 1, u'k9': 1, u'k10': 1, u'height': ", {DENSE_HEIGHT},
+    ", u'fees': ", cast(cast(o_totalprice AS decimal(18,2)) * 100 AS bigint),
+    ", u'difficulty': 1}}")"""
+
+
+def node_lines(spark: SparkSession, sf_dir: str, height: str = DENSE_HEIGHT) -> DataFrame:
     """One printed block per order, with the order's own columns beside it."""
     orders = spread(table(spark, sf_dir, "orders").select(*ORDER_COLUMNS))
-    key = F.col("o_orderkey").cast("string")
-    previous = F.when(F.col("o_orderkey") == 0, F.lit("")).otherwise(
-        _text(", u'previousblockhash': u'", _sha("h", (F.col("o_orderkey") - 1).cast("string")), "'")
-    )
-    following = F.when(F.col("o_orderstatus") == "P", F.lit("None")).otherwise(
-        _text("u'", _sha("h", (F.col("o_orderkey") + 1).cast("string")), "'")
-    )
-    line = _text(
-        "{u'hash': u'", _sha("h", key),
-        "', u'confirmations': ", F.col("o_custkey") + 1,
-        ", u'size': ", F.col("o_custkey") + 1000,
-        ", u'bits': u'", F.lpad(F.lower(F.hex("o_custkey")), 8, "0"),
-        "', u'nonce': ", F.col("o_custkey"),
-        ", u'tx': [u'", _txid(F.col("o_orderkey")),
-        "', u'", _sha(key, "-1"), "', u'", _sha(key, "-2"),
-        "'], u'merkleroot': u'", _sha("m", key),
-        "', u'height': ", dense_height() if height is None else height,
-        ", u'version': 2, u'time': ", F.col("o_orderkey") * 600 + 1354116278,
-        ", u'difficulty': Decimal('", F.col("o_totalprice").cast("decimal(18,2)"),
-        "'), u'chainwork': u'", F.lpad(F.lower(F.hex("o_orderkey")), 64, "0"),
-        "'", previous,
-        ", u'nextblockhash': ", following, "}",
-    )
-    return with_columns_once(orders, value=line)
+    return with_columns_once(orders, value=F.expr(_NODE_LINE.format(height=height)))
 
 
 def flawed_node_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,17 +77,8 @@ def flawed_node_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def explorer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One printed explorer record per order; the fee is the order's price."""
-    fees = (F.col("o_totalprice").cast("decimal(18,2)") * 100).cast("bigint")
-    line = _text(
-        "{u'k0': 0, u't1': u'2012-11-28T15:24:38Z', u'k2': 1, u'k3': 1, u'k4': 1, u'k5': 1,"
-        " u'k6': 1, u'k7': 1, u'k8': 1, u'k9': 1, u'k10': 1, u'height': ",
-        dense_height(),
-        ", u'fees': ",
-        fees,
-        ", u'difficulty': 1}",
-    )
     orders = spread(table(spark, sf_dir, "orders").select(*ORDER_COLUMNS))
-    return with_columns_once(orders, value=line)
+    return with_columns_once(orders, value=F.expr(_EXPLORER_LINE))
 
 
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +109,7 @@ def coinbase(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").cast("decimal(18,8)").alias("value"),
     )
     values = output_values(outputs, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"])
-    return with_columns_once(values, txid=_txid(F.col("l_orderkey")))
+    return with_columns_once(values, txid=F.sha2(F.col("l_orderkey").cast("string"), 256))
 
 
 def loaded_heights(spark: SparkSession, sf_dir: str) -> DataFrame:
