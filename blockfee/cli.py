@@ -72,7 +72,7 @@ def explorer_stream(spark: SparkSession, args) -> None:
 
 
 def json_stream(spark: SparkSession, args) -> None:
-    _stream(spark, args, plans.put_json(args.table, args.id_path, args.seq_path))
+    _stream(spark, args, plans.put_json(args.table, args.quarantine, args.id_path, args.seq_path))
 
 
 def node_preview(spark: SparkSession, args) -> None:
@@ -149,6 +149,7 @@ def _parser() -> argparse.ArgumentParser:
     sub = job(coinbase, "reduce transactions for lookups", "transactions", "coinbase")
     sub.add_argument("--batch-id", type=int, default=0)
     sub = job(json_stream, "put JSON records under their id", "lines", "table", "checkpoint")
+    sub.add_argument("--quarantine")
     sub.add_argument("--id-path", default="$.id")
     sub.add_argument("--seq-path")
     stream(sub, None)

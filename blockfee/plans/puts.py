@@ -48,7 +48,9 @@ def put_node_fees(
         # The long lines are scanned once; what is kept is short, and a lost
         # block of it is computed again from the lines.
         parsed = _without_good_lines(node_references(lines, mode), "height", "txid").persist()
-        outcome = look_up_coinbase(parsed, coinbase(parsed)).persist()
+        outcome = look_up_coinbase(parsed, coinbase(parsed))
+        if quarantine is not None:
+            outcome = outcome.persist()
         try:
             put_batch(fee_cells(node_fee(accepted(outcome), outputs, subsidy)), table, batch_id)
             if quarantine is not None:
@@ -81,17 +83,24 @@ def put_explorer_fees(
     return put
 
 
-def put_json(table: str, id_path: str = "$.id", seq_path: str | None = None) -> Put:
-    """Put JSON lines under their id.
+def put_json(
+    table: str,
+    quarantine: str | None = None,
+    id_path: str = "$.id",
+    seq_path: str | None = None,
+) -> Put:
+    """Put JSON lines under their id; lines without one go to ``quarantine``.
 
     Within one batch the record greatest by ``seq_path`` is the newest; without
     it, the greatest text is, so that a replay decides the same way.
     """
 
     def put(lines: DataFrame, batch_id: int) -> None:
-        records = accepted(json_records(lines, id_path))
+        records = json_records(lines, id_path)
         seq = F.get_json_object("value", seq_path) if seq_path else F.lit(None).cast("string")
-        cells = json_cells(records.withColumn("seq", seq.try_cast("bigint")))
+        cells = json_cells(accepted(records).withColumn("seq", seq.try_cast("bigint")))
         put_batch(cells, table, batch_id)
+        if quarantine is not None:
+            put_batch(quarantined(records).select("reason", "value"), quarantine, batch_id)
 
     return put

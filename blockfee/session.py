@@ -1,20 +1,15 @@
-"""Session settings the package is designed for."""
+"""The Spark session of jobs."""
 
 from pyspark.sql import SparkSession
 
-SETTINGS = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
-}
-
 
 def session(name: str = "blockfee", settings: dict[str, str] | None = None) -> SparkSession:
-    """A session with these settings; the master comes from spark-submit."""
+    """A session for a job, with the settings of spark-submit.
+
+    Nothing is set here that would override those, above all no master.
+    ``settings`` are for sessions started in another way.
+    """
     builder = SparkSession.builder.appName(name)
-    for key, value in {**SETTINGS, **(settings or {})}.items():
+    for key, value in (settings or {}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -15,7 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SERIES_FIRST, SERIES_LAST = 211_000, 214_000
 OUTLIER_COINS = 50_000
-MICRO_BATCHES = 3
+MICRO_BATCHES = 2
 
 
 def _node_fees(spark: SparkSession, sf_dir: str, **rules: str) -> DataFrame:

@@ -1,4 +1,8 @@
+from decimal import Decimal
+
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 
 from blockfee import operators as op
@@ -152,3 +156,51 @@ def test_spread_leaves_large_scans_alone(spark):
     assert sources.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 8
     wide = spark.range(0, 100, 1, 40)
     assert sources.spread(wide) is wide
+
+
+def printed(value):
+    """How Python 2 prints a value of a block record."""
+    if isinstance(value, dict):
+        return "{" + ", ".join(f"{printed(k)}: {printed(v)}" for k, v in value.items()) + "}"
+    if isinstance(value, list):
+        return "[" + ", ".join(printed(v) for v in value) + "]"
+    if isinstance(value, str):
+        return "u" + ascii(value)
+    if isinstance(value, int) and not isinstance(value, bool) and value > 2**31:
+        return f"{value}L"
+    return repr(value)
+
+
+HEX = st.text("0123456789abcdef", min_size=1, max_size=20)
+COUNT = st.integers(0, 2**53)
+RECORD = st.fixed_dictionaries(
+    {
+        "hash": HEX,
+        "confirmations": COUNT,
+        "miner": st.text(max_size=20),
+        "orphan": st.booleans(),
+        "tx": st.lists(st.text("0123456789abcdef", min_size=64, max_size=64), min_size=1, max_size=4),
+        "height": st.integers(0, 10**9),
+        "nonce": COUNT,
+        "difficulty": st.decimals(0, 10**12, places=8, allow_nan=False),
+        "nextblockhash": st.none() | HEX,
+    }
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.data(), st.lists(RECORD, min_size=30, max_size=60))
+def test_any_printed_block_is_read_back(spark, data, records):
+    texts = []
+    for record in records:
+        keys = data.draw(st.permutations(list(record)))
+        texts.append(printed({k: record[k] for k in keys}))
+    rows = op.node_blocks(frame(spark, *texts).coalesce(1)).collect()
+    references = op.node_references(frame(spark, *texts).coalesce(1)).collect()
+    for record, row, reference in zip(records, rows, references):
+        got = {k: row[k] for k in record if k not in ("miner", "orphan")}
+        want = {k: v for k, v in record.items() if k in got}
+        want["difficulty"] = Decimal(want["difficulty"])
+        assert got == want
+        assert row.reason is None and reference.reason is None
+        assert (reference.height, reference.txid) == (record["height"], record["tx"][0])

@@ -75,22 +75,56 @@ def nested_transactions(spark, rows):
     return ids.unionByName(hot).withColumn("vout", output)
 
 
+SPLITTING = {
+    "spark_sql_autoBroadcastJoinThreshold": "-1",
+    "spark_sql_adaptive_autoBroadcastJoinThreshold": "-1",
+    "spark_sql_adaptive_skewJoin_skewedPartitionThresholdInBytes": "64KB",
+    "spark_sql_adaptive_skewJoin_skewedPartitionFactor": "1.1",
+    "spark_sql_adaptive_advisoryPartitionSizeInBytes": "64KB",
+    "spark_sql_shuffle_partitions": "64",
+}
+ROWS = 300_000
+
+
+def assert_split(counted, *want):
+    assert tuple(counted.collect()[0]) == want
+    assert "skew=true" in plan(counted)
+
+
 def test_hot_transaction_is_split(spark):
-    rows = 300_000
-    small = {
-        "spark_sql_autoBroadcastJoinThreshold": "-1",
-        "spark_sql_adaptive_autoBroadcastJoinThreshold": "-1",
-        "spark_sql_adaptive_skewJoin_skewedPartitionThresholdInBytes": "64KB",
-        "spark_sql_adaptive_skewJoin_skewedPartitionFactor": "1.1",
-        "spark_sql_adaptive_advisoryPartitionSizeInBytes": "64KB",
-        "spark_sql_shuffle_partitions": "64",
-    }
-    with settings(spark, **small):
-        coinbase = op.coinbase_values(nested_transactions(spark, rows))
-        fees = op.node_fee(op.attach_coinbase(hot_blocks(spark, rows), coinbase))
-        counted = fees.agg(F.count("*"), F.countDistinct("height"))
-        assert tuple(counted.collect()[0]) == (rows, rows)
-        assert "skew=true" in plan(counted)
+    with settings(spark, **SPLITTING):
+        coinbase = op.coinbase_values(nested_transactions(spark, ROWS))
+        fees = op.node_fee(op.attach_coinbase(hot_blocks(spark, ROWS), coinbase))
+        assert_split(fees.agg(F.count("*"), F.countDistinct("height")), ROWS, ROWS)
+
+
+def test_hot_transaction_is_split_in_the_full_lookup(spark):
+    with settings(spark, **SPLITTING):
+        coinbase = op.coinbase_values(nested_transactions(spark, ROWS))
+        refused = F.when(F.col("height") % 2 == 0, "bad_height")
+        outcome = op.look_up_coinbase(
+            hot_blocks(spark, ROWS).withColumn("reason", refused), coinbase
+        )
+        assert_split(outcome.agg(F.count("*"), F.count("reason")), ROWS, ROWS // 2)
+
+
+def test_hot_height_is_split(spark):
+    with settings(spark, **SPLITTING):
+        hot = F.when(F.col("height") % 3 == 0, F.lit(7)).otherwise(F.col("height"))
+        blocks = hot_blocks(spark, ROWS).withColumn("height", hot)
+        wanted = spark.range(ROWS).withColumnRenamed("id", "height")
+        found = op.blocks_at(wanted, blocks)
+        assert_split(found.agg(F.count("*"), F.count("txid")), ROWS, ROWS)
+
+
+def test_equal_points_are_shared_out_by_the_sort(spark):
+    with settings(spark, spark_sql_adaptive_enabled="false", spark_sql_shuffle_partitions="8"):
+        same = spark.range(80_000).select(
+            F.lit(210_000).cast("bigint").alias("height"), F.lit(1).cast(schemas.COIN).alias("fee_btc")
+        )
+        parts = op.fee_series(same, 0, 300_000).groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in parts) == 80_000
+        assert max(r["count"] for r in parts) < 20_000
 
 
 def test_hot_keys_merge_before_the_shuffle(spark):

@@ -106,16 +106,18 @@ def test_explorer_quarantine(spark, tmp_path):
 
 
 def test_json_stream_keeps_the_newest(spark, dump, tmp_path):
-    table = str(tmp_path / "t")
+    table, refused = str(tmp_path / "t"), str(tmp_path / "q")
+    put = plans.put_json(table, quarantine=refused)
     (dump / "a.txt").write_text('{"id": 1, "n": 1}\n{"id": 2, "n": 9}\nbad\n{"name": 0}\n')
-    run(spark, dump, plans.put_json(table), tmp_path / "c")
+    run(spark, dump, put, tmp_path / "c")
     (dump / "b.txt").write_text('{"id": 1, "n": 0}\n')
-    run(spark, dump, plans.put_json(table), tmp_path / "c")
+    run(spark, dump, put, tmp_path / "c")
     newest = sinks.latest_by_key(sinks.read_table(spark, table).drop("seq"))
     assert {r.rowkey: r.value for r in newest.collect()} == {
         "1": '{"id": 1, "n": 0}',
         "2": '{"id": 2, "n": 9}',
     }
+    assert {r.value for r in sinks.read_table(spark, refused).collect()} == {"bad", '{"name": 0}'}
 
 
 def test_bounded_run_stops(spark, dump, tmp_path):
