@@ -163,12 +163,16 @@ FROM fees GROUP BY 1""",
     "q19_fee_topk": _PARITY + """
 SELECT height, fee_btc FROM fees ORDER BY fee_btc DESC, height LIMIT 10""",
     "q20_mode_reconcile": _era_fees("210000 + o_orderkey") + f""",
-node AS (SELECT height, fee_sat AS node_fee_sat FROM fees),
-explorer AS (SELECT 210000 + o_orderkey AS height, {_PRICE_SAT} AS explorer_fee_sat
-             FROM orders WHERE o_orderstatus <> 'P')
+node AS (SELECT height, min(fee_sat) AS node_fee_sat, max(fee_sat) AS node_max
+         FROM fees GROUP BY height),
+stated AS (SELECT 210000 + o_orderkey AS height, {_PRICE_SAT} AS fee_sat
+           FROM orders WHERE o_orderstatus <> 'P'),
+explorer AS (SELECT height, min(fee_sat) AS explorer_fee_sat, max(fee_sat) AS explorer_max
+             FROM stated GROUP BY height)
 SELECT height, node_fee_sat, explorer_fee_sat,
        node_fee_sat - explorer_fee_sat AS difference_sat,
-       CASE WHEN node_fee_sat IS NULL THEN 'explorer_only'
+       CASE WHEN node_fee_sat <> node_max OR explorer_fee_sat <> explorer_max THEN 'ambiguous'
+            WHEN node_fee_sat IS NULL THEN 'explorer_only'
             WHEN explorer_fee_sat IS NULL THEN 'node_only'
             WHEN node_fee_sat = explorer_fee_sat THEN 'match' ELSE 'differ' END AS status
 FROM node FULL JOIN explorer USING (height)""",
