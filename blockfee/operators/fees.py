@@ -16,9 +16,13 @@ def node_fee(blocks: DataFrame, outputs: str = "first", subsidy: str = "era") ->
     if outputs not in ("first", "all"):
         raise ValueError(f"unknown outputs rule: {outputs!r}")
     paid = F.col("first_value" if outputs == "first" else "total_value")
-    fee = (paid - block_subsidy(F.col("height"), subsidy)).cast(COIN)
+    # One absurd amount must not fail the job: beyond what money can be, it is null.
+    fee = (paid - block_subsidy(F.col("height"), subsidy)).try_cast(COIN)
     return blocks.select("height", fee.alias("fee_btc")).select(
-        "height", "fee_btc", to_satoshi(F.col("fee_btc")).alias("fee_sat"), F.lit("node").alias("source")
+        "height",
+        "fee_btc",
+        to_satoshi(F.col("fee_btc")).alias("fee_sat"),
+        F.lit("node").alias("source"),
     )
 
 

@@ -151,7 +151,7 @@ UNION ALL SELECT 210000 + o_orderkey, 2, sha256(o_orderkey || '-2') FROM orders"
     "q16_reward_all_outputs": """
 SELECT sha256(CAST(l_orderkey AS VARCHAR)) AS txid, CAST(count(*) AS INTEGER) AS n_outputs,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,8))) AS DECIMAL(28,8)) AS total_value,
-       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,8))) - 25 AS DECIMAL(18,8)) AS fee_btc
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,8))) - 25 AS DECIMAL(28,8)) AS fee_btc
 FROM lineitem GROUP BY l_orderkey""",
     "q17_fee_series_slice": _PARITY + f"""
 SELECT height, fee_btc FROM fees
@@ -199,10 +199,10 @@ FROM orders WHERE 210000 + o_orderkey >= {SERIES_FIRST}
     "q27_fee_table_upsert": _era_fees("210000 + o_orderkey") + f""",
 explorer AS (SELECT 210000 + o_orderkey AS height, {_coin(_PRICE_SAT)} AS fee_btc
              FROM orders WHERE o_orderstatus = 'F'),
-puts AS (SELECT height, fee_btc, 0 AS put_id FROM fees
-         UNION ALL SELECT height, fee_btc, 1 FROM explorer)
+puts AS (SELECT height, CAST(fee_btc AS VARCHAR) AS value, 0 AS put_id FROM fees
+         UNION ALL SELECT height, CAST(fee_btc AS VARCHAR), 1 FROM explorer)
 SELECT CAST(height AS VARCHAR) AS rowkey, 'tx_fee_col' AS family, 'tx_fee' AS qualifier,
-       CAST(arg_max(fee_btc, put_id) AS VARCHAR) AS value,
+       arg_max(value, (put_id, value)) AS value,
        CAST(max(put_id) AS BIGINT) AS put_id
 FROM puts GROUP BY height""",
     "q28_fee_outliers": _PARITY + f"""

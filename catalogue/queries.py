@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from blockfee import operators as op
 from blockfee import plans, sinks, sources, streaming
 from blockfee.functions import normalise_text, subsidy_sat
-from blockfee.schemas import COIN
+from blockfee.schemas import COIN, TOTAL_COIN
 from catalogue import standin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,7 +135,7 @@ def reward_all_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "txid",
         "n_outputs",
         "total_value",
-        (F.col("total_value") - 25).cast(COIN).alias("fee_btc"),
+        (F.col("total_value") - 25).cast(TOTAL_COIN).alias("fee_btc"),
     )
 
 

@@ -166,6 +166,14 @@ def test_era_and_fixed_rule_agree_within_the_second_era(spark):
     assert tuple(rows.first()) == (10**8, 10**8, 210_000)
 
 
+def test_absurd_total_does_not_fail_the_job(spark):
+    values = ["9999999999", "9999999999"]
+    coinbase = op.coinbase_values(transactions(spark, (TXID, values), (OTHER, ["26"])))
+    lines = frame(spark, node_line(), node_line("210001", tx=[OTHER]))
+    rows = plans.node_fees(lines, coinbase, outputs="all").orderBy("height").collect()
+    assert [(r.fee_btc, r.fee_sat) for r in rows] == [(None, None), (1, 10**8)]
+
+
 def test_unknown_outputs_rule(spark):
     with pytest.raises(ValueError):
         op.node_fee(spark.createDataFrame([], "height bigint"), outputs="last")
