@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, mixing, quality, token_files
+from . import bpe, jaccard, licenses, line_dedup, mixing, nearest, pii, quality, token_files, vafile
 from .shared import send_package
 from .words import slices
 
@@ -52,6 +52,16 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    # A key for these tables; users pass their own secret.
+    return pii.pseudonymised(docs, key="a key for the given tables", found="n_found")
+
+
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(_table(spark, sf_dir, "documents"), n=5, percent=80)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Whether a document's labels are kept from learning."""
     text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
@@ -74,6 +84,31 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Licences by their notices and, where short, by their texts.
+KNOWN_LICENSES = [
+    ("MIT", "Released under the MIT License."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    (
+        "0BSD",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        'hereby granted. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS '
+        "SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE "
+        "LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM "
+        "LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING "
+        "OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+]
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    known = spark.createDataFrame(KNOWN_LICENSES, "license string, text string")
+    return licenses.scanned(docs, known)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     cleaned = line_dedup.without_repeated_lines(docs, counts=("n_lines", "n_dropped"))
@@ -86,10 +121,23 @@ def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents"))
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_pseudonyms": op3_pseudonyms,
+    "op4_jaccard": op4_jaccard,
     "op5_quality": op5_quality,
+    "op6_licenses": op6_licenses,
     "op7_line_dedup": op7_line_dedup,
+    "op8_nearest": op8_nearest,
     "op9_mixture": op9_mixture,
+    "op10_exact_top_k": op10_exact_top_k,
 }

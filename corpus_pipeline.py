@@ -1,8 +1,75 @@
-"""A corpus from raw documents to mixed, tokenised training text."""
+"""A corpus from raw documents to mixed, tokenised training text.
 
-STAGES: list = []
-ORACLE_SQL = None
+Each stage works on what the one before kept and gives back the columns of
+``documents``; the last gives the token ids.
+"""
 
+from __future__ import annotations
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from blockfee.llm import bpe, jaccard, line_dedup, mixing, quality
+from blockfee.llm.queries import quality_weights
+from blockfee.llm.shared import send_package, stored
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier takes; it learns from the labels of those still there."""
+    send_package(spark)
+    return quality.kept(docs, quality_weights(spark, docs, sf_dir), threshold=0.3)
+
+
+def no_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that a later document has too."""
+    send_package(spark)
+    return line_dedup.without_repeated_lines(docs)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that link with each other, directly or over others, the one with the smallest id."""
+    send_package(spark)
+    groups = jaccard.components(docs).select(F.col("doc_id").alias("_id"), "component_id")
+    first = groups.where("_id = component_id").select("_id")
+    return docs.join(first, docs["doc_id"] == first["_id"], "left_semi")
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: documents as often as it takes them."""
+    send_package(spark)
+    taken = mixing.mixed(docs).where("taken > 0").select(
+        F.col("doc_id").alias("_id"), (F.col("taken") / F.col("size")).cast("int").alias("_times")
+    )
+    repeated = docs.join(taken, docs["doc_id"].eqNullSafe(taken["_id"]))
+    return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*[docs[c] for c in docs.columns])
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id``, ``n_tokens`` and ``ids`` of each document of the mix."""
+    send_package(spark)
+    return bpe.encoded(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", good_quality),
+    ("line dedup", no_shared_lines),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("mixing to target weights", mixed_sources),
+    ("byte-level BPE", token_ids),
+]
+
+#: SQL can express neither the classifier nor the merges.
+ORACLE_SQL: str | None = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, each written and read again by the next."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs
