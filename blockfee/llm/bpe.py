@@ -21,20 +21,21 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 from os.path import commonprefix
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .cuts import KnownCuts
 from .words import slices
 
-#: Steps, pairs and pieces that are kept; each about 100 to 200 bytes.
-KEPT_STEPS = 400_000
-KEPT_PAIRS = 400_000
-KEPT_PIECES = 400_000
+#: Steps of the encoder and decoder, and pairs of tokens, that are kept.
+KEPT_STEPS = 120_000
+KEPT_PAIRS = 120_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -58,15 +59,18 @@ class Encoder:
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
         """The plain rule, for short strings: join the pair of lowest rank, leftmost first."""
+        get, none = self.ranks.get, 1 << 62
         parts = [piece[i : i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            rank, at = min(
-                (self.ranks.get(a + b, 1 << 62), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False))
-            )
-            if rank == 1 << 62:
-                break
+        joins = [get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+        while joins and (least := min(joins)) < none:
+            at = joins.index(least)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return tuple(self.ranks[p] for p in parts)
+            del joins[at]
+            if at:
+                joins[at - 1] = get(parts[at - 1] + parts[at], none)
+            if at < len(joins):
+                joins[at] = get(parts[at] + parts[at + 1], none)
+        return tuple([self.ranks[p] for p in parts])
 
     def _forget(self) -> None:
         # A state: (tokens to come, last token or -1, bytes since) for each open path.
@@ -131,59 +135,17 @@ class Encoder:
         return tuple(out)
 
 
-class TextEncoder:
-    """Texts to ids: pieces by a pattern, each encoded by itself; ids are 32-bit, little-endian."""
+class TextEncoder(KnownCuts):
+    """Texts to ids: pieces by a pattern, each encoded by itself."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
+        super().__init__(self._encode_many)
         self.encoder = Encoder(ranks)
         self.pattern = regex.compile(pattern)
-        self.known: dict[str, bytes | None] = {}
 
-    def _pieces(self, text: str) -> bytes:
-        out = array("I")
-        for piece in self.pattern.findall(text):
-            out.extend(self.encoder.encode(piece.encode()))
-        return out.tobytes()
-
-    def encode(self, text: str) -> bytes:
-        return b"".join(encoded_cuts(text, self.known, self._pieces))
-
-
-def encoded_cuts(text: str, known: dict[str, bytes | None], encode: Callable[[str], bytes]) -> Iterator[bytes]:
-    """``encode`` of the text, cut where that can't change the result.
-
-    The pattern of byte-level BPE never has a piece that goes on from a character other
-    than white space into white space, and looks no further back. So a text may be cut
-    before a space that follows such a character. What a cut gives is kept in ``known``
-    by the word after the space; a word that is empty or ends in white space is kept as
-    None, as it can't be cut from what follows.
-    """
-    if len(known) >= KEPT_PIECES:
-        known.clear()
-    words = text.split(" ")
-    n = len(words)
-
-    def joined(i: int) -> int:
-        """Where the cut that begins with word i ends."""
-        while i + 1 < n and (not words[i] or words[i][-1].isspace()):
-            i += 1
-        return i + 1
-
-    i = joined(0)
-    yield encode(" ".join(words[:i]))
-    get = known.get
-    while i < n:
-        word = words[i]
-        found = get(word, known)
-        if found is known:  # not seen before
-            found = known[word] = None if not word or word[-1].isspace() else encode(" " + word)
-        if found is None:
-            end = joined(i)
-            yield encode(" " + " ".join(words[i:end]))
-            i = end
-        else:
-            yield found
-            i += 1
+    def _encode_many(self, texts: list[str]) -> list[bytes]:
+        encode, pieces = self.encoder.encode, self.pattern.findall
+        return [array("I", [i for p in pieces(text) for i in encode(p.encode())]).tobytes() for text in texts]
 
 
 #: Lowest and highest value of the byte after a leading byte, where not 80 to BF.
@@ -242,8 +204,12 @@ class Decoder:
         yield self.finish()
 
 
+#: Bytes of text, and of ids, that a task works on at once.
+TEXT_SLICE, ID_SLICE = 8 << 20, 2 << 20
+
+
 def encoded(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``doc_id``, ``n_tokens`` and ``ids`` (32-bit, little-endian) of every row's whole text.
+    """``doc_id``, ``n_tokens`` and ``ids`` of every row's whole text.
 
     ``ranks_path`` is read where the tasks run. A null or empty text has no ids; equal
     rows give equal rows; an empty table gives an empty result.
@@ -252,17 +218,18 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(ranks_path, pattern)
         for batch in batches:
-            for part in slices(batch):
-                ids = [encoder.encode(text or "") for text in part.column("text").to_pylist()]
+            for part in slices(batch, size=TEXT_SLICE):
+                ids, counts = encoder.encode(part.column("text"))
+                offsets = np.concatenate(([0], np.cumsum(counts)))
                 yield pa.record_batch(
                     {
                         "doc_id": part.column("doc_id"),
-                        "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
-                        "ids": pa.array(ids, pa.binary()),
+                        "n_tokens": pa.array(counts, pa.int64()),
+                        "ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.view(np.int32))),
                     }
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
 
 
 def decoded(tokens: DataFrame, ranks_path: str) -> DataFrame:
@@ -271,11 +238,11 @@ def decoded(tokens: DataFrame, ranks_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = text_decoder(ranks_path)
         for batch in batches:
-            for part in slices(batch, "ids"):
-                texts = ["".join(decoder.decode(array("I", ids))) for ids in part.column("ids").to_pylist()]
+            for part in slices(batch, "ids", size=ID_SLICE):
+                texts = ["".join(decoder.decode(ids.values.to_pylist())) for ids in part.column("ids")]
                 yield part.append_column("text", pa.array(texts, pa.string()))
 
-    return tokens.mapInArrow(run, "doc_id long, n_tokens long, ids binary, text string")
+    return tokens.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, text string")
 
 
 @cache

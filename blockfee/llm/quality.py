@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import mixed, slices
+from .words import filled, mixed, slices
 
 DIMENSIONS = 1 << 18
 #: How far back a repeated word is looked for.
@@ -47,7 +47,7 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
     A place of -1 holds no feature.
     """
-    split = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+    split = pc.ascii_split_whitespace(filled(texts))
     offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
     words = split.flatten()
     kept = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
@@ -162,14 +162,15 @@ def train(
                 leader.learn(np.append(at, DIMENSIONS), np.append(x, 1.0), known)
         yield pa.record_batch({"weights": pa.array([leader.weights(slice(None)).astype("<f8").tobytes()], pa.binary())})
 
-    (row,) = (
+    rows = (
         texts.mapInArrow(made, "doc_id long, label int, at binary, x binary")
         .repartition(1)
         .sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "at")
         .mapInArrow(learnt, "weights binary")
         .collect()
     )
-    return np.frombuffer(row.weights, "<f8")
+    # No row if there was no task, so nothing to learn from.
+    return np.frombuffer(rows[0].weights, "<f8") if rows else np.zeros(DIMENSIONS + 1)
 
 
 def scores(texts: pa.Array, weights: np.ndarray) -> np.ndarray:

@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import hashlib
-from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, jaccard, licenses, line_dedup, mixing, nearest, pii, quality, token_files, vafile
 from .shared import send_package
-from .words import slices
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,23 +28,12 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     tokens = bpe.encoded(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "ids"):
-                ids = [",".join(map(str, array("I", x))) for x in part.column("ids").to_pylist()]
-                texts = part.column("text").to_pylist()
-                yield pa.record_batch(
-                    {
-                        "doc_id": part.column("doc_id"),
-                        "n_tokens": part.column("n_tokens"),
-                        "ids_sha256": pa.array([hashlib.sha256(x.encode()).hexdigest() for x in ids], pa.string()),
-                        "decoded_sha256": pa.array([hashlib.sha256(x.encode()).hexdigest() for x in texts], pa.string()),
-                    }
-                )
-
-    return bpe.decoded(tokens, path).mapInArrow(
-        digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return bpe.decoded(tokens, path).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

@@ -18,6 +18,7 @@ encoded whole; an empty table gives an empty manifest and result.
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 from array import array
@@ -31,12 +32,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import encoded_cuts
+from .cuts import KnownCuts
 from .shared import shared_folder, stored
 from .words import slices
 
-#: Sequences in a record batch.
+#: Sequences in a record batch, and bytes of text that a task works on at once.
 BATCH = 64
+TEXT_SLICE = 8 << 20
+_DOCUMENTS = pa.schema({"doc_id": pa.int64(), "start": pa.int64(), "n_tokens": pa.int64()})
 MANIFEST = "shard long, folder string, name string, n_docs long, n_tokens long, n_sequences long"
 
 
@@ -85,29 +88,24 @@ class _Writer:
         self.out = fs.open_output_stream(f"{path}/{name}.tokens.arrow")
         self.tokens = pa.ipc.new_file(self.out, self.schema)
         self.out_documents = fs.open_output_stream(f"{path}/{name}.documents.arrow")
-        self.documents = pa.ipc.new_file(
-            self.out_documents, pa.schema({"doc_id": pa.int64(), "start": pa.int64(), "n_tokens": pa.int64()})
-        )
+        self.documents = pa.ipc.new_file(self.out_documents, _DOCUMENTS)
         self.n_docs = self.n_tokens = self.n_sequences = 0
 
-    def add(self, doc_ids: pa.Array, ids: list[np.ndarray]) -> None:
-        counts = np.array([len(x) for x in ids], np.int64)
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Documents with their ids, one after another, and how many each has."""
         starts = self.n_tokens + np.cumsum(counts) - counts
         self.documents.write_batch(
-            pa.record_batch([doc_ids.cast(pa.int64()), starts, counts], schema=self.documents_schema())
+            pa.record_batch([doc_ids.cast(pa.int64()), pa.array(starts), pa.array(counts)], schema=_DOCUMENTS)
         )
-        self.n_docs += len(ids)
+        self.n_docs += len(counts)
         self.n_tokens += int(counts.sum())
-        joined = np.concatenate([self.left, *ids])
+        joined = np.concatenate([self.left, ids.astype(self.left.dtype)])
         size = BATCH * self.length
         whole = len(joined) - len(joined) % size
         for at in range(0, whole, size):
             self._write(joined[at : at + size], size)
         self.left = joined[whole:].copy()
 
-    def documents_schema(self) -> pa.Schema:
-        return pa.schema({"doc_id": pa.int64(), "start": pa.int64(), "n_tokens": pa.int64()})
-
     def _write(self, ids: np.ndarray, n: int) -> None:
         mask = np.arange(len(ids)) < n
         columns = [
@@ -127,21 +125,18 @@ class _Writer:
 
 
 @cache
-def _tokenizer(path: str) -> tuple:
-    """The tokenizer and what is known of words, one for each Python worker."""
+def _encoder(path: str) -> tuple[KnownCuts, int]:
+    """An encoder and its number of ids, one for each Python worker."""
+    # Tasks run side by side already.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), {}
-
-
-def encode(path: str, text: str) -> bytes:
-    """The ids of a text, 32-bit and little-endian, without special tokens."""
-    tokenizer, known = _tokenizer(path)
+    tokenizer = Tokenizer.from_file(path)
 
-    def ids(cut: str) -> bytes:
-        return array("I", tokenizer.encode(cut, add_special_tokens=False).ids).tobytes()
+    def encode_many(texts: list[str]) -> list[bytes]:
+        return [array("I", x.ids).tobytes() for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return b"".join(encoded_cuts(text, known, ids))
+    return KnownCuts(encode_many), tokenizer.get_vocab_size()
 
 
 def write_token_files(
@@ -157,23 +152,17 @@ def write_token_files(
     folder = folder or shared_folder(spark, "token-files")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, _ = _tokenizer(tokenizer_path)
-        kind = pa.uint16() if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else pa.uint32()
-        end = np.array([end_id], "<u4").tobytes()
+        encoder, n_ids = _encoder(tokenizer_path)
+        kind = pa.uint16() if max(n_ids, end_id + 1) <= 1 << 16 else pa.uint32()
         writer = name = None
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=TEXT_SLICE):
                 if writer is None:
                     shard = TaskContext.get().partitionId()
                     name = f"{shard:06d}-{uuid.uuid4().hex}"
                     writer = _Writer(folder, name, length, kind)
-                writer.add(
-                    part.column("doc_id"),
-                    [
-                        np.frombuffer(encode(tokenizer_path, text or "") + end, "<u4").astype(writer.left.dtype)
-                        for text in part.column("text").to_pylist()
-                    ],
-                )
+                ids, counts = encoder.encode(part.column("text"))
+                writer.add(part.column("doc_id"), np.insert(ids, np.cumsum(counts), end_id), counts + 1)
         if writer is not None:
             writer.close()
             row = [shard, folder, name, writer.n_docs, writer.n_tokens, writer.n_sequences]

@@ -14,26 +14,33 @@ SLICE_BYTES = 4 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of about ``SLICE_BYTES`` of ``column``."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about ``size`` bytes, or members of lists, of ``column``."""
+    values = batch.column(column)
+    length = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
+    lengths = pc.fill_null(length(values), 0).to_numpy(zero_copy_only=False).tolist()
     start = total = 0
-    for i, size in enumerate(sizes):
-        if total and total + size > SLICE_BYTES:
+    for i, n in enumerate(lengths):
+        if total and total + n > size:
             yield batch.slice(start, i - start)
             start, total = i, 0
-        total += int(size)
-    if start < len(sizes):
+        total += n
+    if start < len(lengths):
         yield batch.slice(start)
 
 
+def filled(texts: pa.Array) -> pa.Array:
+    """The texts, null as empty, in buffers of their own: some kernels misread a slice's."""
+    return pc.fill_null(texts, "").take(pa.array(np.arange(len(texts)))).cast(pa.large_string())
+
+
 def word_hashes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words ``[^\\x20\\x09-\\x0D]+`` and, for each text, where its words begin.
 
     The second array has one entry more than there are texts. Null texts have no words.
     """
-    filled = pc.fill_null(texts, "").cast(pa.large_string())
-    split = pc.ascii_split_whitespace(pc.ascii_lower(filled) if lower else filled)
+    plain = filled(texts)
+    split = pc.ascii_split_whitespace(pc.ascii_lower(plain) if lower else plain)
     offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
     words = split.flatten()
     kept = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
