@@ -72,7 +72,7 @@ def targets(sizes: DataFrame, weights: int = 3) -> DataFrame:
         "source_size",
         "before",
         F.when(
-            F.struct("fills_at", "rank") >= F.struct("level.fills_at", "level.rank"),
+            F.col("level").isNotNull() & (F.struct("fills_at", "rank") >= F.struct("level.fills_at", "level.rank")),
             F.col("weight") * F.col("level.left") / F.col("level.weight_left"),
         )
         .otherwise(F.col("most").cast("double"))

@@ -35,6 +35,8 @@ from .words import mixed
 
 #: Rows that ranges are cut by, at most.
 SAMPLE = 20_000
+#: Rows that a range has at least, so that a few rows are all compared.
+RANGE_ROWS = 50
 #: Rows and queries that meet in a task.
 TASK_ROWS, TASK_QUERIES = 200_000, 20_000
 _AXES, _BITS, _HASH_BITS = 8, 4, 30
@@ -68,6 +70,8 @@ def nearest(
     rows = only_vectors(table, column).where(F.exists(column, lambda x: x != 0))
     rows = rows.select("vec_id", column, F.coalesce(is_query, F.lit(False)).alias("asks"))
 
+    total, asking = rows.agg(F.count("*"), F.count_if("asks")).first()
+    ranges = max(1, min(ranges, total // RANGE_ROWS))
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vec_id", column).toArrow()
     result = "query_id long, vec_id long, score double"
     if not sample.num_rows:
@@ -84,7 +88,6 @@ def nearest(
         keys = np.sort(_keys(units, ids, curve, spread))
         cuts[curve] = keys[(np.arange(1, ranges) * len(keys)) // ranges]
 
-    total, asking = rows.agg(F.count("*"), F.count_if("asks")).first()
     row_parts = max(1, -(-total // (ranges * TASK_ROWS)))
     query_parts = max(1, -(-3 * asking // (ranges * TASK_QUERIES)))
 

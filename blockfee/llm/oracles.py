@@ -7,7 +7,7 @@ ORACLES: dict[str, str] = {}
 ORACLES["op7_line_dedup"] = r"""
 WITH split AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
   FROM documents
 ), keyed AS (
   SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
@@ -17,10 +17,10 @@ WITH split AS (
   SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20
   GROUP BY key HAVING count(DISTINCT doc_id) >= 3
 ), marked AS (
-  SELECT doc_id, line, at, last IS NOT NULL AND last <> doc_id AS gone FROM keyed LEFT JOIN shared USING (key)
+  SELECT doc_id, line, place, last IS NOT NULL AND last <> doc_id AS gone FROM keyed LEFT JOIN shared USING (key)
 )
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
 
@@ -68,3 +68,43 @@ WITH sizes AS (
 SELECT doc_id, size, source_size, target, coalesce(words, 0)::BIGINT AS taken
 FROM queued LEFT JOIN used USING (doc_id, rank, upto)
 """
+
+ORACLES["op4_jaccard"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id,
+         unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+  FROM words WHERE len(w) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * k >= 80 * (x.n + y.n - k)
+), reached AS (
+  SELECT doc_id AS node, doc_id AS root FROM documents
+  UNION SELECT b, root FROM reached JOIN links ON node = a
+)
+SELECT node AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(root) AS component_id
+FROM reached LEFT JOIN sizes ON doc_id = node GROUP BY node
+"""
+
+ORACLES["op10_exact_top_k"] = r"""
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM numbered WHERE rank <= 5
+"""

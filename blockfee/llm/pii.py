@@ -37,7 +37,10 @@ PHONE = (
     r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)"
     r"|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])"
 )
-CARD = r"(?<![\d-])\d(?:[ -]?\d){11,17}\d(?![\d-])"
+CARD = (
+    r"(?<![\d-])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7}|\d{4} \d{6} \d{4,5}|\d{4}-\d{6}-\d{4,5})"
+    r"(?![\d-])"
+)
 ACCESS_KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
 CREDENTIAL = r"(?<![A-Za-z0-9])(?:token|secret|api_key|password|passwd) {0,2}[=:] {0,2}[\"']?[A-Za-z0-9_-]{8,}"
 #: What a text is searched for. Looking at the next character first keeps most places cheap.
