@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from blockfee import operators as op
 from blockfee import plans, schemas, sinks, sources, streaming
+from blockfee.functions import to_coin, to_satoshi
 from blockfee.session import session
 from blockfee.streaming.run import (
     DEFAULT_INTERVAL,
@@ -36,18 +37,29 @@ def _node_rules(args) -> dict[str, str]:
     return {"mode": args.mode, "outputs": args.outputs, "subsidy": args.subsidy}
 
 
-def _node_put(spark: SparkSession, args) -> plans.Put:
-    return plans.put_node_fees(
-        _known(spark, args), args.table, args.quarantine, **_node_rules(args)
-    )
+def _refused(args):
+    return plans.DROP if args.drop_refused else plans.FAIL if args.fail_fast else args.quarantine
 
 
-def coinbase(spark: SparkSession, args) -> None:
-    sinks.put_coinbase(_transactions(spark, args.transactions), args.coinbase, args.batch_id)
+def _batch(args) -> dict[str, str]:
+    """Under which name a batch is put and what from; a stream has a name of its own."""
+    return {"writer": args.writer, "read_from": args.lines} if "batch_id" in args else {}
+
+
+def _node_put(spark: SparkSession, args) -> plans.Put:
+    known = _known(spark, args)
+    return plans.put_node_fees(known, args.table, _refused(args), **_node_rules(args), **_batch(args))
 
 
 def _explorer_put(spark: SparkSession, args) -> plans.Put:
-    return plans.put_explorer_fees(args.table, args.quarantine, args.mode)
+    return plans.put_explorer_fees(args.table, _refused(args), args.mode, **_batch(args))
+
+
+def coinbase(spark: SparkSession, args) -> None:
+    values = _transactions(spark, args.transactions)
+    sinks.put_coinbase(
+        values, args.coinbase, args.batch_id, args.digits, args.writer, args.transactions
+    )
 
 
 def node_batch(spark: SparkSession, args) -> None:
@@ -72,7 +84,7 @@ def explorer_stream(spark: SparkSession, args) -> None:
 
 
 def json_stream(spark: SparkSession, args) -> None:
-    _stream(spark, args, plans.put_json(args.table, args.quarantine, args.id_path, args.seq_path))
+    _stream(spark, args, plans.put_json(args.table, _refused(args), args.id_path, args.seq_path))
 
 
 def node_preview(spark: SparkSession, args) -> None:
@@ -87,15 +99,82 @@ def explorer_preview(spark: SparkSession, args) -> None:
     streaming.preview_stream(fees, args.rows, args.interval or None, args.timeout)
 
 
-def pending(spark: SparkSession, args) -> None:
+def _fees(spark: SparkSession, args, source: str | None = None) -> DataFrame:
+    """The newest fee of each height in a fee table, by source."""
     puts = sinks.read_table(spark, args.table)
-    loaded = puts.select(F.col("rowkey").try_cast("bigint").alias("height"))
+    if source or args.source:
+        puts = puts.where(F.col("source") == (source or args.source))
+    if "first" in args and args.first is not None:
+        low = args.first - args.first % plans.puts.HEIGHTS
+        puts = puts.where(F.col(plans.puts.HEIGHT_RANGE).between(low, args.last))
+    cells = sinks.latest_by_key(puts)
+    coins = F.col("unit") == "coin"
+    fee_sat = F.when(coins, to_satoshi(F.when(coins, F.col("value")).try_cast(schemas.COIN))).otherwise(
+        F.col("value").try_cast("bigint")
+    )
+    return cells.select(F.col("rowkey").cast("bigint").alias("height"), fee_sat.alias("fee_sat"), "source").select(
+        "height", to_coin(F.col("fee_sat")).alias("fee_btc"), "fee_sat", "source"
+    )
+
+
+def _loaded(spark: SparkSession, args) -> DataFrame:
+    puts = sinks.read_table(spark, args.table)
+    low = args.first - args.first % plans.puts.HEIGHTS
+    puts = puts.where(F.col(plans.puts.HEIGHT_RANGE).between(low, args.stop - 1))
+    return puts.select(F.col("rowkey").try_cast("bigint").alias("height"))
+
+
+def pending(spark: SparkSession, args) -> None:
     wanted = sources.height_range(spark, args.first, args.stop)
-    op.pending_heights(wanted, loaded).write.parquet(args.out)
+    op.pending_heights(wanted, _loaded(spark, args)).write.parquet(args.out)
+
+
+def series(spark: SparkSession, args) -> None:
+    op.fee_series(_fees(spark, args), args.first, args.last).write.parquet(args.out)
+
+
+def buckets(spark: SparkSession, args) -> None:
+    op.fee_buckets(_fees(spark, args), args.blocks).write.parquet(args.out)
+
+
+def outliers(spark: SparkSession, args) -> None:
+    op.fee_outliers(_fees(spark, args), args.above).write.parquet(args.out)
+
+
+def top(spark: SparkSession, args) -> None:
+    op.top_fees(_fees(spark, args), args.rows).write.parquet(args.out)
+
+
+def reconcile(spark: SparkSession, args) -> None:
+    node, explorer = (_fees(spark, args, source) for source in ("node", "explorer"))
+    op.compare_sources(node, explorer).write.parquet(args.out)
+
+
+def _blocks(spark: SparkSession, args) -> DataFrame:
+    """Usable blocks of a dump, above the marker if there is one."""
+    blocks = op.accepted(op.node_blocks(sources.read_lines(spark, args.lines)))
+    return op.heights_after(blocks, spark.read.parquet(args.after)) if args.after else blocks
+
+
+def headers(spark: SparkSession, args) -> None:
+    op.block_headers(_blocks(spark, args)).write.parquet(args.out)
+
+
+def edges(spark: SparkSession, args) -> None:
+    op.tx_edges(_blocks(spark, args)).write.parquet(args.out)
+
+
+def marker(spark: SparkSession, args) -> None:
+    op.progress_marker(_fees(spark, args)).write.mode("overwrite").parquet(args.out)
 
 
 def compact(spark: SparkSession, args) -> None:
-    sinks.compact(spark, args.table, args.new_table)
+    if args.kind == "coinbase":
+        sinks.compact_coinbase(spark, args.table)
+    else:
+        sinks.compact(spark, args.table, partition_by=[plans.puts.HEIGHT_RANGE] if args.kind == "fees" else [])
+    for directory in sinks.replaced(spark, args.table):
+        print(f"replaced: {directory}")
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -120,36 +199,45 @@ def _parser() -> argparse.ArgumentParser:
         either.add_argument("--transactions", help="parquet table (txid, vout)")
         either.add_argument("--coinbase", help="table written by the coinbase job")
 
+    def account(sub) -> None:
+        either = sub.add_mutually_exclusive_group(required=True)
+        either.add_argument("--quarantine", help="table for refused lines")
+        either.add_argument("--drop-refused", action="store_true", help="print how many, by reason")
+        either.add_argument("--fail-fast", action="store_true", help="fail at the first refused line")
+
+    def batch(sub) -> None:
+        sub.add_argument("--batch-id", type=int, required=True, help="another for each input")
+        sub.add_argument("--writer", default="batch", help="whose numbers these are")
+
     def stream(sub, timeout: float | None) -> None:
         sub.add_argument("--interval", default=DEFAULT_INTERVAL, help="empty: what is there, then stop")
         sub.add_argument("--timeout", type=float, default=timeout, help="seconds")
         sub.add_argument("--max-files", type=int, help="files per micro-batch")
 
-    for function, required, outputs in (
-        (node_batch, ["lines", "table"], True),
-        (explorer_batch, ["lines", "table"], False),
-    ):
-        sub = job(function, "put the fees of a text dump", *required)
-        sub.add_argument("--batch-id", type=int, default=0)
-        sub.add_argument("--quarantine")
+    for function, outputs in ((node_batch, True), (explorer_batch, False)):
+        sub = job(function, "put the fees of a text dump", "lines", "table")
+        batch(sub)
+        account(sub)
         rules(sub, outputs)
         if outputs:
             lookup(sub)
-    for function, required, outputs, timeout in (
-        (node_stream, ["lines", "table", "checkpoint"], True, NODE_TIMEOUT_SECONDS),
-        (explorer_stream, ["lines", "table", "checkpoint"], False, EXPLORER_TIMEOUT_SECONDS),
+    for function, outputs, timeout in (
+        (node_stream, True, NODE_TIMEOUT_SECONDS),
+        (explorer_stream, False, EXPLORER_TIMEOUT_SECONDS),
     ):
-        sub = job(function, "put the fees of lines as they arrive", *required)
-        sub.add_argument("--quarantine")
+        sub = job(function, "put the fees of lines as they arrive", "lines", "table", "checkpoint")
+        account(sub)
         rules(sub, outputs)
         stream(sub, timeout)
         if outputs:
-            lookup(sub)
+            # Reducing all transactions for every micro-batch would not keep up.
+            sub.add_argument("--coinbase", required=True, help="table written by the coinbase job")
 
     sub = job(coinbase, "reduce transactions for lookups", "transactions", "coinbase")
-    sub.add_argument("--batch-id", type=int, default=0)
+    sub.add_argument("--digits", type=int, default=sinks.coinbase.DIGITS, help="of the id, to partition by")
+    batch(sub)
     sub = job(json_stream, "put JSON records under their id", "lines", "table", "checkpoint")
-    sub.add_argument("--quarantine")
+    account(sub)
     sub.add_argument("--id-path", default="$.id")
     sub.add_argument("--seq-path")
     stream(sub, None)
@@ -164,7 +252,30 @@ def _parser() -> argparse.ArgumentParser:
     sub = job(pending, "write the heights a table lacks", "table", "out")
     sub.add_argument("--first", type=int, required=True)
     sub.add_argument("--stop", type=int, required=True, help="first height beyond")
-    job(compact, "write the newest puts to a new table", "table", "new-table")
+    for function, summary in (
+        (series, "write the fees of a range of heights in order"),
+        (buckets, "write count, least, greatest and total fee of runs of heights"),
+        (outliers, "write the blocks above a fee"),
+        (top, "write the blocks with the greatest fees"),
+        (reconcile, "write the fees of both sources side by side"),
+        (marker, "write the last height processed"),
+    ):
+        sub = job(function, summary, "table", "out")
+        sub.add_argument("--source", choices=["node", "explorer"], default=None if function is reconcile else "node")
+        if function is series:
+            sub.add_argument("--first", type=int, required=True)
+            sub.add_argument("--last", type=int, required=True)
+        if function is buckets:
+            sub.add_argument("--blocks", type=int, default=1000)
+        if function is outliers:
+            sub.add_argument("--above", type=int, default=200, help="coins")
+        if function is top:
+            sub.add_argument("--rows", type=int, default=10)
+    for function, summary in ((headers, "write block headers"), (edges, "write block-to-transaction edges")):
+        sub = job(function, summary, "lines", "out")
+        sub.add_argument("--after", help="a marker: only blocks above it")
+    sub = job(compact, "write the newest puts as a snapshot that readers then use", "table")
+    sub.add_argument("--kind", choices=["fees", "json", "coinbase"], default="fees")
     return parser
 
 

@@ -40,7 +40,7 @@ def subsidy_sat(height: Column) -> Column:
     return F.when(
         height < HALVING_INTERVAL * HALVINGS_UNTIL_ZERO,
         F.call_function("shiftright", F.lit(FIRST_SUBSIDY_SAT).cast("bigint"), era),
-    ).otherwise(F.lit(0).cast("bigint"))
+    ).when(height.isNotNull(), F.lit(0).cast("bigint"))
 
 
 def block_subsidy(height: Column, rule: str) -> Column:

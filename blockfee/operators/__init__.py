@@ -9,7 +9,7 @@ from blockfee.operators.coinbase import (
     merge_copies,
     output_values,
 )
-from blockfee.operators.fees import explorer_fee, node_fee
+from blockfee.operators.fees import explorer_fee, node_fee, refuse_bad_amounts
 from blockfee.operators.parse import explorer_fields, node_blocks, node_references
 from blockfee.operators.quarantine import accepted, quarantined, reason_counts, require_all
 from blockfee.operators.reconcile import compare_sources
@@ -42,6 +42,7 @@ __all__ = [
     "progress_marker",
     "quarantined",
     "reason_counts",
+    "refuse_bad_amounts",
     "require_all",
     "top_fees",
     "tx_edges",

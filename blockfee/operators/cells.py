@@ -7,23 +7,41 @@ from blockfee.operators.once import with_columns_once
 
 # Names under which results are stored.
 FEE_FAMILY, FEE_QUALIFIER = "tx_fee_col", "tx_fee"
+UNITS = {"fee_btc": "coin", "fee_sat": "satoshi"}
 JSON_FAMILY, JSON_QUALIFIER = "cfamily", "cats_json"
 
 
 def fee_cells(fees: DataFrame, value: str = "fee_btc", rowkey: str = "height") -> DataFrame:
-    """One cell per fee record, keyed by height."""
+    """One cell per fee record, keyed by height, with the source and unit of the value."""
     return fees.select(
         F.col(rowkey).cast("string").alias("rowkey"),
         F.lit(FEE_FAMILY).alias("family"),
         F.lit(FEE_QUALIFIER).alias("qualifier"),
         F.col(value).cast("string").alias("value"),
+        "source",
+        F.lit(UNITS[value]).alias("unit"),
     )
 
 
 def json_records(lines: DataFrame, id_path: str = "$.id") -> DataFrame:
-    """Add the ``id`` of each JSON line and ``reason`` (null if it has one)."""
-    keyed = with_columns_once(lines, id=F.get_json_object("value", id_path))
-    return keyed.withColumn("reason", F.when(F.col("id").isNull(), "no_id"))
+    """Add the ``id`` of each JSON line and ``reason`` (null if the line is JSON and its id a scalar)."""
+    # Inside a list nothing can follow the record but the list's own end.
+    listed = with_columns_once(lines, _listed=F.try_parse_json(F.concat(F.lit("["), "value", F.lit(",1]"))))
+    path = id_path.replace("$", "$[0]", 1)
+    whole = F.try_variant_get("_listed", "$[1]", "int").eqNullSafe(F.lit(1)) & F.try_variant_get(
+        "_listed", "$[2]", "variant"
+    ).isNull()
+    kind = F.schema_of_variant(F.try_variant_get("_listed", path, "variant"))
+    keyed = with_columns_once(
+        listed,
+        _whole=whole,
+        _scalar=~(kind.startswith("OBJECT") | kind.startswith("ARRAY")),
+        id=F.try_variant_get("_listed", path, "string"),
+    )
+    reason = (
+        F.when(~F.col("_whole"), "bad_json").when(F.col("id").isNull(), "no_id").when(~F.col("_scalar"), "bad_id")
+    )
+    return keyed.withColumn("reason", reason).drop("_listed", "_whole", "_scalar")
 
 
 def json_cells(records: DataFrame) -> DataFrame:

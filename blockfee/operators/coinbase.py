@@ -25,16 +25,31 @@ def coinbase_values(transactions: DataFrame) -> DataFrame:
 def merge_copies(values: DataFrame) -> DataFrame:
     """One row per transaction, so that the lookup below never multiplies blocks.
 
-    Copies merge before the shuffle, however many there are.
+    A whole row: of the greatest ``put_id``, if there are any, then of the later
+    writer. ``ambiguous`` says that copies put together differ. Copies merge before the
+    shuffle, however many there are.
     """
+    columns = ("first_value", "total_value", "n_outputs")
+    put_id = F.col("put_id") if "put_id" in values.columns else F.lit(0).cast("bigint")
+    put_by = F.col("put_by") if "put_by" in values.columns else F.lit("")
+    known = F.col("ambiguous") if "ambiguous" in values.columns else F.lit(False)
+    row = F.struct(*columns, known.alias("ambiguous"))
     # The grouping has one column more than the lookup key. The lookup then
     # shuffles both sides anew, the shape in which adaptive execution can split
     # a hot txid; the extra shuffle carries one short row per transaction.
-    return (
+    merged = (
         values.where(F.col("txid").isNotNull())
         .groupBy("txid", F.xxhash64("txid").alias("_spread"))
-        .agg(*[F.min(name).alias(name) for name in ("first_value", "total_value", "n_outputs")])
-        .drop("_spread")
+        .agg(
+            F.max(F.struct(put_id.alias("put_id"), put_by.alias("put_by"), row.alias("row"))).alias("_last"),
+            # The other end of the same put: of its rows the least.
+            F.min(F.struct((-put_id).alias("put_id"), row.alias("row"))).alias("_first"),
+        )
+    )
+    return merged.select(
+        "txid",
+        *[F.col(f"_last.row.{name}").alias(name) for name in columns],
+        ((F.col("_last.row") != F.col("_first.row")) | F.col("_last.row.ambiguous")).alias("ambiguous"),
     )
 
 
@@ -59,10 +74,12 @@ def output_values(
 
 
 def attach_coinbase(references: DataFrame, coinbase: DataFrame) -> DataFrame:
-    """Look up each block's generation transaction; unknown ids are left out.
+    """Look up each block's generation transaction; unknown and ambiguous ids are left out.
 
     ``coinbase`` has one row per ``txid``. No side is forced to broadcast.
     """
+    if "ambiguous" in coinbase.columns:
+        coinbase = coinbase.where(~F.col("ambiguous")).drop("ambiguous")
     return references.join(coinbase, "txid", "inner")
 
 
@@ -75,5 +92,7 @@ def look_up_coinbase(parsed: DataFrame, coinbase: DataFrame) -> DataFrame:
     alone = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))
     keyed = parsed.withColumn("_key", F.when(F.col("reason").isNull(), F.col("txid")).otherwise(alone))
     found = keyed.join(coinbase.withColumnRenamed("txid", "_key"), "_key", "left").drop("_key")
-    missing = F.when(F.col("n_outputs").isNull(), "missing_transaction")
-    return found.withColumn("reason", F.coalesce("reason", missing))
+    bad = F.when(F.col("n_outputs").isNull(), "missing_transaction")
+    if "ambiguous" in found.columns:
+        bad = bad.when(F.col("ambiguous"), "ambiguous_transaction")
+    return found.withColumn("reason", F.coalesce("reason", bad)).drop("ambiguous")

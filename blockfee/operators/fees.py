@@ -1,6 +1,6 @@
 """The transaction fee of a block."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blockfee.functions import block_subsidy, to_coin, to_satoshi
@@ -13,11 +13,7 @@ def node_fee(blocks: DataFrame, outputs: str = "first", subsidy: str = "era") ->
     ``outputs``: ``first`` counts the first output only, ``all`` every output.
     ``subsidy``: ``era`` halves it with the height, ``fixed`` is always 25 coins.
     """
-    if outputs not in ("first", "all"):
-        raise ValueError(f"unknown outputs rule: {outputs!r}")
-    paid = F.col("first_value" if outputs == "first" else "total_value")
-    # One absurd amount must not fail the job: beyond what money can be, it is null.
-    fee = (paid - block_subsidy(F.col("height"), subsidy)).try_cast(COIN)
+    fee = _fee(outputs, subsidy)
     return blocks.select("height", fee.alias("fee_btc")).select(
         "height",
         "fee_btc",
@@ -26,6 +22,22 @@ def node_fee(blocks: DataFrame, outputs: str = "first", subsidy: str = "era") ->
     )
 
 
+def _fee(outputs: str, subsidy: str) -> Column:
+    if outputs not in ("first", "all"):
+        raise ValueError(f"unknown outputs rule: {outputs!r}")
+    paid = F.col("first_value" if outputs == "first" else "total_value")
+    # One absurd amount must not fail the job: beyond what money can be, it is null.
+    return (paid - block_subsidy(F.col("height"), subsidy)).try_cast(COIN)
+
+
+def refuse_bad_amounts(
+    looked_up: DataFrame, outputs: str = "first", subsidy: str = "era"
+) -> DataFrame:
+    """Give blocks whose fee can't be money a reason."""
+    bad = F.when(_fee(outputs, subsidy).isNull(), "bad_amount")
+    return looked_up.withColumn("reason", F.coalesce("reason", bad))
+
+
 def explorer_fee(blocks: DataFrame) -> DataFrame:
     """Fee records from the fee that the explorer states itself."""
     return blocks.select(

@@ -5,11 +5,12 @@ Each parser keeps the columns of its input and adds the parsed ones and
 narrow: no shuffle, and Catalyst drops the fields nobody reads.
 
 ``named`` reads fields by name and is the default. ``positional`` addresses a
-field by its place between colons and by character offsets, which only fits
-lines printed in one exact field order and six-digit heights.
+field by its place between colons, which only fits lines printed in one exact
+field order. Both read whole numbers: what isn't digits up to the next comma is
+refused.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blockfee.functions import JSON_OPTIONS, list_items, literal_to_json, normalise_text
@@ -21,12 +22,15 @@ NODE_TX_SEGMENT = 6
 NODE_HEIGHT_SEGMENT = 8
 EXPLORER_HEIGHT_SEGMENT = 14
 EXPLORER_FEE_SEGMENT = 15
-# Characters after the fee: the separator, the next key and its quotes.
-EXPLORER_FEE_TAIL = 15
 
 TXID = "^[0-9a-f]{64}$"
 
 
+def _number(segment: Column, group: int = 1) -> Column:
+    """The digits between a colon and the next comma or closing brace; group 0 keeps the blank."""
+    return F.nullif(F.regexp_extract(segment, r"^( ?(\d+))L?[,}]", 2 if group else 1), F.lit(""))
+
+
 def _with_segments(lines: DataFrame) -> DataFrame:
     """The cleaned line, cut at its colons, as ``_segments``."""
     return with_columns_once(lines, _segments=F.split(normalise_text(F.col("value")), ":"))
@@ -80,7 +84,7 @@ def node_references(lines: DataFrame, mode: str = "named") -> DataFrame:
     if mode == "positional":
         parsed = with_columns_once(
             _with_segments(lines),
-            height_text=F.substring(F.get("_segments", NODE_HEIGHT_SEGMENT), 2, 6),
+            height_text=_number(F.get("_segments", NODE_HEIGHT_SEGMENT)),
             txid=F.substring(F.get("_segments", NODE_TX_SEGMENT), 5, 64),
         ).withColumn("height", F.col("height_text").try_cast("bigint"))
         return _with_reason(parsed, _BAD_REFERENCE, closed=False).drop("_segments")
@@ -118,18 +122,17 @@ def explorer_fields(lines: DataFrame, mode: str = "named") -> DataFrame:
     if mode == "positional":
         segments = with_columns_once(
             _with_segments(lines),
-            height_text=F.substring(F.get("_segments", EXPLORER_HEIGHT_SEGMENT), 2, 6),
-            _fee=F.get("_segments", EXPLORER_FEE_SEGMENT),
+            height_text=_number(F.get("_segments", EXPLORER_HEIGHT_SEGMENT)),
+            fee_text=_number(F.get("_segments", EXPLORER_FEE_SEGMENT)),
+            fee_text_padded=_number(F.get("_segments", EXPLORER_FEE_SEGMENT), 0),
         )
-        kept = F.length("_fee") - EXPLORER_FEE_TAIL
         parsed = segments.withColumns(
             {
-                "fee_text": F.substr("_fee", F.lit(2), F.greatest(kept - 1, F.lit(0))),
-                "fee_text_padded": F.substr("_fee", F.lit(1), F.greatest(kept, F.lit(0))),
                 "height": F.col("height_text").try_cast("bigint"),
+                "fee_sat": F.col("fee_text").try_cast("bigint"),
             }
-        ).withColumn("fee_sat", F.col("fee_text").try_cast("bigint"))
-        return _with_reason(parsed, _BAD_EXPLORER, closed=False).drop("_segments", "_fee")
+        )
+        return _with_reason(parsed, _BAD_EXPLORER, closed=False).drop("_segments")
     if mode == "named":
         record = F.from_json(literal_to_json(F.col("_rest")), EXPLORER_BLOCK, JSON_OPTIONS)
         cut = _with_list_cut(lines, "transaction_hashes")

@@ -17,7 +17,7 @@ def quarantined(parsed: DataFrame) -> DataFrame:
 def require_all(parsed: DataFrame) -> DataFrame:
     """Fail the job at the first refused line instead of setting it aside."""
     message = F.concat(
-        F.lit("unusable line ("), F.col("reason"), F.lit("): "), F.left("value", F.lit(200))
+        F.lit("unusable line ("), F.col("reason"), F.lit("): "), F.coalesce(F.left("value", F.lit(200)), F.lit(""))
     )
     checked = F.when(F.col("reason").isNull(), True).otherwise(
         F.raise_error(message).cast("boolean")

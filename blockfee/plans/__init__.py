@@ -1,9 +1,11 @@
 """Whole jobs, composed of operators."""
 
 from blockfee.plans.fees import explorer_fees, node_fees
-from blockfee.plans.puts import Put, put_explorer_fees, put_json, put_node_fees
+from blockfee.plans.puts import DROP, FAIL, Put, put_explorer_fees, put_json, put_node_fees
 
 __all__ = [
+    "DROP",
+    "FAIL",
     "Put",
     "explorer_fees",
     "node_fees",

@@ -16,11 +16,22 @@ from blockfee.operators import (
     node_fee,
     node_references,
     quarantined,
+    reason_counts,
+    refuse_bad_amounts,
+    require_all,
 )
 from blockfee.sinks import put_batch
 
 Put = Callable[[DataFrame, int], None]
 
+#: Instead of a quarantine table: leave refused lines out and print how many, by
+#: reason; or fail at the first one.
+DROP, FAIL = object(), object()
+
+#: Heights in a partition of the fee table.
+HEIGHTS = 10_000
+HEIGHT_RANGE = "height_range"
+
 
 def _without_good_lines(parsed: DataFrame, *columns: str) -> DataFrame:
     """Parsed columns; the raw line only where it was refused."""
@@ -28,16 +39,56 @@ def _without_good_lines(parsed: DataFrame, *columns: str) -> DataFrame:
     return parsed.select(*columns, "reason", line)
 
 
+def _writer(lines: DataFrame, writer: str | None) -> str:
+    """The name under which a batch is put: for a micro-batch, that of its stream."""
+    stream = lines.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return writer or (f"stream-{stream}" if stream else "batch")
+
+
+def _put(
+    outcome: DataFrame,
+    cells: Callable[[DataFrame], DataFrame],
+    table: str,
+    refused,
+    batch_id: int,
+    writer: str,
+    read_from: str | None,
+    partition_by: tuple[str, ...] = (),
+) -> None:
+    """Put the accepted rows, and account for all others."""
+    if refused is FAIL:
+        put_batch(cells(require_all(outcome)), table, batch_id, partition_by, writer, read_from)
+        return
+    outcome = outcome.persist()
+    try:
+        put_batch(cells(accepted(outcome)), table, batch_id, partition_by, writer, read_from)
+        if refused is DROP:
+            for row in reason_counts(outcome).orderBy("reason").collect():
+                print(f"batch {batch_id}: {row.reason}: {row.lines} lines")
+        else:
+            put_batch(quarantined(outcome), refused, batch_id, (), writer, read_from)
+    finally:
+        outcome.unpersist()
+
+
+def _fee_cells(fees: DataFrame, value: str) -> DataFrame:
+    height = F.col("rowkey").cast("bigint")
+    return fee_cells(fees, value).withColumn(HEIGHT_RANGE, height - F.pmod(height, F.lit(HEIGHTS)))
+
+
 def put_node_fees(
     coinbase: Callable[[DataFrame], DataFrame],
     table: str,
-    quarantine: str | None = None,
+    refused,
     mode: str = "named",
     outputs: str = "first",
     subsidy: str = "era",
+    writer: str | None = None,
+    read_from: str | None = None,
 ) -> Put:
-    """Put the fees of node block lines; refused lines go to ``quarantine``.
+    """Put the fees of node block lines.
 
+    ``refused`` is a table for the lines that are not put, or ``DROP`` or ``FAIL``.
     ``coinbase`` gets the parsed lines of each batch and gives the transactions
     to look them up in, so a stream sees those that arrived since the last batch
     and need not read all of them. Blocks whose transaction is still missing are
@@ -48,59 +99,74 @@ def put_node_fees(
         # The long lines are scanned once; what is kept is short, and a lost
         # block of it is computed again from the lines.
         parsed = _without_good_lines(node_references(lines, mode), "height", "txid").persist()
-        outcome = look_up_coinbase(parsed, coinbase(parsed))
-        if quarantine is not None:
-            outcome = outcome.persist()
+        looked_up = refuse_bad_amounts(look_up_coinbase(parsed, coinbase(parsed)), outputs, subsidy)
+        columns = ["height", "txid", "reason", "value", "first_value", "total_value"]
         try:
-            put_batch(fee_cells(node_fee(accepted(outcome), outputs, subsidy)), table, batch_id)
-            if quarantine is not None:
-                refused = quarantined(outcome).select("height", "txid", "reason", "value")
-                put_batch(refused, quarantine, batch_id)
+            _put(
+                looked_up.select(*columns),
+                lambda rows: _fee_cells(node_fee(rows, outputs, subsidy), "fee_btc"),
+                table,
+                refused,
+                batch_id,
+                _writer(lines, writer),
+                read_from,
+                (HEIGHT_RANGE,),
+            )
         finally:
-            outcome.unpersist()
             parsed.unpersist()
 
     return put
 
 
 def put_explorer_fees(
-    table: str, quarantine: str | None = None, mode: str = "named", value: str = "fee_sat"
+    table: str,
+    refused,
+    mode: str = "named",
+    value: str = "fee_sat",
+    writer: str | None = None,
+    read_from: str | None = None,
 ) -> Put:
     """Put the fees of explorer block lines, in the unit the explorer states."""
 
     def put(lines: DataFrame, batch_id: int) -> None:
-        fields = explorer_fields(lines, mode)
-        if quarantine is None:
-            put_batch(fee_cells(explorer_fee(accepted(fields)), value), table, batch_id)
-            return
-        parsed = _without_good_lines(fields, "height", "fee_sat").persist()
-        try:
-            put_batch(fee_cells(explorer_fee(accepted(parsed)), value), table, batch_id)
-            put_batch(quarantined(parsed), quarantine, batch_id)
-        finally:
-            parsed.unpersist()
+        _put(
+            _without_good_lines(explorer_fields(lines, mode), "height", "fee_sat"),
+            lambda rows: _fee_cells(explorer_fee(rows), value),
+            table,
+            refused,
+            batch_id,
+            _writer(lines, writer),
+            read_from,
+            (HEIGHT_RANGE,),
+        )
 
     return put
 
 
 def put_json(
     table: str,
-    quarantine: str | None = None,
+    refused,
     id_path: str = "$.id",
     seq_path: str | None = None,
+    writer: str | None = None,
+    read_from: str | None = None,
 ) -> Put:
-    """Put JSON lines under their id; lines without one go to ``quarantine``.
+    """Put JSON lines under their id.
 
     Within one batch the record greatest by ``seq_path`` is the newest; without
     it, the greatest text is, so that a replay decides the same way.
     """
 
     def put(lines: DataFrame, batch_id: int) -> None:
-        records = json_records(lines, id_path)
         seq = F.get_json_object("value", seq_path) if seq_path else F.lit(None).cast("string")
-        cells = json_cells(accepted(records).withColumn("seq", seq.try_cast("bigint")))
-        put_batch(cells, table, batch_id)
-        if quarantine is not None:
-            put_batch(quarantined(records).select("reason", "value"), quarantine, batch_id)
+        _put(
+            json_records(lines, id_path),
+            lambda rows: json_cells(rows.withColumn("seq", seq.try_cast("bigint"))),
+            table,
+            refused,
+            batch_id,
+            _writer(lines, writer),
+            read_from,
+        )
 
     return put

@@ -1,13 +1,15 @@
 """Replay-safe keyed tables on plain parquet."""
 
-from blockfee.sinks.coinbase import coinbase_reader, put_coinbase
-from blockfee.sinks.tables import compact, latest_by_key, put_batch, read_table
+from blockfee.sinks.coinbase import coinbase_reader, compact_coinbase, put_coinbase
+from blockfee.sinks.tables import compact, latest_by_key, put_batch, read_table, replaced
 
 __all__ = [
     "coinbase_reader",
     "compact",
+    "compact_coinbase",
     "latest_by_key",
     "put_batch",
     "put_coinbase",
     "read_table",
+    "replaced",
 ]

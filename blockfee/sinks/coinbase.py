@@ -2,6 +2,7 @@
 
 A stream looks up few ids per micro-batch. The table is therefore kept reduced
 to one short row per transaction, and partitioned by the first digits of the id.
+How many digits is noted with the table.
 """
 
 from collections.abc import Callable
@@ -10,9 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blockfee.operators import merge_copies
-from blockfee.sinks.tables import put_batch, read_table
+from blockfee.sinks.tables import compact, note_once, put_batch, read_note, read_table
 
 DIGITS = 2
+#: Readers ask for partitions by name; there are 16 ** MOST_DIGITS at most.
+MOST_DIGITS = 3
 
 
 def _prefix(txid: str, digits: int) -> Column:
@@ -20,19 +23,31 @@ def _prefix(txid: str, digits: int) -> Column:
     return F.concat(F.lit("x"), F.substring(txid, 1, digits))
 
 
-def put_coinbase(values: DataFrame, path: str, batch_id: int, digits: int = DIGITS) -> None:
+def put_coinbase(
+    values: DataFrame,
+    path: str,
+    batch_id: int,
+    digits: int = DIGITS,
+    writer: str = "batch",
+    read_from: str | None = None,
+) -> None:
     """Add one batch of transactions, reduced by ``coinbase_values``.
 
-    More ``digits`` make smaller partitions: 16 with one, 256 with two.
+    More ``digits`` make smaller partitions: 16 with one, 256 with two. All
+    batches of a table have the same number.
     """
+    if not 1 <= digits <= MOST_DIGITS:
+        raise ValueError(f"digits must be 1 to {MOST_DIGITS}")
+    note_once(values.sparkSession, path, "digits", str(digits))
     rows = values.withColumn("prefix", _prefix("txid", digits))
-    put_batch(rows, path, batch_id, partition_by=["prefix"])
+    if "ambiguous" not in rows.columns:
+        rows = rows.withColumn("ambiguous", F.lit(False))
+    put_batch(rows, path, batch_id, ["prefix"], writer, read_from)
 
 
-def coinbase_reader(
-    spark: SparkSession, path: str, digits: int = DIGITS
-) -> Callable[[DataFrame], DataFrame]:
+def coinbase_reader(spark: SparkSession, path: str) -> Callable[[DataFrame], DataFrame]:
     """Read those partitions of the table that parsed lines ask for."""
+    digits = int(read_note(spark, path, "digits") or DIGITS)
 
     def read(parsed: DataFrame) -> DataFrame:
         usable = parsed.where(F.col("reason").isNull())
@@ -42,3 +57,9 @@ def coinbase_reader(
         return merge_copies(table.where(F.col("prefix").isin([r.prefix for r in wanted])))
 
     return read
+
+
+def compact_coinbase(spark: SparkSession, path: str) -> None:
+    """Compaction with the keys of this table; copies of a batch that differ both stay."""
+    values = ["first_value", "total_value", "n_outputs", "ambiguous"]
+    compact(spark, path, ["txid", "prefix", *values], ["put_id", "put_by"], ["prefix"])

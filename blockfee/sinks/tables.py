@@ -1,57 +1,133 @@
 """A keyed table as a log of batches.
 
-Every put writes one directory ``batch_id=<n>``; writing the same batch again
-replaces that directory, so a replayed batch changes nothing. Reading takes the
-newest put per key. Compaction writes the newest puts to a new directory, which
-is itself such a table.
+Every put writes one directory ``writer=<name>/batch=<n>``; writing the same batch of
+the same writer again replaces that directory, so a replayed batch changes nothing
+and no writer touches another's puts. Rows carry ``put_id`` and ``put_by``, the number
+and writer of their batch. Reading takes the newest put per key: the greater number,
+then the greater ``seq``, then the later writer by name.
+
+Compaction writes the newest puts of all batches it finds as one snapshot, and then a
+note that names the snapshot and, for each writer, the last batch in it. Readers follow
+the latest note: the snapshot and what came after it. Batches that arrive meanwhile are
+after it, so nothing is lost beside a running stream.
 """
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blockfee.schemas import CELL_KEY
 
-#: Directory number of compacted puts, below that of any batch.
-COMPACTED = -1
+#: Writer name of snapshots; no other writer may have it.
+SNAPSHOT = "~snapshot"
+NOTES = "_notes"
+
+
+def read_note(spark: SparkSession, path: str, name: str) -> str | None:
+    """What was noted beside a table, or None."""
+    try:
+        rows = spark.read.text(f"{path}/{NOTES}/{name}", wholetext=True).collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return rows[0].value.rstrip("\n") if rows else None
+
+
+def note_once(spark: SparkSession, path: str, name: str, text: str) -> None:
+    """Note something that must never be another; fails if it is."""
+    known = read_note(spark, path, name)
+    if known is None:
+        row = spark.createDataFrame([(text,)], "value string").coalesce(1)
+        row.write.mode("errorifexists").text(f"{path}/{NOTES}/{name}")
+    elif known != text:
+        raise ValueError(f"{path}: {name} is {known!r}, not {text!r}")
 
 
 def put_batch(
-    rows: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()
+    rows: DataFrame,
+    path: str,
+    batch_id: int,
+    partition_by: Sequence[str] = (),
+    writer: str = "batch",
+    read_from: str | None = None,
 ) -> None:
     """Write one batch of puts.
 
     With ``partition_by``, rows are rebalanced on those columns: adaptive
     execution then splits a value that holds most rows and joins small ones.
+    ``read_from`` says what the batch was made from; the same number with another
+    input is refused instead of replacing what was put.
     """
-    puts = rows.withColumn("put_id", F.lit(batch_id).cast("bigint"))
+    if writer == SNAPSHOT or "/" in writer:
+        raise ValueError(f"no name for a writer: {writer!r}")
+    if read_from is not None:
+        note_once(rows.sparkSession, path, f"input-{writer}-{batch_id}", read_from)
+    puts = rows.withColumns(
+        {"put_id": F.lit(batch_id).cast("bigint"), "put_by": F.lit(writer)}
+    )
+    _write(puts, f"{path}/writer={writer}/batch={batch_id}", partition_by, "overwrite")
+
+
+def _write(rows: DataFrame, path: str, partition_by: Sequence[str], mode: str) -> None:
     if partition_by:
-        puts = puts.hint("rebalance", *partition_by)
-    writer = puts.write.mode("overwrite")
+        rows = rows.hint("rebalance", *partition_by)
+    writer = rows.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{path}/batch_id={batch_id}")
+    writer.parquet(path)
+
+
+def _all_batches(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("basePath", path).parquet(path)
+
+
+def _version(spark: SparkSession, path: str) -> tuple[int, dict[str, int]]:
+    """Number of the latest snapshot (-1: none), and the last batch in it of each writer."""
+    version, closed = -1, {}
+    while (note := read_note(spark, path, f"snapshot-{version + 1}")) is not None:
+        version, closed = version + 1, json.loads(note)
+    return version, closed
+
+
+def _current(version: int, closed: dict[str, int]) -> Column:
+    """Directories that count, by their partition values alone."""
+    writer, batch = F.col("writer"), F.col("batch")
+    later = writer != SNAPSHOT
+    for name, last in closed.items():
+        later = later & ((writer != name) | (batch > last))
+    return later | ((writer == SNAPSHOT) & (batch == version))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """All puts ever made, with ``put_id``, the batch that made them."""
-    return spark.read.option("basePath", path).parquet(path).drop("batch_id")
+    """All puts since the latest compaction, and the newest ones before it."""
+    rows = _all_batches(spark, path).where(_current(*_version(spark, path)))
+    return rows.drop("writer", "batch")
+
+
+def cell_keys(puts: DataFrame) -> list[str]:
+    """What tells cells apart; results of different sources are different cells."""
+    return [name for name in (*CELL_KEY, "source") if name in puts.columns]
 
 
 def latest_by_key(
     puts: DataFrame,
-    keys: Sequence[str] = CELL_KEY,
+    keys: Sequence[str] | None = None,
     order: Sequence[str] | None = None,
 ) -> DataFrame:
     """The newest put per key by ``order``, ties going to the greatest row.
 
-    By default the later batch wins, and within a batch the greater ``seq``, if
-    the table has that column. An aggregation with one row of state per key, combined before the shuffle,
-    so a key that was put very often costs no more than any other.
+    By default the later batch wins, within a batch the greater ``seq``, if the
+    table has that column, and then the writer whose name comes later. An
+    aggregation with one row of state per key, combined before the shuffle, so a key
+    that was put very often costs no more than any other.
     """
+    keys = list(keys or cell_keys(puts))
     if order is None:
-        order = [name for name in ("put_id", "seq") if name in puts.columns]
+        order = [name for name in ("put_id", "seq", "put_by") if name in puts.columns]
     others = [name for name in puts.columns if name not in keys and name not in order]
     newest = puts.groupBy(*keys).agg(F.max(F.struct(*order, *others)).alias("_newest"))
     return newest.select(*keys, *[F.col("_newest")[name].alias(name) for name in (*others, *order)])
@@ -60,10 +136,34 @@ def latest_by_key(
 def compact(
     spark: SparkSession,
     path: str,
-    new_path: str,
-    keys: Sequence[str] = CELL_KEY,
+    keys: Sequence[str] | None = None,
     order: Sequence[str] | None = None,
+    partition_by: Sequence[str] = (),
 ) -> None:
-    """Write the newest put per key of a table to a new table."""
-    newest = latest_by_key(read_table(spark, path), keys, order)
-    newest.write.mode("errorifexists").parquet(f"{new_path}/batch_id={COMPACTED}")
+    """Write the newest put per key as the next snapshot, which readers then use.
+
+    Reads the last snapshot and the batches after it only. What a snapshot replaces stays
+    where it is, for readers that began before; ``replaced`` lists it.
+    """
+    version, closed = _version(spark, path)
+    # A row for each directory.
+    found = _all_batches(spark, path).select("writer", "batch").distinct()
+    last = found.where(F.col("writer") != SNAPSHOT).groupBy("writer").agg(F.max("batch").alias("last"))
+    upto = {**closed, **{row.writer: int(row.last) for row in last.collect()}}
+    rows = _all_batches(spark, path).where(_current(version, closed))
+    # Batches that arrive from here on are not in the snapshot.
+    within = F.lit(False)
+    for name, batch in upto.items():
+        within = within | ((F.col("writer") == name) & (F.col("batch") <= batch))
+    rows = rows.where(within | (F.col("writer") == SNAPSHOT)).drop("writer", "batch")
+    target = f"{path}/writer={SNAPSHOT}/batch={version + 1}"
+    # What an interrupted compaction left is not noted, so it may go.
+    _write(latest_by_key(rows, keys, order), target, partition_by, "overwrite")
+    note_once(spark, path, f"snapshot-{version + 1}", json.dumps(upto, sort_keys=True))
+
+
+def replaced(spark: SparkSession, path: str) -> list[str]:
+    """Directories that the latest snapshot replaces; their owner may remove them."""
+    version, closed = _version(spark, path)
+    found = _all_batches(spark, path).where(~_current(version, closed)).select("writer", "batch").distinct()
+    return sorted(f"{path}/writer={row.writer}/batch={row.batch}" for row in found.collect())

@@ -12,11 +12,11 @@ coinbase AS (
   FROM lineitem GROUP BY l_orderkey
 )"""
 
-# Fees by the fixed rules. Positional parsing takes six characters of the height.
+# Fees by the fixed rules.
 _PARITY = f"""
 WITH {_COINBASE},
 fees AS (
-  SELECT CAST(left(CAST(210000 + o_orderkey AS VARCHAR), 6) AS BIGINT) AS height,
+  SELECT 210000 + o_orderkey AS height,
          CAST(first_value - 25 AS DECIMAL(18,8)) AS fee_btc
   FROM orders JOIN coinbase ON l_orderkey = o_orderkey
 )
@@ -57,7 +57,7 @@ _LATEST_JSON = (
     f"SELECT {_ID} AS rowkey, arg_max({_RECORD}, event_id) AS value FROM events GROUP BY 1"
 )
 _EXPLORER_TEXT = f"""
-SELECT left(CAST(210000 + o_orderkey AS VARCHAR), 6) AS height_text,
+SELECT CAST(210000 + o_orderkey AS VARCHAR) AS height_text,
        CAST({_PRICE_SAT} AS VARCHAR) AS fee_text,
        ' ' || CAST({_PRICE_SAT} AS VARCHAR) AS fee_text_padded
 FROM orders"""
@@ -80,11 +80,9 @@ FROM orders"""
 # Characters between the colons of a printed block, from the lengths of its parts.
 _SEGMENTS = """
 WITH lines AS (
-  SELECT CASE o_orderpriority
-           WHEN '3-MEDIUM' THEN left(line, length(line) - 40) ELSE line END AS value
+  SELECT line AS value
   FROM (
-    SELECT o_orderpriority,
-           '{u''hash'': u''' || sha256('h' || o_orderkey)
+    SELECT '{u''hash'': u''' || sha256('h' || o_orderkey)
            || ''', u''confirmations'': ' || (o_custkey + 1)
            || ', u''size'': ' || (o_custkey + 1000)
            || ', u''bits'': u''' || lpad(printf('%x', o_custkey), 8, '0')
@@ -103,7 +101,7 @@ WITH lines AS (
            || CASE WHEN o_orderstatus = 'P' THEN 'None'
                 ELSE 'u''' || sha256('h' || (o_orderkey + 1)) || '''' END
            || '}' AS line
-    FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH')
+    FROM orders
   )
 ),
 parts AS (SELECT string_split(value, ':') AS p FROM lines
@@ -121,7 +119,7 @@ ORACLES: dict[str, str] = {
 SELECT 210000 + o_orderkey AS height, {_PRICE_SAT} AS fee_sat, {_coin(_PRICE_SAT)} AS fee_btc
 FROM orders""",
     "q05_coinbase_ref": f"""
-SELECT left(CAST(210000 + o_orderkey AS VARCHAR), 6) AS height_text, {_TX} AS txid FROM orders""",
+SELECT CAST(210000 + o_orderkey AS VARCHAR) AS height_text, {_TX} AS txid FROM orders""",
     "q06_text_normalise": r"""
 SELECT doc_id, regexp_replace(text, '[^\x00-\x7F]', '', 'g') AS text FROM documents""",
     "q07_subsidy_by_height": f"""
@@ -130,7 +128,7 @@ FROM orders""",
     "q08_fee_era": _era_fees("o_orderkey * 60") + "SELECT height, fee_btc, fee_sat FROM fees",
     "q09_put_rows": _PARITY + """
 SELECT CAST(height AS VARCHAR) AS rowkey, 'tx_fee_col' AS family, 'tx_fee' AS qualifier,
-       CAST(fee_btc AS VARCHAR) AS value
+       CAST(fee_btc AS VARCHAR) AS value, 'node' AS source, 'coin' AS unit
 FROM fees""",
     "q10_latest_by_key": _LATEST_JSON,
     "q11_json_cells": f"""
@@ -149,9 +147,10 @@ SELECT 210000 + o_orderkey AS height, CAST(0 AS INTEGER) AS pos, {_TX} AS txid F
 UNION ALL SELECT 210000 + o_orderkey, 1, sha256(o_orderkey || '-1') FROM orders
 UNION ALL SELECT 210000 + o_orderkey, 2, sha256(o_orderkey || '-2') FROM orders""",
     "q16_reward_all_outputs": """
-SELECT sha256(CAST(l_orderkey AS VARCHAR)) AS txid, CAST(count(*) AS INTEGER) AS n_outputs,
+SELECT 210000 + l_orderkey AS height, sha256(CAST(l_orderkey AS VARCHAR)) AS txid,
+       CAST(count(*) AS INTEGER) AS n_outputs,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,8))) AS DECIMAL(28,8)) AS total_value,
-       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,8))) - 25 AS DECIMAL(28,8)) AS fee_btc
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,8))) - 25 AS DECIMAL(18,8)) AS fee_btc
 FROM lineitem GROUP BY l_orderkey""",
     "q17_fee_series_slice": _PARITY + f"""
 SELECT height, fee_btc FROM fees
@@ -166,7 +165,7 @@ SELECT height, fee_btc FROM fees ORDER BY fee_btc DESC, height LIMIT 10""",
 node AS (SELECT height, min(fee_sat) AS node_fee_sat, max(fee_sat) AS node_max
          FROM fees GROUP BY height),
 stated AS (SELECT 210000 + o_orderkey AS height, {_PRICE_SAT} AS fee_sat
-           FROM orders WHERE o_orderstatus <> 'P'),
+           FROM orders),
 explorer AS (SELECT height, min(fee_sat) AS explorer_fee_sat, max(fee_sat) AS explorer_max
              FROM stated GROUP BY height)
 SELECT height, node_fee_sat, explorer_fee_sat,
@@ -177,8 +176,11 @@ SELECT height, node_fee_sat, explorer_fee_sat,
             WHEN node_fee_sat = explorer_fee_sat THEN 'match' ELSE 'differ' END AS status
 FROM node FULL JOIN explorer USING (height)""",
     "q21_quarantine": """
-SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'stray_text' WHEN '2-HIGH' THEN 'empty_line'
-            WHEN '3-MEDIUM' THEN 'truncated'
+SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN 'stray_text'
+            WHEN o_orderpriority = '2-HIGH' THEN 'empty_line'
+            WHEN o_orderpriority = '3-MEDIUM' THEN 'truncated'
+            WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'F' THEN 'bad_height'
+            WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'O' THEN 'bad_txid'
             ELSE CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem) THEN 'ok'
                       ELSE 'missing_transaction' END END AS reason,
        count(*) AS lines
@@ -197,17 +199,50 @@ SELECT 210000 + o_orderkey AS height, sha256('h' || o_orderkey) AS hash,
 FROM orders WHERE 210000 + o_orderkey >= {SERIES_FIRST}
   AND 210000 + o_orderkey < {SERIES_LAST}""",
     "q27_fee_table_upsert": _era_fees("210000 + o_orderkey") + f""",
-explorer AS (SELECT 210000 + o_orderkey AS height, {_coin(_PRICE_SAT)} AS fee_btc
-             FROM orders WHERE o_orderstatus = 'F'),
-puts AS (SELECT height, CAST(fee_btc AS VARCHAR) AS value, 0 AS put_id FROM fees
-         UNION ALL SELECT height, CAST(fee_btc AS VARCHAR), 1 FROM explorer)
+puts AS (SELECT height, CAST(fee_btc AS VARCHAR) AS value, 'node' AS source, 'coin' AS unit,
+                1::BIGINT AS put_id FROM fees
+         UNION ALL SELECT 210000 + o_orderkey, CAST({_PRICE_SAT} AS VARCHAR), 'explorer', 'satoshi', 0
+         FROM orders)
 SELECT CAST(height AS VARCHAR) AS rowkey, 'tx_fee_col' AS family, 'tx_fee' AS qualifier,
-       arg_max(value, (put_id, value)) AS value,
-       CAST(max(put_id) AS BIGINT) AS put_id
-FROM puts GROUP BY height""",
+       value, source, unit, put_id, source AS put_by
+FROM puts""",
     "q28_fee_outliers": _PARITY + f"""
 SELECT height, fee_btc FROM fees WHERE fee_btc > {OUTLIER_COINS}""",
     "q29_line_segments": _SEGMENTS,
     "q30_progress_marker": _PARITY + """
 SELECT max(height) AS last_block_processed FROM fees""",
+    "q31_fee_nested_outputs": f"""
+WITH {_COINBASE},
+totals AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,8))) AS total FROM lineitem GROUP BY 1)
+SELECT 210000 + o_orderkey AS height,
+       CAST(first_value - {_coin(_SUBSIDY.format(h="(210000 + o_orderkey)"))} AS DECIMAL(18,8)) AS first_fee,
+       CAST(total - {_coin(_SUBSIDY.format(h="(210000 + o_orderkey)"))} AS DECIMAL(18,8)) AS all_fee
+FROM orders JOIN coinbase ON coinbase.l_orderkey = o_orderkey
+JOIN totals ON totals.l_orderkey = o_orderkey""",
+    "q32_text_escapes": r"""
+SELECT doc_id, regexp_replace(text, '[^\x00-\x7F]', '', 'g') AS text FROM documents""",
+    "q33_rounded_amounts": """
+SELECT o_orderkey, CAST(round(CAST(o_totalprice AS DECIMAL(18,2)) * 0.123456789::DECIMAL(10,9), 8)
+                        AS DECIMAL(18,8)) AS amount
+FROM orders""",
+    "q34_quarantine_explorer": """
+SELECT CASE o_orderstatus WHEN 'P' THEN 'bad_fee' WHEN 'F' THEN 'bad_height' ELSE 'ok' END AS reason,
+       count(*) AS lines
+FROM orders GROUP BY 1""",
+    "q35_quarantine_json": """
+SELECT CASE event_type WHEN 'click' THEN 'no_id' WHEN 'view' THEN 'bad_json' WHEN 'purchase' THEN 'bad_id'
+            ELSE 'ok' END AS reason,
+       count(*) AS lines
+FROM events GROUP BY 1""",
+    "q36_corrected_lookup": f"""
+WITH {_COINBASE},
+totals AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,8))) AS total, count(*) AS n
+           FROM lineitem GROUP BY 1)
+SELECT 210000 + o_orderkey AS height,
+       CAST(first_value + CASE WHEN o_orderkey % 3 = 0 THEN 5 ELSE 0 END AS DECIMAL(18,8)) AS first_value,
+       CAST(total - CASE WHEN o_orderkey % 3 = 0 THEN 3 ELSE 0 END AS DECIMAL(28,8)) AS total_value,
+       CAST(n AS INTEGER) AS n_outputs,
+       CASE WHEN n IS NULL THEN 'missing_transaction' END AS reason
+FROM orders LEFT JOIN coinbase ON coinbase.l_orderkey = o_orderkey
+LEFT JOIN totals ON totals.l_orderkey = o_orderkey""",
 }

@@ -1,13 +1,14 @@
 """Every query: (spark, sf_dir) -> DataFrame."""
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blockfee import operators as op
 from blockfee import plans, sinks, sources, streaming
-from blockfee.functions import normalise_text, subsidy_sat
+from blockfee.functions import normalise_text, round_coin, subsidy_sat
 from blockfee.schemas import COIN, TOTAL_COIN
 from catalogue import standin
 
@@ -15,7 +16,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SERIES_FIRST, SERIES_LAST = 211_000, 214_000
 OUTLIER_COINS = 50_000
-MICRO_BATCHES = 2
+#: Files of a dump in a micro-batch.
+FILES_PER_TRIGGER = 4
 
 
 def _node_fees(spark: SparkSession, sf_dir: str, **rules: str) -> DataFrame:
@@ -41,13 +43,9 @@ def _written_lines(lines: DataFrame, spark: SparkSession) -> str:
 
 
 def _stream(lines: DataFrame, put: plans.Put, spark: SparkSession, base: str) -> None:
-    """Write lines as a text dump, then stream it in a few micro-batches.
-
-    Their number does not grow with the dump; each reads lookup data once.
-    """
-    files = lines.rdd.getNumPartitions()
+    """Write lines as a text dump, then stream it, so many files at a time."""
     dump = _written_lines(lines, spark)
-    source = sources.stream_lines(spark, dump, -(-files // MICRO_BATCHES))
+    source = sources.stream_lines(spark, dump, FILES_PER_TRIGGER)
     streaming.run_stream(source, put, f"{base}/checkpoint", interval=None)
 
 
@@ -130,13 +128,11 @@ def block_tx_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reward_all_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values = standin.coinbase(spark, sf_dir)
-    return values.select(
-        "txid",
-        "n_outputs",
-        "total_value",
-        (F.col("total_value") - 25).cast(TOTAL_COIN).alias("fee_btc"),
-    )
+    values = op.coinbase_values(standin.transactions(spark, sf_dir))
+    references = op.accepted(op.node_references(standin.node_lines(spark, sf_dir)))
+    blocks = op.attach_coinbase(references.select("height", "txid"), values)
+    fees = op.node_fee(blocks, outputs="all", subsidy="fixed").select("height", "fee_btc")
+    return blocks.select("height", "txid", "n_outputs", "total_value").join(fees, "height")
 
 
 def fee_series_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,8 +152,7 @@ def fee_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mode_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The explorer has not indexed pending orders.
-    lines = standin.explorer_lines(spark, sf_dir).where(F.col("o_orderstatus") != "P")
+    lines = standin.explorer_lines(spark, sf_dir)
     return op.compare_sources(_node_fees(spark, sf_dir), plans.explorer_fees(lines))
 
 
@@ -172,8 +167,9 @@ def stream_fee_node(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = standin.coinbase(spark, sf_dir).drop("l_orderkey")
     # Every micro-batch is a large part of the chain, so few partitions do.
     sinks.put_coinbase(values, f"{base}/coinbase", 0, digits=1)
-    known = sinks.coinbase_reader(spark, f"{base}/coinbase", digits=1)
-    put = plans.put_node_fees(known, f"{base}/table", mode="positional", subsidy="fixed")
+    known = sinks.coinbase_reader(spark, f"{base}/coinbase")
+    refused = f"{base}/refused"
+    put = plans.put_node_fees(known, f"{base}/table", refused, mode="positional", subsidy="fixed")
     _stream(standin.node_lines(spark, sf_dir), put, spark, base)
     cells = sinks.read_table(spark, f"{base}/table")
     return cells.select(
@@ -183,14 +179,14 @@ def stream_fee_node(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_fee_explorer(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = streaming.work_dir(spark)
-    put = plans.put_explorer_fees(f"{base}/table", mode="positional")
+    put = plans.put_explorer_fees(f"{base}/table", f"{base}/refused", mode="positional")
     _stream(standin.explorer_lines(spark, sf_dir), put, spark, base)
     return sinks.read_table(spark, f"{base}/table").select("rowkey", "value")
 
 
 def stream_json_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = streaming.work_dir(spark)
-    put = plans.put_json(f"{base}/table", seq_path="$.event")
+    put = plans.put_json(f"{base}/table", f"{base}/refused", seq_path="$.event")
     _stream(standin.json_lines(spark, sf_dir), put, spark, base)
     puts = sinks.read_table(spark, f"{base}/table")
     return sinks.latest_by_key(puts, order=("seq", "put_id")).select("rowkey", "value")
@@ -213,23 +209,23 @@ def blocks_by_height(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fee_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Node fees put first, a replay of that batch, then explorer fees put over
-    them; compacted and read back."""
-    base = streaming.work_dir(spark)
-    table, compacted = f"{base}/table", f"{base}/compacted"
+    """All explorer fees put by one writer; node fees by the fixed subsidy by another, compacted, then put
+    anew by the era's, with a replay."""
+    table = f"{streaming.work_dir(spark)}/table"
+    explorer = op.fee_cells(plans.explorer_fees(standin.explorer_lines(spark, sf_dir)), "fee_sat")
+    sinks.put_batch(explorer, table, 0, writer="explorer")
+    fixed = _node_fees(spark, sf_dir, subsidy="fixed", outputs="all")
+    sinks.put_batch(op.fee_cells(fixed), table, 0, writer="node")
+    sinks.compact(spark, table)
     node = op.fee_cells(_node_fees(spark, sf_dir))
-    lines = standin.explorer_lines(spark, sf_dir).where(F.col("o_orderstatus") == "F")
-    explorer = op.fee_cells(plans.explorer_fees(lines))
-    sinks.put_batch(node, table, 0)
-    sinks.put_batch(node, table, 0)
-    sinks.put_batch(explorer, table, 1)
-    sinks.compact(spark, table, compacted)
-    return sinks.read_table(spark, compacted)
+    sinks.put_batch(node, table, 1, writer="node")
+    sinks.put_batch(node, table, 1, writer="node")
+    return sinks.latest_by_key(sinks.read_table(spark, table))
 
 
 def line_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Node lines that contain a key, flattened into segments, by position."""
-    lines = sources.lines_with(standin.flawed_node_lines(spark, sf_dir), "'previousblockhash'")
+    lines = sources.lines_with(standin.node_lines(spark, sf_dir), "'previousblockhash'").select("value")
     return (
         sources.line_segments(lines)
         .groupBy("pos")
@@ -244,6 +240,56 @@ def progress_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.progress_marker(_parity_fees(spark, sf_dir))
 
 
+def fee_nested_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fees from transactions with their outputs nested, first output and all of them."""
+    values = op.coinbase_values(standin.transactions(spark, sf_dir))
+    lines = standin.node_lines(spark, sf_dir)
+    first = plans.node_fees(lines, values).select("height", F.col("fee_btc").alias("first_fee"))
+    every = plans.node_fees(lines, values, outputs="all").select("height", F.col("fee_btc").alias("all_fee"))
+    return first.join(every, "height")
+
+
+def text_escapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts as JSON writes them, decoded again."""
+    documents = standin.table(spark, sf_dir, "documents")
+    written = F.to_json(F.struct("text"))
+    inner = F.substr(written, F.lit(len('{"text":"') + 1), F.length(written) - len('{"text":"') - len('"}'))
+    return documents.select("doc_id", normalise_text(inner).alias("text"))
+
+
+def rounded_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts with eleven places, rounded to eight."""
+    orders = standin.table(spark, sf_dir, "orders")
+    amount = F.col("o_totalprice").cast("decimal(18,2)") * F.lit(Decimal("0.123456789"))
+    return orders.select("o_orderkey", round_coin(amount).alias("amount"))
+
+
+def quarantine_explorer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.reason_counts(op.explorer_fields(standin.flawed_explorer_lines(spark, sf_dir)))
+
+
+def quarantine_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.reason_counts(op.json_records(standin.flawed_json_lines(spark, sf_dir)))
+
+
+def corrected_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions put, those of every third order corrected later, looked up again."""
+    table = f"{streaming.work_dir(spark)}/coinbase"
+    values = standin.coinbase(spark, sf_dir)
+    later = values.where("l_orderkey % 3 = 0").withColumns(
+        {
+            "first_value": (F.col("first_value") + 5).cast(COIN),
+            "total_value": (F.col("total_value") - 3).cast(TOTAL_COIN),
+        }
+    )
+    sinks.put_coinbase(values.drop("l_orderkey"), table, 0, digits=1)
+    sinks.put_coinbase(later.drop("l_orderkey"), table, 1, digits=1)
+    sinks.compact_coinbase(spark, table)
+    parsed = op.node_references(standin.node_lines(spark, sf_dir)).select("height", "txid", "reason")
+    found = op.look_up_coinbase(parsed, sinks.coinbase_reader(spark, table)(parsed))
+    return found.select("height", "first_value", "total_value", "n_outputs", "reason")
+
+
 QUERIES: dict[str, Query] = {
     "q01_fee_node_batch": fee_node_batch,
     "q02_block_named_parse": block_named_parse,
@@ -275,4 +321,10 @@ QUERIES: dict[str, Query] = {
     "q28_fee_outliers": fee_outliers,
     "q29_line_segments": line_segments,
     "q30_progress_marker": progress_marker,
+    "q31_fee_nested_outputs": fee_nested_outputs,
+    "q32_text_escapes": text_escapes,
+    "q33_rounded_amounts": rounded_amounts,
+    "q34_quarantine_explorer": quarantine_explorer,
+    "q35_quarantine_json": quarantine_json,
+    "q36_corrected_lookup": corrected_lookup,
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from blockfee.functions import to_json_text
 from blockfee.operators import output_values
 from blockfee.operators.once import with_columns_once
-from blockfee.sources import spread
+from blockfee.schemas import COIN
 
 FIRST_HEIGHT = 210_000
 
@@ -59,33 +59,55 @@ _EXPLORER_LINE = f"""concat(
 
 def node_lines(spark: SparkSession, sf_dir: str, height: str = DENSE_HEIGHT) -> DataFrame:
     """One printed block per order, with the order's own columns beside it."""
-    orders = spread(table(spark, sf_dir, "orders").select(*ORDER_COLUMNS))
+    orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
     return with_columns_once(orders, value=F.expr(_NODE_LINE.format(height=height)))
 
 
 def flawed_node_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Node lines, those of some order priorities spoilt in different ways."""
-    priority = F.col("o_orderpriority")
+    """Node lines, those of some order priorities and states spoilt in different ways."""
+    priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
     value = (
         F.when(priority == "1-URGENT", F.lit(STRAY_TEXT))
         .when(priority == "2-HIGH", F.lit(""))
         .when(priority == "3-MEDIUM", F.substr("value", F.lit(1), F.length("value") - 40))
+        .when((priority == "5-LOW") & (status == "F"), F.regexp_replace("value", r"'height': \d", "'height': -"))
+        .when((priority == "5-LOW") & (status == "O"), F.regexp_replace("value", r"'tx': \[u'.", "'tx': [u'X"))
         .otherwise(F.col("value"))
     )
     return node_lines(spark, sf_dir).select(value.alias("value"))
 
 
+def flawed_explorer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Explorer records, the fee or height of some states spoilt."""
+    value = (
+        F.when(F.col("o_orderstatus") == "P", F.regexp_replace("value", r"'fees': \d+", "'fees': None"))
+        .when(F.col("o_orderstatus") == "F", F.regexp_replace("value", r"'height': \d+", "'height': None"))
+        .otherwise(F.col("value"))
+    )
+    return explorer_lines(spark, sf_dir).select(value.alias("value"))
+
+
+def flawed_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON records, those of some event types without an id or broken."""
+    kind = F.get_json_object("value", "$.type")
+    value = (
+        F.when(kind == "click", F.regexp_replace("value", '"id":', '"no":'))
+        .when(kind == "view", F.concat("value", F.lit(" junk")))
+        .when(kind == "purchase", F.regexp_replace("value", r'"id":(\d+)', r'"id":{"a":$1}'))
+        .otherwise(F.col("value"))
+    )
+    return json_lines(spark, sf_dir).select(value.alias("value"))
+
+
 def explorer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One printed explorer record per order; the fee is the order's price."""
-    orders = spread(table(spark, sf_dir, "orders").select(*ORDER_COLUMNS))
+    orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
     return with_columns_once(orders, value=F.expr(_EXPLORER_LINE))
 
 
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON record per event; ``id`` is the number kept in its properties."""
-    events = spread(
-        table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
-    )
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
     record = to_json_text(
         id=F.get_json_object("props", "$.k").cast("bigint"),
         event=F.col("event_id"),
@@ -112,6 +134,21 @@ def coinbase(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_columns_once(values, txid=F.sha2(F.col("l_orderkey").cast("string"), 256))
 
 
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same transactions in full, with their outputs nested in order; an order has a few lineitems."""
+    outputs = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        F.struct(
+            "l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice").cast(COIN).alias("value")
+        ).alias("output"),
+    )
+    nested = outputs.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("output")).alias("outputs"))
+    vout = F.transform(
+        "outputs", lambda x: F.struct(x["l_linenumber"].cast("int").alias("n"), x["value"].alias("value"))
+    )
+    return nested.select(F.sha2(F.col("l_orderkey").cast("string"), 256).alias("txid"), vout.alias("vout"))
+
+
 def loaded_heights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Heights with a generation transaction."""
     lines = table(spark, sf_dir, "lineitem")

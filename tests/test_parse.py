@@ -17,13 +17,12 @@ def reasons(parsed):
 
 
 def test_node_positional_slices(spark):
-    lines = frame(spark, node_line(), node_line("99999"), node_line("1234567"))
-    rows = op.node_references(lines, "positional").collect()
-    # Six characters, whatever stands there.
-    assert [r.height_text for r in rows] == ["210000", "99999,", "123456"]
-    assert [r.height for r in rows] == [210000, None, 123456]
+    heights = ["210000", "99999", "1000001", "1000002", "1234567L", "-1234567", "12 3", "1.5", "9" * 30]
+    rows = op.node_references(frame(spark, *map(node_line, heights)), "positional").collect()
+    # Whole numbers or nothing.
+    assert [r.height for r in rows] == [210000, 99999, 1000001, 1000002, 1234567, None, None, None, None]
     assert {r.txid for r in rows} == {TXID}
-    assert [r.reason for r in rows] == [None, "bad_height", None]
+    assert [r.reason for r in rows] == [None] * 5 + ["bad_height"] * 4
 
 
 def test_node_named_takes_any_height(spark):
@@ -79,6 +78,15 @@ def test_explorer_positional(spark):
     assert (row.height, row.fee_sat, row.reason) == (210000, 11294626, None)
 
 
+def test_explorer_positional_reads_whole_fees_before_any_key(spark):
+    lines = [explorer_line().replace("difficulty", key) for key in ("size", "a_rather_long_key")]
+    lines += [explorer_line().replace(", u'difficulty': 1}", "}"), explorer_line(fees="-5"), explorer_line("1000001")]
+    rows = op.explorer_fields(frame(spark, *lines), "positional").collect()
+    assert [r.fee_sat for r in rows] == [11294626, 11294626, 11294626, None, 11294626]
+    assert [r.reason for r in rows] == [None, None, None, "bad_fee", None]
+    assert rows[4].height == 1000001
+
+
 def test_explorer_named(spark):
     hashes = ", ".join(f"u'{OTHER}'" for _ in range(3))
     nested = (
@@ -98,7 +106,7 @@ def test_explorer_named(spark):
 def test_explorer_positional_short_segments(spark):
     lines = frame(spark, ":" * 14, ":" * 15, ":" * 15 + " 12", "")
     rows = op.explorer_fields(lines, "positional").collect()
-    assert [r.fee_text for r in rows] == [None, "", "", None]
+    assert [r.fee_text for r in rows] == [None] * 4
     assert all(r.reason for r in rows)
 
 

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from catalogue.queries import QUERIES
 from blockfee import operators as op
 from blockfee import plans, schemas
 from tests.lines import TXID, frame, node_line
@@ -31,9 +31,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_pairwise_joins(spark, name):
-    text = plan(queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     for operator in ("Python", "Pandas", "CartesianProduct", "NestedLoop", "Window", "Scan ExistingRDD"):
         assert operator not in text
 
