@@ -91,18 +91,31 @@ def test_fee_cells_print_plain_numbers(spark):
     cells = op.fee_cells(fees(spark, (210000, "0"), (210001, "0.00000050"))).collect()
     assert [r.value for r in cells] == ["0.00000000", "0.00000050"]
     assert tuple(cells[0])[:3] == ("210000", "tx_fee_col", "tx_fee")
+    assert (cells[0].source, cells[0].unit) == ("x", "coin")
 
 
 def test_json_cells(spark):
     line = '{"id": 7, "name": "x"}'
     lines = frame(spark, line, '{"name": "x"}', "not json", '{"id": "k"}')
     records = op.json_records(lines)
-    assert [r.reason for r in records.collect()] == [None, "no_id", "no_id", None]
+    assert [r.reason for r in records.collect()] == [None, "no_id", "bad_json", None]
     cells = op.json_cells(op.accepted(records)).collect()
     assert tuple(cells[0]) == ("7", "cfamily", "cats_json", line)
     assert cells[1].rowkey == "k"
 
 
+def test_json_records_are_whole_and_keyed_by_a_scalar(spark):
+    lines = {
+        '{"id":7} junk': "bad_json", '{"id":7}{"id":8}': "bad_json", '{"id":1},5': "bad_json",
+        '{"id":1},1': "bad_json", '{"id":1}],[2': "bad_json", "": "bad_json", "{'id':1}": "bad_json",
+        '{"id":{"a":1}}': "bad_id", '{"id":[1]}': "bad_id", '{"id":null}': "no_id", "[1]": "no_id",
+        '{"id":"{x"}': None, '{"id":1.5}': None, '{"id":true}': None, ' {"id": 12345678901234567890123} ': None,
+    }
+    got = {r.value: r for r in op.json_records(frame(spark, *lines)).collect()}
+    assert {k: r.reason for k, r in got.items()} == lines
+    assert [got[k].id for k, reason in lines.items() if reason is None] == ["{x", "1.5", "true", "12345678901234567890123"]
+
+
 def test_pending_heights(spark):
     loaded = spark.createDataFrame([(1,), (3,), (3,), (9,), (None,)], "height bigint")
     wanted = sources.height_range(spark, 0, 5)

@@ -160,12 +160,6 @@ def test_height_range_is_half_open(spark):
     assert sources.height_range(spark, 5, 5).count() == 0
 
 
-def test_spread_leaves_large_scans_alone(spark):
-    assert sources.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 8
-    wide = spark.range(0, 100, 1, 40)
-    assert sources.spread(wide) is wide
-
-
 def printed(value):
     """How Python 2 prints a value of a block record."""
     if isinstance(value, dict):

@@ -29,8 +29,9 @@ def test_stream_equals_batch(spark, dump, tmp_path):
         (dump / f"{height}.txt").write_text(node_line(str(height)) + "\n\nstray\n")
     known = op.coinbase_values(transactions(spark, (TXID, ["26.5"])))
     table = str(tmp_path / "t")
-    run(spark, dump, plans.put_node_fees(lambda parsed: known, table), tmp_path / "c")
+    run(spark, dump, plans.put_node_fees(lambda parsed: known, table, str(tmp_path / "q")), tmp_path / "c")
     assert len(batches(spark, table)) == 5
+    assert sinks.read_table(spark, str(tmp_path / "q")).count() == 10
     streamed = sinks.read_table(spark, table).select("rowkey", "value")
     batch = op.fee_cells(plans.node_fees(sources.read_lines(spark, str(dump)), known))
     assert sorted(streamed.collect()) == sorted(batch.select("rowkey", "value").collect())
@@ -38,7 +39,7 @@ def test_stream_equals_batch(spark, dump, tmp_path):
 
 def test_stream_goes_on_where_it_stopped(spark, dump, tmp_path):
     table, checkpoint = str(tmp_path / "t"), tmp_path / "c"
-    put = plans.put_explorer_fees(table)
+    put = plans.put_explorer_fees(table, plans.FAIL)
     (dump / "a.txt").write_text(explorer_line())
     run(spark, dump, put, checkpoint)
     (dump / "b.txt").write_text(explorer_line("210001", "5"))
@@ -49,7 +50,7 @@ def test_stream_goes_on_where_it_stopped(spark, dump, tmp_path):
 
 def test_failed_batch_is_put_again_under_its_number(spark, dump, tmp_path):
     table, checkpoint = str(tmp_path / "t"), tmp_path / "c"
-    put = plans.put_explorer_fees(table)
+    put = plans.put_explorer_fees(table, plans.FAIL)
     calls = []
 
     def failing(lines, batch_id):
@@ -74,7 +75,7 @@ def test_late_transaction_is_found_as_pending(spark, dump, tmp_path):
     later = first.unionByName(transactions(spark, (OTHER, ["27"])))
     known = {"transactions": first}
     put = plans.put_node_fees(
-        lambda parsed: op.coinbase_values(known["transactions"]), table, quarantine=refused
+        lambda parsed: op.coinbase_values(known["transactions"]), table, refused
     )
     run(spark, dump, put, tmp_path / "c")
     reasons = sinks.read_table(spark, refused).select("height", "reason", "value").collect()
@@ -98,7 +99,7 @@ def test_explorer_quarantine(spark, tmp_path):
     from tests.lines import frame
 
     table, refused = str(tmp_path / "t"), str(tmp_path / "q")
-    put = plans.put_explorer_fees(table, quarantine=refused, value="fee_btc")
+    put = plans.put_explorer_fees(table, refused=refused, value="fee_btc")
     put(frame(spark, explorer_line(), "", explorer_line("None")), 0)
     assert [r.value for r in sinks.read_table(spark, table).collect()] == ["0.11294626"]
     rows = sinks.read_table(spark, refused).collect()
@@ -107,11 +108,12 @@ def test_explorer_quarantine(spark, tmp_path):
 
 def test_json_stream_keeps_the_newest(spark, dump, tmp_path):
     table, refused = str(tmp_path / "t"), str(tmp_path / "q")
-    put = plans.put_json(table, quarantine=refused)
+    put = plans.put_json(table, refused=refused)
     (dump / "a.txt").write_text('{"id": 1, "n": 1}\n{"id": 2, "n": 9}\nbad\n{"name": 0}\n')
     run(spark, dump, put, tmp_path / "c")
     (dump / "b.txt").write_text('{"id": 1, "n": 0}\n')
     run(spark, dump, put, tmp_path / "c")
+    assert {r.put_by[:7] for r in sinks.read_table(spark, table).collect()} == {"stream-"}
     newest = sinks.latest_by_key(sinks.read_table(spark, table).drop("seq"))
     assert {r.rowkey: r.value for r in newest.collect()} == {
         "1": '{"id": 1, "n": 0}',
@@ -124,7 +126,7 @@ def test_bounded_run_stops(spark, dump, tmp_path):
     (dump / "a.txt").write_text(explorer_line())
     table = str(tmp_path / "t")
     lines = sources.stream_lines(spark, str(dump))
-    streaming.run_stream(lines, plans.put_explorer_fees(table), str(tmp_path / "c"), timeout=8)
+    streaming.run_stream(lines, plans.put_explorer_fees(table, plans.FAIL), str(tmp_path / "c"), timeout=8)
     assert not spark.streams.active
     assert sinks.read_table(spark, table).count() == 1
 
