@@ -16,16 +16,13 @@ def connected(links: DataFrame) -> DataFrame:
     the shuffle, and the number of rounds grows with the logarithm of a component's
     size. Each round is stored; a link from a node to itself just names the node.
     """
-    pairs = stored(_distinct(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))), "links")
-    state = _state(pairs)
-    while True:
+    pairs = stored(_distinct(links), "links")
+    while not _all_at_roots(pairs):
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         pairs = _distinct(_star(both, F.col("b") > F.col("a")))
         pairs = stored(_distinct(_star(pairs, F.lit(True))), "links")
-        before, state = state, _state(pairs)
-        if state == before:
-            break
-    return pairs.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
+    roots = pairs.select("b").distinct().select("b", F.col("b").alias("a"))
+    return pairs.unionByName(roots).groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
 
 
 def _star(pairs: DataFrame, moved) -> DataFrame:
@@ -39,5 +36,10 @@ def _distinct(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _state(pairs: DataFrame) -> tuple:
-    return tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _all_at_roots(pairs: DataFrame) -> bool:
+    """Whether each node has one smaller neighbour at most, and that one has none."""
+    smaller = pairs.where("a > b").groupBy("a").agg(F.min("b").alias("least"), F.max("b").alias("most"))
+    if not smaller.where("least < most").isEmpty():
+        return False
+    inner = smaller.select(F.col("a").alias("b"))
+    return pairs.where("a > b").join(inner, "b", "left_semi").isEmpty()

@@ -8,7 +8,7 @@ shingles; whoever meets in a list is a candidate. Up to which size a set is ligh
 chosen by the cost of both ways.
 
 Near copies of one text would meet in every list, all pairs of them. So sets that share
-a min-hash band are first compared with one leader, and what turns out linked is one
+a min-hash band are first compared with a few leaders, and what turns out linked is one
 group. Lists then give only pairs from different groups, which no link is lost by: a
 link inside a group would join nothing. Candidates pass a bound from bitmaps of the
 sets, then the exact comparison.
@@ -50,6 +50,8 @@ PLACES = 1 << 20
 #: A list may hold so many rows more than twice the sketch's mean and still go to one task.
 LIST_ROWS = 20_000
 _BANDS, _ROWS = 6, 3
+#: Leaders of those who share a band's value.
+_LEADERS = 16
 _SEEDS = mixed(np.arange(1, _BANDS * _ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 #: Stands for a null doc_id.
 _NO_ID = 2**63 - 1
@@ -256,21 +258,21 @@ def light_links(classes: DataFrame, bound: int, rule: Rule) -> DataFrame:
 
 
 def _leaders(classes: DataFrame) -> DataFrame:
-    """For each class that shares a band with a smaller one, the leader most of its bands name."""
+    """Pairs (a, b) of a class and the leaders of its bands.
+
+    Those who share a band's value have several leaders, each the first by an order of its
+    own, so copies too far from one are near to another.
+    """
     bands = classes.select("class", F.posexplode("bands").alias("band", "value"))
-    first = bands.groupBy("band", "value").agg(F.min("class").alias("leader"), F.count("*").alias("k"))
-    named = (
-        bands.join(first.where("k > 1"), ["band", "value"])
-        .where(F.col("class") != F.col("leader"))
-        .groupBy("class", "leader")
-        .agg(F.count("*").alias("times"))
-    )
-    best = named.groupBy("class").agg(F.max(F.struct("times", (-F.col("leader")).alias("leader"))).alias("best"))
-    return best.select(F.col("class").alias("a"), (-F.col("best.leader")).alias("b"))
+    orders = [F.min(F.struct(F.xxhash64("class", F.lit(k)).alias("order"), "class"))["class"] for k in range(_LEADERS)]
+    leaders = bands.groupBy("band", "value").agg(F.count("*").alias("k"), F.array(*orders).alias("leaders"))
+    named = bands.join(leaders.where("k > 1"), ["band", "value"])
+    pairs = named.select(F.col("class").alias("a"), F.explode(F.array_distinct("leaders")).alias("b"))
+    return pairs.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def _possible(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (a, b) that the bitmaps' bound lets pass."""
+    """Pairs (a, b) that the bitmaps' bound lets pass, and by how much (``spare``)."""
     known = classes.select("class", "n", "bits")
     both = pairs.join(known.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa")), "a")
     both = both.join(known.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb")), "b")
@@ -280,10 +282,11 @@ def _possible(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
             na, nb = batch.column("na").to_numpy().astype(np.int64), batch.column("nb").to_numpy().astype(np.int64)
             most = na + nb - 2 * rule.overlap(na, nb)
             bits = zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), strict=True)
-            passes = np.array([_apart(x, y) for x, y in bits], np.int64) <= most
-            yield batch.select(["a", "b"]).filter(pa.array(passes))
+            spare = most - np.array([_apart(x, y) for x, y in bits], np.int64)
+            passed = batch.select(["a", "b"]).append_column("spare", pa.array(spare / np.maximum(1, na + nb)))
+            yield passed.filter(pa.array(spare >= 0))
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(run, "a long, b long, spare double")
 
 
 def _bloom(ids: np.ndarray, bits: int) -> np.ndarray:
@@ -482,6 +485,23 @@ def _rooted(classes: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+def _between(pairs: DataFrame, rooted: DataFrame) -> DataFrame:
+    """``pairs`` whose classes are in different groups, with the groups."""
+    for side in "ab":
+        group = rooted.select(F.col("class").alias(side), F.col("root").alias(f"root_{side}"))
+        pairs = pairs.join(group, side)
+    return pairs.where("root_a != root_b")
+
+
+def _merged(rooted: DataFrame, links: DataFrame) -> DataFrame:
+    """``rooted`` with the groups joined that ``links`` (root_a, root_b) connect."""
+    between = connected(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    first = between.withColumnRenamed("root", "first")
+    return rooted.join(first, F.col("root") == F.col("node"), "left").select(
+        *[F.coalesce("first", "root").alias("root") if c == "root" else F.col(c) for c in rooted.columns]
+    )
+
+
 def components(docs: DataFrame, n: int = 5, percent: int = 80, list_rows: int = LIST_ROWS) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` (the group's smallest ``doc_id``) of every row of ``docs``."""
     rule = Rule(percent)
@@ -505,8 +525,13 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80, list_rows: int =
     # Sets that a heavy one could link with, light ones near the bound among them.
     heavy = classes.where(100 * F.col("n") >= percent * (bound + 1))
     led = stored(_possible(_leaders(heavy), classes, rule), "led")
-    linked = stored(light.unionByName(verified(led, classes, docs, n, rule)), "linked")
-    grouped = stored(_rooted(classes, linked), "grouped")
+    # First the likeliest leader of each, then what would still join groups.
+    best = led.groupBy("a").agg(F.max(F.struct("spare", "b"))["b"].alias("b"))
+    linked = light.unionByName(verified(best, classes, docs, n, rule))
+    rooted = stored(_rooted(classes, linked), "rooted")
+    others = _between(led, rooted).groupBy("a", "root_b").agg(F.max(F.struct("spare", "b"))["b"].alias("b"))
+    links = _between(verified(others.select("a", "b"), classes, docs, n, rule), rooted)
+    grouped = stored(_merged(rooted, links), "grouped")
 
     longest = int(2 * sketch.mean()) + list_rows
     listed = grouped.join(heavy.select("class"), "class", "left_semi")
@@ -516,10 +541,9 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80, list_rows: int =
     pairs = _cold_pairs(rows_of_lists.where("at < hot_from").select(columns), rule).unionByName(
         _hot_pairs(rows_of_lists.where("at >= hot_from").select(columns), rule)
     )
-    candidates = stored(_possible(pairs.distinct(), classes, rule), "candidates")
+    candidates = stored(_possible(pairs.distinct(), classes, rule).select("a", "b"), "candidates")
     more = verified(candidates, classes, docs, n, rule)
-    all_links = linked.unionByName(more)
-    final = _rooted(classes, all_links).select("high", "low", "doc", "root")
+    final = _merged(grouped, _between(more, grouped)).select("high", "low", "doc", "root")
     smallest = final.groupBy("root").agg(F.min("doc").alias("component"))
     named = stored(final.join(smallest, "root").select("high", "low", "component"), "components")
 

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Bytes of text that are split at once; a longer text makes a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
