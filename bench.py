@@ -1,15 +1,28 @@
-"""Time the catalogue at $BENCH_SF_DIR on local[$BENCH_CPUS]; print one JSON line."""
+"""Time the catalogue at $BENCH_SF_DIR on local[$BENCH_CPUS]; print one JSON line.
+
+The catalogue renders short lines from tables, and its times include that. Beside it,
+lines of real length are written once as text and each parser is timed on them alone:
+scan and parse, in MB/s. $BENCH_BLOCKS sets how many; intermediate files go to a
+folder that is removed at the end.
+"""
 
 from __future__ import annotations
 
 import json
 import os
 import sys
+import tempfile
 import time
+from collections.abc import Callable
 from pathlib import Path
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from blockfee import operators as op  # noqa: E402
+from blockfee import sources  # noqa: E402
 from blockfee.session import session  # noqa: E402
 from catalogue.queries import QUERIES  # noqa: E402
 
@@ -28,7 +41,49 @@ def seconds(run) -> float:
     return time.perf_counter() - start
 
 
+#: Transactions of a block of real length, about 33 kB of text.
+TRANSACTIONS = 481
+
+
+def write_long_lines(spark: SparkSession, path: str, blocks: int) -> None:
+    ids = F.transform(
+        F.sequence(F.lit(1), F.lit(TRANSACTIONS)),
+        lambda i: F.concat(F.lit("u'"), F.sha2(F.concat_ws("-", "id", i), 256), F.lit("'")),
+    )
+    line = F.concat(
+        F.lit("{u'hash': u'"), F.sha2(F.col("id").cast("string"), 256),
+        F.lit("', u'confirmations': 1, u'size': 33000, u'bits': u'1b04864c', u'nonce': 7, u'tx': ["),
+        F.array_join(ids, ", "),
+        F.lit("], u'merkleroot': u'ab', u'height': "), F.col("id") + 210_000,
+        F.lit(", u'version': 2, u'time': 1354116278, u'difficulty': Decimal('3438908.96015914'), "
+              "u'chainwork': u'00ff', u'previousblockhash': u'aa', u'nextblockhash': None}"),
+    )
+    spark.range(0, blocks, 1, 16).select(line.alias("value")).write.text(path)
+
+
+def long_line_rates(spark: SparkSession, folder: str, blocks: int) -> dict[str, float]:
+    """MB of text per second through each parser, scan included; best of three."""
+    path = f"{folder}/long-lines"
+    write_long_lines(spark, path, blocks)
+    size = sum(p.stat().st_size for p in Path(path).glob("part-*")) / 1e6
+    parsers: dict[str, Callable[[DataFrame], DataFrame]] = {
+        "named": lambda x: op.accepted(op.node_references(x)).select("height", "txid"),
+        "positional": lambda x: op.accepted(op.node_references(x, "positional")).select("height", "txid"),
+        "headers": lambda x: op.block_headers(op.accepted(op.node_blocks(x))),
+        "edges": lambda x: op.tx_edges(op.accepted(op.node_blocks(x))),
+    }
+    lines = sources.read_lines(spark, path)
+    return {
+        name: round(size / min(seconds(lambda: parse(lines)) for _ in range(3)), 1) for name, parse in parsers.items()
+    }
+
+
 def main() -> None:
+    with tempfile.TemporaryDirectory(prefix="bench-") as folder:
+        print(json.dumps(run(folder)))
+
+
+def run(folder: str) -> dict:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or list(QUERIES)
@@ -40,6 +95,7 @@ def main() -> None:
             "spark.driver.memory": "16g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": folder,
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -52,9 +108,10 @@ def main() -> None:
             took = seconds(lambda: QUERIES[name](spark, sf_dir))
             timings[name] = min(timings[name], round(took, 3))
             print(f"{name}: {took:.3f} s", file=sys.stderr)
+    rates = long_line_rates(spark, folder, int(os.environ.get("BENCH_BLOCKS", "8000")))
     spark.stop()
 
-    result = {
+    return {
         "metric": "catalogue_total",
         "value": round(sum(timings.values()), 3),
         "unit": "sec",
@@ -67,8 +124,8 @@ def main() -> None:
             for name, label in BLOCK_QUERIES.items()
             if timings.get(name)
         },
+        "long_lines_mb_per_sec": rates,
     }
-    print(json.dumps(result))
 
 
 if __name__ == "__main__":
