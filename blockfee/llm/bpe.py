@@ -34,8 +34,8 @@ from .cuts import KnownCuts
 from .words import slices
 
 #: Steps of the encoder and decoder, and pairs of tokens, that are kept.
-KEPT_STEPS = 120_000
-KEPT_PAIRS = 120_000
+KEPT_STEPS = 200_000
+KEPT_PAIRS = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -44,6 +44,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+#: Above any rank.
+_NONE = 1 << 62
+
+
 class Encoder:
     """Encodes pieces of bytes by the ranks of their merges."""
 
@@ -51,67 +55,118 @@ class Encoder:
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("every byte needs a token")
         self.ranks = ranks
-        self.prefixes = {token[:n] for token in ranks for n in range(1, len(token))}
-        self.own: dict[bytes, bool] = {}
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        # All beginnings of tokens as numbered nodes; node 0 is the empty one.
+        self.children: dict[int, int] = {}
+        self.token_at = [-1]
+        self.inner = [True]
+        for token, rank in ranks.items():
+            node = 0
+            for byte in token:
+                self.inner[node] = True
+                key = node << 8 | byte
+                if (child := self.children.get(key)) is None:
+                    child = self.children[key] = len(self.token_at)
+                    self.token_at.append(-1)
+                    self.inner.append(False)
+                node = child
+            self.token_at[node] = rank
+        self.edges: dict[int, tuple[bool, int, int, list[bytes], list[bytes]]] = {}
+        self.pairs: dict[int, bool] = {}
         self._forget()
 
-    def merge(self, piece: bytes) -> tuple[int, ...]:
-        """The plain rule, for short strings: join the pair of lowest rank, leftmost first."""
-        get, none = self.ranks.get, 1 << 62
+    def merge(self, piece: bytes, seen: list | None = None) -> tuple[int, ...]:
+        """The plain rule, for short strings: join the pair of lowest rank, leftmost first.
+
+        ``seen`` gets, for each join, its rank and the outermost parts after it.
+        """
+        get = self.ranks.get
         parts = [piece[i : i + 1] for i in range(len(piece))]
-        joins = [get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
-        while joins and (least := min(joins)) < none:
+        joins = [get(a + b, _NONE) for a, b in zip(parts, parts[1:], strict=False)]
+        while joins and (least := min(joins)) < _NONE:
             at = joins.index(least)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
             del joins[at]
             if at:
-                joins[at - 1] = get(parts[at - 1] + parts[at], none)
+                joins[at - 1] = get(parts[at - 1] + parts[at], _NONE)
             if at < len(joins):
-                joins[at] = get(parts[at] + parts[at + 1], none)
+                joins[at] = get(parts[at] + parts[at + 1], _NONE)
+            if seen is not None:
+                seen.append((least, parts[0], parts[-1]))
         return tuple([self.ranks[p] for p in parts])
 
     def _forget(self) -> None:
-        # A state: (tokens to come, last token or -1, bytes since) for each open path.
-        start = (((), -1, b""),)
+        # A state: (tokens to come, last token or -1, node since) for each open path, oldest first.
+        start = (((), -1, 0),)
         self.states = [start]
         self.numbers = {start: 0}
-        self.steps: dict[tuple[int, int], tuple[int, tuple[int, ...]]] = {}
-
-    def _merges(self, token: bytes) -> bool:
-        """Whether a token's bytes merge to it; others can only stand for a whole piece."""
-        if (known := self.own.get(token)) is None:
-            known = self.own[token] = token in self.ranks and self.merge(token) == (self.ranks[token],)
+        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
+
+    def _edge(self, token: int) -> tuple[bool, int, int, list[bytes], list[bytes]]:
+        """How a token's bytes merge: whether to it alone, the ranks that first join its first and its last byte,
+        and all parts that stand at its beginning and end meanwhile."""
+        if (known := self.edges.get(token)) is None:
+            text, seen = self.bytes_of[token], []
+            whole = self.merge(text, seen) == (token,)
+            first, last = text[:1], text[-1:]
+            left = next((rank for rank, a, _ in seen if a != first), _NONE)
+            right = next((rank for rank, _, b in seen if b != last), _NONE)
+            lefts = list(dict.fromkeys([first, *(a for _, a, _ in seen)]))
+            rights = list(dict.fromkeys([last, *(b for _, _, b in seen)]))
+            known = self.edges[token] = (whole, left, right, lefts, rights)
         return known
 
-    def _follows(self, last: int, token: bytes) -> bool:
-        if last < 0:
-            return True
-        key = (last, self.ranks[token])
+    def _follows(self, last: int, token: int) -> bool:
+        """Whether a token may stand behind another one."""
+        key = (last + 1) << 32 | token
         if (known := self.pairs.get(key)) is None:
             if len(self.pairs) >= KEPT_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[key] = self.merge(self.bytes_of[last] + token) == key
+            known = self.pairs[key] = self._stay_apart(last, token)
         return known
 
+    def _stay_apart(self, last: int, token: int) -> bool:
+        whole, left, _, lefts, _ = self._edge(token)
+        # A token that its own bytes don't merge to can only stand for a whole piece.
+        if not whole or last < 0:
+            return whole
+        _, _, right, _, rights = self._edge(last)
+        ranks = self.ranks
+        # The bytes at the seam join before either joins inwards.
+        if ranks.get(rights[0] + lefts[0], _NONE) < min(left, right):
+            return False
+        # Nothing that ever meets at the seam can join.
+        if not any(a + b in ranks for a in rights for b in lefts):
+            return True
+        return self.merge(self.bytes_of[last] + self.bytes_of[token]) == (last, token)
+
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """Where a byte leads, and what is certain by then."""
-        ahead = []
-        for waiting, last, since in self.states[state]:
-            read = since + bytes([byte])
-            if read in self.ranks and self._merges(read) and self._follows(last, read):
-                token = self.ranks[read]
-                ahead.append(((*waiting, token), token, b""))
-            if read in self.prefixes:
-                ahead.append((waiting, last, read))
-        first = ahead[0][0]
-        shared = len(commonprefix([waiting for waiting, _, _ in ahead]))
-        key = tuple(sorted((w[shared:], last, since) for w, last, since in ahead))
+        ahead, ended = [], None
+        children, token_at, inner = self.children, self.token_at, self.inner
+        for waiting, last, node in self.states[state]:
+            child = children.get(node << 8 | byte)
+            if child is None:
+                continue
+            token = token_at[child]
+            # One path ends here at most: the bytes so far have one encoding.
+            if token >= 0 and ended is None and self._follows(last, token):
+                ended = ((*waiting, token), token, 0)
+            if inner[child]:
+                ahead.append((waiting, last, child))
+        if ended is not None:
+            ahead.append(ended)
+        certain = ahead[0][0]
+        if len(ahead) > 1 and certain:
+            certain = commonprefix([waiting for waiting, _, _ in ahead])
+        if certain:
+            n = len(certain)
+            ahead = [(waiting[n:], last, node) for waiting, last, node in ahead]
+        key = tuple(ahead)
         if (number := self.numbers.get(key)) is None:
             number = self.numbers[key] = len(self.states)
             self.states.append(key)
-        found = self.steps[state, byte] = (number, first[:shared])
+        found = self.steps[state << 8 | byte] = (number, certain)
         return found
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
@@ -123,15 +178,17 @@ class Encoder:
         if len(self.steps) >= KEPT_STEPS:
             self._forget()
         out: list[int] = []
-        state, steps = 0, self.steps
+        state, get = 0, self.steps.get
         for byte in piece:
-            step = steps.get((state, byte))
-            if step is None:
-                step = self._step(state, byte)
+            step = get(state << 8 | byte) or self._step(state, byte)
             state, emitted = step
-            out += emitted
+            if emitted:
+                out += emitted
         # At the end the path that stands at the edge of a token is the encoding.
-        out += next(waiting for waiting, _, since in self.states[state] if not since)
+        waiting, _, node = self.states[state][-1]
+        if node:
+            raise AssertionError("every piece has an encoding")
+        out += waiting
         return tuple(out)
 
 
@@ -208,6 +265,26 @@ class Decoder:
 TEXT_SLICE, ID_SLICE = 8 << 20, 2 << 20
 
 
+_TOKENS = "doc_id long, n_tokens long, ids array<int>"
+
+
+def _encoded(part: pa.RecordBatch, encoder: TextEncoder) -> pa.RecordBatch:
+    ids, counts = encoder.encode(part.column("text"))
+    offsets = np.concatenate(([0], np.cumsum(counts)))
+    return pa.record_batch(
+        {
+            "doc_id": part.column("doc_id"),
+            "n_tokens": pa.array(counts, pa.int64()),
+            "ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.view(np.int32))),
+        }
+    )
+
+
+def _with_text(part: pa.RecordBatch, decoder: Decoder) -> pa.RecordBatch:
+    texts = ["".join(decoder.decode(ids.values.to_pylist())) for ids in part.column("ids")]
+    return part.append_column("text", pa.array(texts, pa.string()))
+
+
 def encoded(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``doc_id``, ``n_tokens`` and ``ids`` of every row's whole text.
 
@@ -219,17 +296,22 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         encoder = text_encoder(ranks_path, pattern)
         for batch in batches:
             for part in slices(batch, size=TEXT_SLICE):
-                ids, counts = encoder.encode(part.column("text"))
-                offsets = np.concatenate(([0], np.cumsum(counts)))
-                yield pa.record_batch(
-                    {
-                        "doc_id": part.column("doc_id"),
-                        "n_tokens": pa.array(counts, pa.int64()),
-                        "ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.view(np.int32))),
-                    }
-                )
+                yield _encoded(part, encoder)
+
+    return docs.select("doc_id", "text").mapInArrow(run, _TOKENS)
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """``encoded`` and ``decoded`` in one pass: a task's ids go through the decoder where they are made."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = text_encoder(ranks_path, pattern), text_decoder(ranks_path)
+        for batch in batches:
+            for part in slices(batch, size=TEXT_SLICE):
+                for tokens in slices(_encoded(part, encoder), "ids", size=ID_SLICE):
+                    yield _with_text(tokens, decoder)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"{_TOKENS}, text string")
 
 
 def decoded(tokens: DataFrame, ranks_path: str) -> DataFrame:
@@ -239,10 +321,9 @@ def decoded(tokens: DataFrame, ranks_path: str) -> DataFrame:
         decoder = text_decoder(ranks_path)
         for batch in batches:
             for part in slices(batch, "ids", size=ID_SLICE):
-                texts = ["".join(decoder.decode(ids.values.to_pylist())) for ids in part.column("ids")]
-                yield part.append_column("text", pa.array(texts, pa.string()))
+                yield _with_text(part, decoder)
 
-    return tokens.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, text string")
+    return tokens.mapInArrow(run, f"{_TOKENS}, text string")
 
 
 @cache

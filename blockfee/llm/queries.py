@@ -27,9 +27,9 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    tokens = bpe.encoded(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    tokens = bpe.round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return bpe.decoded(tokens, path).select(
+    return tokens.select(
         "doc_id",
         "n_tokens",
         F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
