@@ -34,7 +34,7 @@ from .cuts import KnownCuts
 from .words import slices
 
 #: Steps of the encoder and decoder, and pairs of tokens, that are kept.
-KEPT_STEPS = 200_000
+KEPT_STEPS = 300_000
 KEPT_PAIRS = 300_000
 
 
@@ -199,16 +199,34 @@ class TextEncoder(KnownCuts):
         super().__init__(self._encode_many)
         self.encoder = Encoder(ranks)
         self.pattern = regex.compile(pattern)
+        #: Whether the pattern keeps a space and letters of any script together.
+        letters = " aZßéжλ漢あ"
+        self.one_piece = self.pattern.findall(letters) == [letters]
 
     def _encode_many(self, texts: list[str]) -> list[bytes]:
-        encode, pieces = self.encoder.encode, self.pattern.findall
-        return [array("I", [i for p in pieces(text) for i in encode(p.encode())]).tobytes() for text in texts]
+        encode, pieces, one = self.encoder.encode, self.pattern.findall, self.one_piece
+        return [
+            array(
+                "I",
+                encode(text.encode())
+                if one and text[:1] == " " and text[1:].isalpha()
+                else [i for p in pieces(text) for i in encode(p.encode())],
+            ).tobytes()
+            for text in texts
+        ]
 
 
 #: Lowest and highest value of the byte after a leading byte, where not 80 to BF.
 _SECOND = {0xE0: (0xA0, 0xBF), 0xED: (0x80, 0x9F), 0xF0: (0x90, 0xBF), 0xF4: (0x80, 0x8F)}
 
 
+def _whole_text(data: bytes) -> str | None:
+    try:
+        return data.decode()
+    except UnicodeDecodeError:
+        return None
+
+
 class Decoder:
     """Token ids to text, a token at a time; the state is an incomplete UTF-8 sequence.
 
@@ -218,6 +236,8 @@ class Decoder:
     def __init__(self, tokens: dict[int, bytes]) -> None:
         self.tokens = tokens
         self.steps: dict[tuple[bytes, int], tuple[bytes, str]] = {}
+        #: Texts of tokens that begin and end between characters: they keep the machine at its start.
+        self.plain = {token: text for token, data in tokens.items() if (text := _whole_text(data)) is not None}
         self.state = b""
 
     def finish(self) -> str:
@@ -247,6 +267,11 @@ class Decoder:
                 out.append("�")
         return state, "".join(out)
 
+    def text(self, ids: list[int]) -> str:
+        """The text of all ids, from the machine's start."""
+        texts = list(map(self.plain.get, ids))
+        return "".join(self.decode(ids) if None in texts else texts)
+
     def decode(self, ids: Iterable[int]) -> Iterator[str]:
         """The texts of a stream of ids, one for each id and one for its end."""
         get, tokens = self.steps.get, self.tokens
@@ -281,7 +306,7 @@ def _encoded(part: pa.RecordBatch, encoder: TextEncoder) -> pa.RecordBatch:
 
 
 def _with_text(part: pa.RecordBatch, decoder: Decoder) -> pa.RecordBatch:
-    texts = ["".join(decoder.decode(ids.values.to_pylist())) for ids in part.column("ids")]
+    texts = [decoder.text(ids.values.to_pylist()) for ids in part.column("ids")]
     return part.append_column("text", pa.array(texts, pa.string()))
 
 

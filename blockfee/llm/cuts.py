@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from .words import filled
 
 #: Words that are kept; each about 200 bytes.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 800_000
 _PUNCTUATION = ".,;:!?%&$#*|)(]['\"-"
 
 

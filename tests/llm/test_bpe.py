@@ -74,7 +74,7 @@ def test_waiting_tokens_are_bounded():
 def test_streaming_decode_of_any_ids(tokens):
     data = b"".join(THEIRS.decode_single_token_bytes(t) for t in tokens)
     decoder = bpe.Decoder({rank: token for token, rank in RANKS.items()})
-    assert "".join(decoder.decode(tokens)) == data.decode("utf-8", "replace")
+    assert "".join(decoder.decode(tokens)) == decoder.text(tokens) == data.decode("utf-8", "replace")
 
 
 def test_a_character_comes_out_with_its_last_byte():
