@@ -31,12 +31,33 @@ def no_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return line_dedup.without_repeated_lines(docs)
 
 
+def _keyed(docs: DataFrame, name: str) -> DataFrame:
+    """``row``, the columns of ``docs``, and ``row_key``, a number of each row's own; stored once, so that it stays."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row_key"), F.struct(*docs.columns).alias("row"))
+    return stored(rows, name)
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that link with each other, directly or over others, the one with the smallest id."""
+    """Of rows that link with each other, directly or over others, the one with the smallest ``doc_id``.
+
+    Rows are judged on their own, whatever ids they share. A null id counts as larger than
+    any other; a row that is linked with nothing, with or without an id, stays. Of a group's
+    rows with its smallest id, null or not, the one with the smallest hash stays.
+    """
     send_package(spark)
-    groups = jaccard.components(docs).select(F.col("doc_id").alias("_id"), "component_id")
-    first = groups.where("_id = component_id").select("_id")
-    return docs.join(first, docs["doc_id"] == first["_id"], "left_semi")
+    keyed = _keyed(docs, "rows")
+    groups = jaccard.components(keyed.select(F.col("row_key").alias("doc_id"), "row.text")).select(
+        F.col("doc_id").alias("row_key"), "component_id"
+    )
+    order = F.struct(
+        F.col("row.doc_id").isNull().alias("none"),
+        F.col("row.doc_id").alias("doc_id"),
+        F.xxhash64("row").alias("hash"),
+        "row_key",
+    )
+    ranked = keyed.select("row_key", order.alias("order")).join(groups, "row_key")
+    first = ranked.groupBy("component_id").agg(F.min("order")["row_key"].alias("row_key")).select("row_key")
+    return keyed.join(first, "row_key", "left_semi").select("row.*")
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,3 +64,28 @@ def test_odd_rows(spark, rows):
     for _, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, SF_DIR), "odd")
     assert docs.columns == ["doc_id", "n_tokens", "ids"]
+
+
+def kept_of(spark, stage, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _id long")
+    got = stage(spark, stored(docs, "rows-given"), SF_DIR)
+    assert got.columns == docs.columns
+    return sorted((tuple(r) for r in got.collect()), key=repr)
+
+
+def words(name, n=40):
+    return " ".join(f"{name}{i}" for i in range(n))
+
+
+def test_rows_without_an_id_stay_unless_linked_with_another(spark):
+    rows = [
+        (None, words("a"), "s", 1),
+        (None, words("b"), "s", 2),
+        (None, None, "s", 3),
+        (None, "", "s", 4),
+        (5, words("c"), "s", 5),
+        (None, words("c"), "s", 6),
+        (None, words("d"), "s", 7),
+        (None, words("d"), "s", 7),
+    ]
+    assert kept_of(spark, corpus_pipeline.one_of_each_group, rows) == sorted(rows[:5] + rows[6:7], key=repr)
