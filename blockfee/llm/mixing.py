@@ -86,12 +86,14 @@ def finish_time(copy: Column) -> Column:
     return F.when(F.col("target") > 0, given.cast("double") / F.col("target"))
 
 
-def mixed(docs: DataFrame, seed: str = "mix") -> DataFrame:
+def mixed(docs: DataFrame, seed: str = "mix", row_key: str | None = None) -> DataFrame:
     """``doc_id``, ``size``, ``source_size``, ``target`` and ``taken`` of every row of ``docs``.
 
     ``taken`` is the document's words in the mix, repeats counted. ``seed`` sets the order.
+    ``row_key`` names a column that tells rows with equal ``doc_id`` apart, to be given too.
     """
-    sizes = stored(docs.select("doc_id", "source", words_in(F.col("text")).alias("size")), "sizes")
+    own = [row_key] if row_key else []
+    sizes = stored(docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), *own), "sizes")
     by_source = stored(targets(sizes), "targets")
     # A row for each source.
     placed = sizes.join(by_source, sizes["source"].eqNullSafe(by_source["source"])).select(
@@ -102,9 +104,10 @@ def mixed(docs: DataFrame, seed: str = "mix") -> DataFrame:
         "before",
         "target",
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"),
+        *own,
     )
     queued = stored(
-        running_totals(placed, ["rank", "key", "doc_id", "size"], {"total": "size"})
+        running_totals(placed, ["rank", "key", "doc_id", "size", *own], {"total": "size"})
         .withColumn("upto", F.col("total") - F.col("before"))
         .drop("total", "before", "key"),
         "queued",
@@ -136,5 +139,5 @@ def mixed(docs: DataFrame, seed: str = "mix") -> DataFrame:
     )
     taken = F.when(F.col("target") > 0, F.col("size") * times).otherwise(F.lit(0)).cast("long")
     return queued.crossJoin(F.broadcast(last)).select(
-        "doc_id", "size", "source_size", "target", taken.alias("taken")
+        *own, "doc_id", "size", "source_size", "target", taken.alias("taken")
     )

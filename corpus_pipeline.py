@@ -61,13 +61,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: documents as often as it takes them."""
+    """The mix: each row as often as it takes that row, whatever ids rows share."""
     send_package(spark)
-    taken = mixing.mixed(docs).where("taken > 0").select(
-        F.col("doc_id").alias("_id"), (F.col("taken") / F.col("size")).cast("int").alias("_times")
-    )
-    repeated = docs.join(taken, docs["doc_id"].eqNullSafe(taken["_id"]))
-    return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*[docs[c] for c in docs.columns])
+    keyed = _keyed(docs, "rows")
+    mix = mixing.mixed(keyed.select("row_key", "row.doc_id", "row.source", "row.text"), row_key="row_key")
+    taken = mix.where("taken > 0").select("row_key", (F.col("taken") / F.col("size")).cast("int").alias("times"))
+    repeated = keyed.join(taken, "row_key")
+    return repeated.select("row", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,12 +3,13 @@ import pytest
 import tiktoken
 
 import corpus_pipeline
-from blockfee.llm import bpe
+from blockfee.llm import bpe, mixing
 from blockfee.llm.shared import stored
 
 from .data import SF_DIR, documents, table
 from .test_jaccard import brute as brute_groups
 from .test_line_dedup import brute as brute_lines
+from .test_mixing import brute_targets
 
 
 def test_stages():
@@ -89,3 +90,37 @@ def test_rows_without_an_id_stay_unless_linked_with_another(spark):
         (None, words("d"), "s", 7),
     ]
     assert kept_of(spark, corpus_pipeline.one_of_each_group, rows) == sorted(rows[:5] + rows[6:7], key=repr)
+
+
+def test_one_row_of_a_group_whatever_ids_rows_share(spark):
+    rows = [
+        (1, words("a"), "s", 1),
+        (1, words("a"), "s", 1),
+        (1, words("a") + " more", "s", 2),
+        (2, words("a"), "s", 3),
+        # Its id is the smallest of another group, its own text is linked with that of 0.
+        (1, words("b"), "s", 4),
+        (0, words("b"), "s", 5),
+        # No link: both rows of the id stay.
+        (3, words("c"), "s", 6),
+        (3, words("d"), "s", 7),
+    ]
+    kept = kept_of(spark, corpus_pipeline.one_of_each_group, rows)
+    assert len(kept) == 4 and set(kept) <= set(rows)
+    assert [r for r in kept if r[0] != 1] == [rows[5], rows[6], rows[7]]
+    assert [r[1].startswith("a0 ") for r in kept if r[0] == 1] == [True]
+
+
+def test_the_mix_takes_rows_that_share_an_id_on_their_own(spark):
+    rows = [(1, words("a", 10), "s", i) for i in range(30)]
+    rows += [(1, words("b", 3), "t", 100), (None, words("c", 5), "t", 101), (None, words("c", 5), "t", 102)]
+    rows += [(i, words("d", 4), "u", 200 + i) for i in range(2, 40)]
+    rows += [(1, None, "u", 300), (50, "", None, 301)]
+    mix = kept_of(spark, corpus_pipeline.mixed_sources, rows)
+    assert set(mix) <= set(rows)
+    assert max(mix.count(r) for r in rows) <= mixing.ROUNDS
+    size = {s: sum(len((r[1] or "").split()) for r in rows if r[2] == s) for s in ("s", "t", "u", None)}
+    given = {s: sum(len(r[1].split()) for r in mix if r[2] == s) for s in size}
+    assert 0.95 * sum(size.values()) <= sum(given.values()) <= sum(size.values())
+    for source, target in brute_targets(size).items():
+        assert abs(given[source] - target) <= 20
