@@ -11,8 +11,8 @@ their form.
 Kinds: e-mail addresses; IPv4 addresses; IBANs (modulo 97); payment cards (Luhn); social
 security numbers; telephone numbers; dates from 1800 to 2199 as yyyy-mm-dd, dd/mm/yyyy,
 mm/dd/yyyy where the first can't be a month, and dd.mm.yyyy; credentials after a name
-such as ``token`` or ``password``, and access key ids. What looks alike but doesn't pass is left as
-it is.
+such as ``token`` or ``password``, in any case, and access key ids. An IBAN has its country's
+length, whatever follows it. What looks alike but doesn't pass is left as it is.
 
 Defined cases: a null text stays null, an empty one empty; a text of any length is read
 whole; equal rows give equal rows; an empty table gives an empty result. Each row is worked on
@@ -28,7 +28,28 @@ ROUNDS = 8
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IPV4 = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: Countries by the length of their IBANs, as registered.
+IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC",
+    33: "RU",
+}
+
+
+def _iban_of(size: int, countries: str) -> str:
+    groups, rest = divmod(size - 4, 4)
+    end = rf" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return rf"(?:{countries.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{end}"
+
+
+_REGISTERED = "|".join(IBAN_SIZES.values()).replace(" ", "|")
+#: Of the country's length; other lengths and countries are matched as far as they may go.
+IBAN = (
+    rf"(?<![A-Za-z0-9])(?:(?:{'|'.join(_iban_of(*x) for x in IBAN_SIZES.items())})(?![A-Za-z0-9])"
+    r"|[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
+)
 ISO_DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])"
 SLASH_DATE = r"(?<![\d/])\d{1,2}/\d{1,2}/\d{4}(?![\d/])"
 DOT_DATE = r"(?<![\d.])\d{1,2}\.\d{1,2}\.\d{4}(?!\d|\.\d)"
@@ -42,12 +63,13 @@ CARD = (
     r"(?![\d-])"
 )
 ACCESS_KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
-CREDENTIAL = r"(?<![A-Za-z0-9])(?:token|secret|api_key|password|passwd) {0,2}[=:] {0,2}[\"']?[A-Za-z0-9_-]{8,}"
+CREDENTIAL = r"(?<![A-Za-z0-9])(?i:token|secret|api_key|password|passwd) {0,2}[=:] {0,2}[\"']?[A-Za-z0-9_-]{8,}"
+_NUMBERS = rf"{EMAIL}|(?=[0-9+(])(?:{'|'.join((IPV4, ISO_DATE, SLASH_DATE, DOT_DATE, SSN, PHONE, CARD))})"
+_NAMED = rf"(?=[TSAPtsap]){CREDENTIAL}"
 #: What a text is searched for. Looking at the next character first keeps most places cheap.
-ANY = (
-    f"{EMAIL}|(?=[0-9+(])(?:{'|'.join((IPV4, ISO_DATE, SLASH_DATE, DOT_DATE, SSN, PHONE, CARD))})"
-    f"|(?=[A-Z])(?:{IBAN}|{ACCESS_KEY})|(?=[tsap]){CREDENTIAL}"
-)
+ANY = f"{_NUMBERS}|(?=[A-Z])(?:{IBAN}|{ACCESS_KEY})|{_NAMED}"
+#: What is looked for in a match of IBAN, or in its end, that is none.
+_NOT_IBAN = f"{_NUMBERS}|(?=[A-Z]){ACCESS_KEY}|{_NAMED}"
 
 #: Days from 1800-01-01 to 2199-12-31, a whole cycle of the calendar, as a product.
 _DAYS = (189, 773)
@@ -152,11 +174,33 @@ def _modulo_97(text: Column) -> Column:
     )
 
 
-def _iban(found: Column, key: str) -> Column:
+def _is_iban(found: Column) -> Column:
     plain = F.replace(found, F.lit(" "), F.lit(""))
     head, body = F.substr(plain, F.lit(1), F.lit(4)), F.substr(plain, F.lit(5))
-    country = F.substr(plain, F.lit(1), F.lit(2))
-    valid = (_modulo_97(F.concat(body, head)) == 1) & (F.length(_digits(body)) > 0)
+    return (_modulo_97(F.concat(body, head)) == 1) & (F.length(_digits(body)) > 0)
+
+
+def _iban(found: Column, key: str) -> Column:
+    """The first groups of the match that are valid, replaced; what follows them is searched for other kinds."""
+    groups = F.split(found, " ")
+    # The length of a registered country's IBAN is known, so nothing of its match is neighbouring text.
+    least = F.when(found.rlike(f"^(?:{_REGISTERED})"), F.size(groups)).otherwise(F.lit(1))
+    starts = F.transform(
+        F.sequence(F.size(groups), least, F.lit(-1)), lambda k: F.array_join(F.slice(groups, F.lit(1), k), " ")
+    )
+    valid = F.filter(starts, lambda s: F.length(F.replace(s, F.lit(" "), F.lit(""))).between(12, 35) & _is_iban(s))
+
+    def replaced(start: Column) -> Column:
+        known = F.coalesce(start, F.lit(""))
+        new = F.when(start.isNotNull(), _valid_iban(start, key)).otherwise(F.lit(""))
+        return F.concat(new, _searched(F.substr(found, F.length(known) + 1), key))
+
+    return _let(F.get(valid, F.lit(0)), replaced)
+
+
+def _valid_iban(found: Column, key: str) -> Column:
+    plain = F.replace(found, F.lit(" "), F.lit(""))
+    body, country = F.substr(plain, F.lit(5)), F.substr(plain, F.lit(1), F.lit(2))
     # The last 18 digits of the account are permuted; letters and any digits before stay.
     digits = _digits(body)
     kept = F.substr(digits, F.lit(1), F.greatest(F.length(digits) - 18, F.lit(0)))
@@ -168,7 +212,17 @@ def _iban(found: Column, key: str) -> Column:
             F.lpad((98 - _modulo_97(F.concat(b, country, F.lit("00")))).cast("string"), 2, "0"), _digits(b)
         ),
     )
-    return F.when(valid, _let(new, lambda x: _refilled(found, x)))
+    return _let(new, lambda x: _refilled(found, x))
+
+
+def _searched(text: Column, key: str) -> Column:
+    """``text`` with the values of all kinds but IBANs replaced."""
+    new = F.transform(F.regexp_extract_all(text, F.lit(_NOT_IBAN), F.lit(0)), lambda m: pseudonym(m, key, ibans=False))
+    return _filled(F.split(text, _NOT_IBAN, -1), new)
+
+
+def _filled(between: Column, new: Column) -> Column:
+    return F.array_join(F.flatten(F.zip_with(between, new, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
 
 
 def _ssn(found: Column, key: str) -> Column:
@@ -227,7 +281,7 @@ def _credential(found: Column, key: str) -> Column:
     return F.concat(name, F.substr(digits, F.lit(1), size))
 
 
-def pseudonym(found: Column, key: str) -> Column:
+def pseudonym(found: Column, key: str, ibans: bool = True) -> Column:
     """What stands for a match of ``ANY``: itself if it isn't valid."""
 
     def whole(pattern: str) -> Column:
@@ -240,9 +294,8 @@ def pseudonym(found: Column, key: str) -> Column:
     dots = F.when(F.length(found) == 10, _date(found, "dd.MM.yyyy", key)).otherwise(_date(found, "d.M.yyyy", key))
     mail = F.concat(F.lit("u"), F.substring(_digest(F.lower(found), "mail", key), 1, 16), F.lit("@example.com"))
     new = (
-        F.when(whole(EMAIL), mail)
+        (F.when(whole(IBAN), _iban(found, key)).when(whole(EMAIL), mail) if ibans else F.when(whole(EMAIL), mail))
         .when(whole(IPV4), _ipv4(found, key))
-        .when(whole(IBAN), _iban(found, key))
         .when(whole(ISO_DATE), _date(found, "yyyy-MM-dd", key))
         .when(whole(SLASH_DATE), slashes)
         .when(whole(DOT_DATE), dots)
@@ -266,10 +319,7 @@ def pseudonymised(docs: DataFrame, key: str, found: str | None = None) -> DataFr
     rows = docs.select(F.struct(*docs.columns).alias("row")).select("row", matches.alias("old"))
     rows = rows.select("row", "old", F.transform("old", lambda m: pseudonym(m, key)).alias("new"))
     between = F.split("row.text", ANY, -1)
-    joined = F.array_join(
-        F.flatten(F.zip_with(between, "new", lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), ""
-    )
-    text = F.when(F.size("old") > 0, joined).otherwise(F.col("row.text"))
+    text = F.when(F.size("old") > 0, _filled(between, F.col("new"))).otherwise(F.col("row.text"))
     changed = F.size(F.filter(F.zip_with("old", "new", lambda a, b: a != b), lambda x: x)).cast("long")
     columns = [(text if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns]
     return rows.select(*columns, *([changed.alias(found)] if found else []))

@@ -122,3 +122,43 @@ def test_query_leaves_nothing_planted_and_clean_texts_alone(spark):
 def test_no_python_in_the_plan(spark):
     plan = op3_pseudonyms(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+NEIGHBOURS = [" BIC CAIXESBB", " USD", " EUR 1200 OK", " 77", " AB12", "\nX", ", Y"]
+
+
+def test_ibans_beside_capitals_and_digits(spark):
+    ibans = [
+        "ES9121000418450200051332",
+        "ES91 2100 0418 4502 0005 1332",
+        "BE68539007547034",
+        "AT611904300234573201",
+        "PL61109010140000071219812874",
+        "SE4550000000058398257466",
+        "RO49AAAA1B31007593840000",
+        "LU280019400644750000",
+        "NO9386011117947",
+        # A country that isn't registered: the groups that pass.
+        "AO06004400006729503010102",
+    ]
+    assert all(mod_97(i) == 1 for i in ibans)
+    cases = [(i, after) for i in ibans for after in NEIGHBOURS]
+    texts = replaced(spark, [f"to {i}{after}" for i, after in cases])
+    for (old, after), new in zip(cases, texts, strict=True):
+        assert new.startswith("to ") and new.endswith(after)
+        new = new[3 : -len(after)]
+        assert new != old and mod_97(new) == 1
+        assert re.sub(r"\d", "9", new) == re.sub(r"\d", "9", old)
+
+
+def test_values_beside_what_looks_like_an_iban(spark):
+    card = "4785 3805 9239 1139"
+    (new,) = replaced(spark, [f"seat AB12 {card}"])
+    assert new.startswith("seat AB12 ") and card not in new and luhn(re.sub(r"\D", "", new[10:]))
+
+
+def test_credential_names_in_any_case(spark):
+    value = "e9b9ed9cc99999"
+    names = ["Password: ", "API_KEY=", "Token = ", "SECRET: ", "PassWd=", "MY_TOKEN="]
+    for name, new in zip(names, replaced(spark, [f"x {n}{value}." for n in names]), strict=True):
+        assert re.fullmatch(rf"x {name}[0-9a-f]{{14}}\.", new) and value not in new
