@@ -18,8 +18,10 @@ an empty result.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,6 +29,9 @@ from pyspark.sql import functions as F
 
 from .words import slices
 
+#: Public licence texts, with and without their titles, and standard notices: a JSON object (license, text) a line.
+KNOWN = Path(__file__).with_name("known_licenses.jsonl")
+
 # Spellings that licence matching treats as equal, from public guidelines.
 EQUIVALENT = {
     "acknowledgement": "acknowledgment",
@@ -95,6 +100,12 @@ def digest(text: str | None) -> bytes | None:
     return hashlib.sha256(words.encode()).digest() if words else None
 
 
+def read_known(path: str | Path = KNOWN) -> list[tuple[str, str]]:
+    """Licence and text of each line of a list of licences, read by the driver."""
+    with open(path, encoding="utf-8") as lines:
+        return [(row["license"], row["text"]) for row in map(json.loads, lines)]
+
+
 def _units(rows: DataFrame, name: str, kind: str, lines: bool) -> DataFrame:
     """``name`` (of type ``kind``), ``line`` and ``digest`` of every text and, if asked for, every line.
 

@@ -69,7 +69,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Licences by their notices and, where short, by their texts.
+#: Notices, and a short text, besides the list of licences that the package has.
 KNOWN_LICENSES = [
     ("MIT", "Released under the MIT License."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -90,7 +90,7 @@ KNOWN_LICENSES = [
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    known = spark.createDataFrame(KNOWN_LICENSES, "license string, text string")
+    known = spark.createDataFrame([*KNOWN_LICENSES, *licenses.read_known()], "license string, text string")
     return licenses.scanned(docs, known)
 
 
