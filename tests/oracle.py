@@ -13,6 +13,7 @@ _TYPES = {
     T.LongType(): "BIGINT",
     T.IntegerType(): "INTEGER",
     T.DoubleType(): "DOUBLE",
+    T.BooleanType(): "BOOLEAN",
 }
 
 
