@@ -108,3 +108,54 @@ WITH whole AS (
 )
 SELECT query_id, rank, vec_id, score FROM numbered WHERE rank <= 5
 """
+
+ORACLES["op11_near_vectors"] = r"""
+WITH RECURSIVE whole AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM whole a JOIN whole b
+    ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), counts AS (
+  SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+), reached AS (
+  SELECT vec_id AS node, vec_id AS root FROM embeddings
+  UNION SELECT b, root FROM reached JOIN links ON node = a
+), components AS (
+  SELECT node, min(root) AS component_id FROM reached GROUP BY node
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM components JOIN embeddings ON node = vec_id LEFT JOIN counts USING (vec_id)
+"""
+
+ORACLES["op12_fill_middle"] = r"""
+WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+         sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), hashed AS (
+  SELECT *, len(units)::BIGINT AS n,
+         ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+  FROM split
+), formed AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM hashed
+), cut AS (
+  SELECT *, coalesce(array_to_string(units[:a], ''), '') AS prefix,
+         coalesce(array_to_string(units[a + 1:b], ''), '') AS middle,
+         coalesce(array_to_string(units[b + 1:], ''), '') AS suffix
+  FROM formed
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(CASE WHEN form = 'plain' THEN text ELSE prefix || middle || suffix END) AS restored_sha256
+FROM cut
+"""

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, licenses, line_dedup, mixing, nearest, pii, quality, token_files, vafile
+from . import bpe, fim, jaccard, licenses, line_dedup, mixing, nearest, periodic_runs, pii, quality, rp_forest
+from . import token_files, vafile
 from .shared import send_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +115,62 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = fim.transformed(_table(spark, sf_dir, "documents").select("doc_id", "text"), seed=7)
+    back = fim.restored(F.col("fim.output"), F.col("fim.form"))
+    return docs.select(
+        "doc_id",
+        "fim.n",
+        "fim.form",
+        "fim.prefix_chars",
+        "fim.middle_chars",
+        F.sha2(F.col("fim.output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(back.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def with_repeated_tails(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; of each tenth id, by its hash, the end of the text repeats a few of its words.
+
+    From word a on, word i is word a + (i - a) % p. A null id has no hash, and its text stays.
+    """
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(hashed / 10)
+
+    def repeated(given):
+        n = F.size(given).cast("long")
+        first = g % n
+        period = (1 + F.floor((n - first) / (3 + g % 8))).cast("long")
+        place = lambda i: F.when(i < first, i).otherwise(first + (i - first) % period).cast("int")
+        changed = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(given, place(i)))
+        return F.when(n > 0, F.array_join(changed, " "))
+
+    # A list of one binds the words, so that they are found once.
+    tail = F.get(F.transform(F.array(words), repeated), 0)
+    return docs.select("doc_id", F.when(hashed % 10 == 0, F.coalesce(tail, "text")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_repeated_tails(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.with_runs(docs, least=12).withColumn("best", periodic_runs.longest_run(F.col("runs")))
+    exponent = F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        exponent.alias("exponent_milli"),
+        F.sha2(periodic_runs.written(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_byte_bpe": op2_byte_bpe,
@@ -125,4 +182,7 @@ QUERIES: dict[str, Query] = {
     "op8_nearest": op8_nearest,
     "op9_mixture": op9_mixture,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_near_vectors": op11_near_vectors,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_periodic_runs": op13_periodic_runs,
 }
