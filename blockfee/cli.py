@@ -170,13 +170,18 @@ def marker(spark: SparkSession, args) -> None:
 
 def compact(spark: SparkSession, args) -> None:
     if args.kind == "coinbase":
-        sinks.compact_coinbase(spark, args.table)
+        sinks.compact_coinbase(spark, args.table, args.open)
     else:
-        sinks.compact(spark, args.table, partition_by=[plans.puts.HEIGHT_RANGE] if args.kind == "fees" else [])
+        sinks.compact(spark, args.table, open_batches=args.open)
     for directory in sinks.replaced(spark, args.table):
         print(f"replaced: {directory}")
 
 
+def remove_replaced(spark: SparkSession, args) -> None:
+    for directory in sinks.remove_replaced(spark, args.table):
+        print(f"removed: {directory}")
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="run_job.py", description="Block fee jobs.")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -276,6 +281,8 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--after", help="a marker: only blocks above it")
     sub = job(compact, "write the newest puts as a snapshot that readers then use", "table")
     sub.add_argument("--kind", choices=["fees", "json", "coinbase"], default="fees")
+    sub.add_argument("--open", type=int, default=0, help="newest batches of each writer to leave outside")
+    job(remove_replaced, "remove what a snapshot replaces and close its batches", "table")
     return parser
 
 

@@ -1,7 +1,7 @@
 """Replay-safe keyed tables on plain parquet."""
 
 from blockfee.sinks.coinbase import coinbase_reader, compact_coinbase, put_coinbase
-from blockfee.sinks.tables import compact, latest_by_key, put_batch, read_table, replaced
+from blockfee.sinks.tables import compact, latest_by_key, put_batch, read_log, read_table, remove_replaced, replaced
 
 __all__ = [
     "coinbase_reader",
@@ -10,6 +10,8 @@ __all__ = [
     "latest_by_key",
     "put_batch",
     "put_coinbase",
+    "read_log",
     "read_table",
+    "remove_replaced",
     "replaced",
 ]

@@ -59,7 +59,7 @@ def coinbase_reader(spark: SparkSession, path: str) -> Callable[[DataFrame], Dat
     return read
 
 
-def compact_coinbase(spark: SparkSession, path: str) -> None:
+def compact_coinbase(spark: SparkSession, path: str, open_batches: int = 0) -> None:
     """Compaction with the keys of this table; copies of a batch that differ both stay."""
     values = ["first_value", "total_value", "n_outputs", "ambiguous"]
-    compact(spark, path, ["txid", "prefix", *values], ["put_id", "put_by"], ["prefix"])
+    compact(spark, path, ["txid", "prefix", *values], ["put_id", "put_by"], ["prefix"], open_batches)

@@ -155,3 +155,114 @@ def test_coinbase_table_is_read_in_parts(spark, tmp_path):
     assert "prefix" in text.split("PartitionFilters: ")[1].split("PushedFilters")[0]
     nothing = sinks.coinbase_reader(spark, path)(parsed.where("reason is not null"))
     assert nothing.count() == 0
+
+
+def test_a_lower_number_after_a_snapshot_is_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.put_batch(cells(spark, a="5", b="5"), path, 5)
+    sinks.compact(spark, path)
+    sinks.put_batch(cells(spark, b="3", c="3"), path, 3)
+    sinks.put_batch(cells(spark, c="-1", d="-1"), path, -1)
+    want = {"a": "5", "b": "5", "c": "3", "d": "-1"}
+    assert latest(spark, path) == want
+    sinks.compact(spark, path)
+    sinks.put_batch(cells(spark, d="4", a="4"), path, 4)
+    assert latest(spark, path) == want | {"d": "4"}
+
+
+def test_a_batch_put_again_after_a_snapshot_replaces_itself(spark, tmp_path):
+    """Its old cells go, the new ones come, and what it had covered comes back."""
+    path = str(tmp_path / "t")
+    sinks.put_batch(cells(spark, a="4", k="4"), path, 4)
+    sinks.put_batch(cells(spark, a="5", b="5", k="5"), path, 5)
+    sinks.compact(spark, path)
+    sinks.put_batch(cells(spark, z="6"), path, 6)
+    sinks.compact(spark, path)
+    sinks.put_batch(cells(spark, a="5 right"), path, 5)
+    want = {"a": "5 right", "k": "4", "z": "6"}
+    for _ in range(2):
+        assert latest(spark, path) == want
+        sinks.compact(spark, path)
+    sinks.put_batch(cells(spark, z="6 right"), path, 6)
+    assert latest(spark, path) == want | {"z": "6 right"}
+
+
+def test_half_written_puts_and_snapshots_are_not_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.put_batch(cells(spark, a="1"), path, 0)
+    sinks.put_batch(cells(spark, a="2"), path, 0)
+    (tmp_path / "t/writer=batch/batch=0/rev=1/_SUCCESS").unlink()
+    assert latest(spark, path) == {"a": "1"}
+    sinks.put_batch(cells(spark, a="3"), path, 0)
+    assert latest(spark, path) == {"a": "3"}
+    cells(spark, a="junk").write.parquet(f"{path}/writer={sinks.tables.SNAPSHOT}/batch=0/rev=0")
+    assert latest(spark, path) == {"a": "3"}
+    sinks.compact(spark, path)
+    assert latest(spark, path) == {"a": "3"} and sinks.read_log(spark, path).current() == 0
+
+
+def test_removed_batches_are_closed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch in range(4):
+        sinks.put_batch(cells(spark, **{f"k{batch}": str(batch), "a": str(batch)}), path, batch)
+    sinks.put_batch(cells(spark, s="0"), path, 0, writer="stream-x")
+    sinks.compact(spark, path)
+    want = {"k0": "0", "k1": "1", "k2": "2", "k3": "3", "a": "3", "s": "0"}
+    # The snapshot holds what a stream may still put again, so it can't stand alone.
+    assert sinks.remove_replaced(spark, path) == []
+    sinks.put_batch(cells(spark, s="0"), path, 0, writer="stream-x")
+    sinks.compact(spark, path, open_batches=1)
+    gone = sinks.remove_replaced(spark, path)
+    assert [d.split("/t/")[1] for d in gone] == [
+        "writer=batch/batch=0", "writer=batch/batch=1", "writer=batch/batch=2",
+        "writer=stream-x/batch=0/rev=0", "writer=~snapshot/batch=0",
+    ]
+    assert not (tmp_path / "t/writer=batch/batch=1").exists()
+    assert latest(spark, path) == want
+    with pytest.raises(ValueError, match="batch 1 of 'batch' is closed"):
+        sinks.put_batch(cells(spark, k1="x"), path, 1)
+    # A number between closed ones that was never put is free; open ones take revisions.
+    sinks.put_batch(cells(spark, n="-7"), path, -7)
+    sinks.put_batch(cells(spark, k3="3", a="3"), path, 3)
+    want = want | {"n": "-7"}
+    assert latest(spark, path) == want
+    sinks.compact(spark, path)
+    assert latest(spark, path) == want
+    sinks.put_batch(cells(spark, k3="3 right"), path, 3)
+    want = want | {"k3": "3 right", "a": "2"}
+    assert latest(spark, path) == want
+    sinks.put_batch(cells(spark, z="9"), path, 9)
+    sinks.put_batch(cells(spark, z="9"), path, 9, writer="stream-x")
+    sinks.compact(spark, path, open_batches=1)
+    sinks.remove_replaced(spark, path)
+    assert latest(spark, path) == want | {"z": "9"}
+    assert sorted(p.name for p in (tmp_path / "t/writer=~snapshot").iterdir() if p.name[0] != ".") == ["batch=3"]
+
+
+def test_empty_batches_and_new_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = cells(spark, a="1").withColumn("part", F.lit(10))
+    sinks.put_batch(rows.limit(0), path, 0, partition_by=["part"])
+    assert sinks.read_table(spark, path).count() == 0
+    sinks.compact(spark, path)
+    sinks.put_batch(rows.withColumn("seq", F.lit(3).cast("long")), path, 1, partition_by=["part"])
+    sinks.put_batch(cells(spark, b="1").withColumn("part", F.lit(10)), path, 2, partition_by=["part"])
+    table = sinks.read_table(spark, path)
+    assert sorted((r.rowkey, r.seq, r.part) for r in table.collect()) == [("a", 3, 10), ("b", None, 10)]
+    sinks.compact(spark, path)
+    assert (tmp_path / "t/writer=~snapshot/batch=1/rev=0/part=10").exists()
+    with pytest.raises(ValueError, match="partitions"):
+        sinks.put_batch(rows, path, 3)
+    with pytest.raises(ValueError, match="seq is"):
+        sinks.put_batch(rows.withColumn("seq", F.lit("x")), path, 3, partition_by=["part"])
+
+
+def test_reading_takes_no_job(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch in range(3):
+        sinks.put_batch(cells(spark, a=str(batch)), path, batch)
+        sinks.compact(spark, path)
+    spark.sparkContext.setJobGroup("reading", "reading")
+    sinks.read_table(spark, path)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("reading")) == []
+    spark.sparkContext.setJobGroup("", "")
