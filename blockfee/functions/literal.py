@@ -1,4 +1,4 @@
-"""Printed dict literals (``{u'height': 210000, ...}``) as JSON."""
+"""Printed dict literals (``{u'height': 210000, ...}``) as JSON; what is JSON already stays."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 def list_items(printed: Column) -> Column:
     """The ids of a printed flat list, given what stands between its brackets."""
-    return F.array_remove(F.split(F.btrim(printed, F.lit("u'")), "', u?'"), "")
+    return F.array_remove(F.split(F.btrim(printed, F.lit(" u'\"")), r"""['"],\s*u?['"]"""), "")
 
 
 # Every look-behind follows the letter it belongs to: the search then stops only
@@ -20,6 +20,8 @@ _NOT_JSON = "|".join(
         rf"'\){_AFTER}",
     ]
 )
+# Matches nowhere: a JSON object has nothing to take out.
+_NOTHING = r"(?!)"
 # Constants of printed dicts and of JSON.
 _CONSTANTS = {"None": "null", "True": "true", "False": "false"}
 
@@ -32,7 +34,7 @@ def literal_to_json(text: Column) -> Column:
 
     Each step mentions its input once, so the expression stays linear.
     """
-    json = F.regexp_replace(text, _NOT_JSON, "")
+    json = F.regexp_replace(text, F.when(text.startswith('{"'), _NOTHING).otherwise(_NOT_JSON), F.lit(""))
     for printed, constant in _CONSTANTS.items():
         json = F.regexp_replace(json, rf"{printed}(?<=[:,\[]\s?{printed}){_AFTER}", constant)
     return json

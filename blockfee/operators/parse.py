@@ -4,10 +4,11 @@ Each parser keeps the columns of its input and adds the parsed ones and
 ``reason``: null for a usable line, otherwise why it is not usable. All of it is
 narrow: no shuffle, and Catalyst drops the fields nobody reads.
 
-``named`` reads fields by name and is the default. ``positional`` addresses a
+``named`` reads fields by name and is the default: of a printed dict or of a JSON
+object, and of the record itself, not of anything nested in it. ``positional`` addresses a
 field by its place between colons, which only fits lines printed in one exact
-field order. Both read whole numbers: what isn't digits up to the next comma is
-refused.
+field order. Both read whole numbers: what isn't digits up to the next comma or
+closing brace is refused.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +26,43 @@ EXPLORER_FEE_SEGMENT = 15
 
 TXID = "^[0-9a-f]{64}$"
 
+# A text in either kind of quotes, and a list or dict that nests a few levels deep. All groups
+# are possessive, so they run in a loop, however long the line is.
+_QUOTED = r"""'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+\""""
+_ATOM = rf"""[^'"\[\]{{}}]++|{_QUOTED}"""
+_DEEPEST = 6
+# A list of ids, nearly all of a line: nothing in it can be a bracket of another kind.
+_IDS = r"""\[[0-9a-fu'", ]*+\]"""
+
+
+def _nested(levels: int) -> str:
+    inner = f"|{_nested(levels - 1)}" if levels > 1 else ""
+    return rf"[\[{{](?:{_ATOM}{inner})*+[\]}}]"
+
+
+def _own_pattern(key: str, value: str) -> str:
+    field = rf"""['"]{key}['"]\s*:\s*"""
+    return rf"^\s*\{{(?:(?!{field})(?:{_ATOM}|{_IDS}|{_nested(_DEEPEST)}))*+{field}{value}"
+
+
+_FIRST_ITEM = r"""^\s*u?['"]([0-9a-f]*)['"]"""
+_HEIGHT, _TXID = r"(\d+)L?\s*[,}]", r"""\[\s*u?['"]([0-9a-f]*)['"]"""
+
+
+def _own_field(key: str, value: str) -> Column:
+    """What the pattern ``value`` captures under ``key`` in the record itself.
+
+    A line with a single brace and one kind of quotes has nothing nested that could have
+    keys, nor texts that look like one, so that the key can be searched for right away.
+    """
+    line = F.col("value")
+    flat = line.startswith("{") & ~line.startswith("{{") & ~F.contains(F.ltrim(line, F.lit("{")), F.lit("{"))
+    single, double = (F.contains("value", F.lit(quote)) for quote in "'\"")
+    usual = F.regexp_extract("value", f"'{key}': {value}", 1)
+    json = F.regexp_extract("value", rf'"{key}"\s*:\s*{value}', 1)
+    walked = F.regexp_extract("value", _own_pattern(key, value), 1)
+    return F.when(flat & ~double, usual).when(flat & ~single, json).otherwise(walked)
+
 
 def _number(segment: Column, group: int = 1) -> Column:
     """The digits between a colon and the next comma or closing brace; group 0 keeps the blank."""
@@ -44,7 +82,10 @@ def _with_list_cut(lines: DataFrame, key: str) -> DataFrame:
     way only the short rest meets regular expressions and the JSON parser, while
     cutting is plain text search.
     """
-    halves = with_columns_once(lines, _halves=F.split("value", rf"'{key}': \[", 2))
+    # The usual spelling is a plain text, which is several times faster to find.
+    usual = f"'{key}': ["
+    begin = F.when(F.contains("value", F.lit(usual)), rf"'{key}': \[").otherwise(rf"""['"]{key}['"]\s*:\s*\[""")
+    halves = with_columns_once(lines, _halves=F.split("value", begin, 2))
     cut = with_columns_once(halves, _list=F.split(F.get("_halves", 1), r"\]", 2))
     rest = F.concat_ws(f"'{key}': []", F.get("_halves", 0), F.get("_list", 1))
     return cut.withColumns({"_rest": rest, "_items": F.get("_list", 0)}).drop("_halves", "_list")
@@ -91,8 +132,8 @@ def node_references(lines: DataFrame, mode: str = "named") -> DataFrame:
     if mode == "named":
         parsed = with_columns_once(
             lines,
-            height_text=F.regexp_extract("value", r"'height': (\d+)", 1),
-            txid=F.regexp_extract("value", r"'tx': \[u?'([0-9a-f]*)'", 1),
+            height_text=_own_field("height", _HEIGHT),
+            txid=F.regexp_extract("value", _own_pattern("tx", _TXID), 1),  # it ends where the list begins
         ).withColumn("height", F.col("height_text").try_cast("bigint"))
         return _with_reason(parsed, _BAD_REFERENCE, closed=True)
     raise ValueError(f"unknown parse mode: {mode!r}")
@@ -103,7 +144,7 @@ def node_blocks(lines: DataFrame) -> DataFrame:
     parsed = with_columns_once(
         _with_list_cut(lines, "tx"),
         _record=F.from_json(literal_to_json(F.col("_rest")), BLOCK, JSON_OPTIONS),
-        txid=F.regexp_extract("_items", "^u?'([0-9a-f]*)'", 1),
+        txid=F.regexp_extract("_items", _FIRST_ITEM, 1),
     )
     fields = {name: F.col("_record")[name] for name in BLOCK.fieldNames() if name != "tx"}
     # No filter looks at the whole list, so whoever does not read it does not split it.

@@ -200,7 +200,7 @@ FROM orders WHERE 210000 + o_orderkey >= {SERIES_FIRST}
   AND 210000 + o_orderkey < {SERIES_LAST}""",
     "q27_fee_table_upsert": _era_fees("210000 + o_orderkey") + f""",
 puts AS (SELECT height, CAST(fee_btc AS VARCHAR) AS value, 'node' AS source, 'coin' AS unit,
-                1::BIGINT AS put_id FROM fees
+                CASE WHEN height % 2 = 0 THEN 5 ELSE 3 END::BIGINT AS put_id FROM fees
          UNION ALL SELECT 210000 + o_orderkey, CAST({_PRICE_SAT} AS VARCHAR), 'explorer', 'satoshi', 0
          FROM orders)
 SELECT CAST(height AS VARCHAR) AS rowkey, 'tx_fee_col' AS family, 'tx_fee' AS qualifier,

@@ -66,11 +66,14 @@ def node_lines(spark: SparkSession, sf_dir: str, height: str = DENSE_HEIGHT) ->
 def flawed_node_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Node lines, those of some order priorities and states spoilt in different ways."""
     priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
+    # No whole number, or none of the block itself.
+    spoilt = ("'height': -$1", "'height': $1.5", "'height': $1abc", "'next': {u'height': $1}")
+    no_height = F.element_at(F.array(*map(F.lit, spoilt)), (F.col("o_orderkey") % 4 + 1).cast("int"))
     value = (
         F.when(priority == "1-URGENT", F.lit(STRAY_TEXT))
         .when(priority == "2-HIGH", F.lit(""))
         .when(priority == "3-MEDIUM", F.substr("value", F.lit(1), F.length("value") - 40))
-        .when((priority == "5-LOW") & (status == "F"), F.regexp_replace("value", r"'height': \d", "'height': -"))
+        .when((priority == "5-LOW") & (status == "F"), F.regexp_replace("value", r"'height': (\d+)", no_height))
         .when((priority == "5-LOW") & (status == "O"), F.regexp_replace("value", r"'tx': \[u'.", "'tx': [u'X"))
         .otherwise(F.col("value"))
     )

@@ -1,3 +1,4 @@
+import json
 from decimal import Decimal
 
 import pytest
@@ -33,6 +34,39 @@ def test_node_named_takes_any_height(spark):
     assert {r.reason for r in rows} == {None}
 
 
+def test_named_heights_are_whole_numbers_of_the_block_itself(spark):
+    bad = ["210000.5", "12abc", "-5", "'7'", "1e3", "None", "{u'height': 5}", "[7]"]
+    lines = [node_line(h) for h in bad]
+    deep = "u'a': {u'b': [{u'height': 5, u'tx': [u'00']}, u'} \\\\\\' \\x7b', \"it's {\"]}, "
+    good = ["{" + deep + node_line("210007")[1:], node_line(tail=", u'height2': {u'height': 9}}"), node_line("5L ")]
+    good += [node_line(tx=[TXID, OTHER] * 20_000), "{u'x': [" + "{u'height': 1}, " * 20_000 + "], " + node_line()[1:]]
+    objects = node_line().replace(f"[u'{TXID}', u'{OTHER}']", "[{u'a': [1], u'height': 5}]").replace(": 210000", ": None")
+    inner = "{u'n': {u'tx': [u'00']}, " + node_line("210008")[1:]
+    lines, good, bad = [*lines, objects], [*good, inner], [*bad, objects]
+    only_nested = node_line("1").replace("u'height': 1", "u'y': {u'height': 1}")
+    rows = op.node_references(frame(spark, *lines, only_nested, *good).coalesce(1)).collect()
+    assert [r.reason for r in rows] == ["bad_height"] * 10 + [None] * 6
+    assert [r.height for r in rows[10:]] == [210007, 210000, 5, 210000, 210000, 210008]
+    assert {r.txid for r in rows[10:]} == {TXID}
+
+
+def test_json_lines(spark):
+    """What nodes print today."""
+    record = {"hash": "ab", "difficulty": 3438908.96015914, "miner": "a: u'b', None, 'Decimal('", "height": 210000,
+              "next": {"height": 3, "tx": 4}, "tx": [TXID, OTHER], "time": 5, "nextblockhash": None}
+    texts = [json.dumps(record), json.dumps(record, separators=(",", ":")), json.dumps(record | {"height": 2.5})]
+    rows = op.node_references(frame(spark, *texts).coalesce(1)).collect()
+    assert [(r.height, r.txid, r.reason) for r in rows[:2]] == [(210000, TXID, None)] * 2
+    assert rows[2].reason == "bad_height"
+    for row in op.node_blocks(frame(spark, *texts).coalesce(1)).collect()[:2]:
+        assert (row.hash, row.height, row.time, row.tx, row.nextblockhash, row.reason) == (
+            "ab", 210000, 5, [TXID, OTHER], None, None)
+        assert str(row.difficulty) == "3438908.96015914"
+    explorer = json.dumps({"fees": 7, "transaction_hashes": [OTHER, TXID], "next": {"fees": 9}, "height": 12})
+    row = op.explorer_fields(frame(spark, explorer)).first()
+    assert (row.height, row.fee_sat, row.reason) == (12, 7, None)
+
+
 @pytest.mark.parametrize("mode", ["named", "positional"])
 def test_node_modes_agree_on_unusable_lines(spark, mode):
     lines = frame(
