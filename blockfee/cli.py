@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from blockfee import operators as op
 from blockfee import plans, schemas, sinks, sources, streaming
-from blockfee.functions import to_coin, to_satoshi
 from blockfee.session import session
 from blockfee.streaming.run import (
     DEFAULT_INTERVAL,
@@ -107,14 +106,7 @@ def _fees(spark: SparkSession, args, source: str | None = None) -> DataFrame:
     if "first" in args and args.first is not None:
         low = args.first - args.first % plans.puts.HEIGHTS
         puts = puts.where(F.col(plans.puts.HEIGHT_RANGE).between(low, args.last))
-    cells = sinks.latest_by_key(puts)
-    coins = F.col("unit") == "coin"
-    fee_sat = F.when(coins, to_satoshi(F.when(coins, F.col("value")).try_cast(schemas.COIN))).otherwise(
-        F.col("value").try_cast("bigint")
-    )
-    return cells.select(F.col("rowkey").cast("bigint").alias("height"), fee_sat.alias("fee_sat"), "source").select(
-        "height", to_coin(F.col("fee_sat")).alias("fee_btc"), "fee_sat", "source"
-    )
+    return op.cell_fees(sinks.latest_by_key(puts))
 
 
 def _loaded(spark: SparkSession, args) -> DataFrame:
@@ -124,7 +116,16 @@ def _loaded(spark: SparkSession, args) -> DataFrame:
     return puts.select(F.col("rowkey").try_cast("bigint").alias("height"))
 
 
+def redrive(spark: SparkSession, args) -> None:
+    known = _known(spark, args)
+    run = plans.redrive_node_fees(known, args.table, args.quarantine, args.outputs, args.subsidy, args.writer)
+    run(spark, args.batch_id)
+
+
 def pending(spark: SparkSession, args) -> None:
+    if args.ranges:
+        op.pending_ranges(_loaded(spark, args), args.first, args.stop).write.parquet(args.out)
+        return
     wanted = sources.height_range(spark, args.first, args.stop)
     op.pending_heights(wanted, _loaded(spark, args)).write.parquet(args.out)
 
@@ -133,6 +134,15 @@ def series(spark: SparkSession, args) -> None:
     op.fee_series(_fees(spark, args), args.first, args.last).write.parquet(args.out)
 
 
+def positions(spark: SparkSession, args) -> None:
+    op.positional_series(_fees(spark, args), args.first, args.last, args.start).write.parquet(args.out)
+
+
+def refresh_buckets(spark: SparkSession, args) -> None:
+    done = sinks.refresh_buckets(spark, args.table, args.out, args.blocks, args.source)
+    print("refreshed: all" if done is None else f"refreshed: {len(done)} ranges")
+
+
 def buckets(spark: SparkSession, args) -> None:
     op.fee_buckets(_fees(spark, args), args.blocks).write.parquet(args.out)
 
@@ -164,8 +174,23 @@ def edges(spark: SparkSession, args) -> None:
     op.tx_edges(_blocks(spark, args)).write.parquet(args.out)
 
 
+def load_headers(spark: SparkSession, args) -> None:
+    sinks.put_blocks(op.block_headers(_blocks(spark, args)), args.table, args.batch_id, args.writer, args.lines)
+
+
+def load_edges(spark: SparkSession, args) -> None:
+    sinks.put_blocks(op.tx_edges(_blocks(spark, args)), args.table, args.batch_id, args.writer, args.lines, ("pos",))
+
+
+def blocks(spark: SparkSession, args) -> None:
+    sinks.blocks_between(spark, args.table, args.first, args.stop).write.parquet(args.out)
+
+
 def marker(spark: SparkSession, args) -> None:
-    op.progress_marker(_fees(spark, args)).write.mode("overwrite").parquet(args.out)
+    """Only what has no gap below it counts as processed."""
+    puts = sinks.read_table(spark, args.table).where(F.col("source") == args.source)
+    heights = puts.select(F.col("rowkey").try_cast("bigint").alias("height"))
+    op.contiguous_marker(heights, args.first).write.mode("overwrite").parquet(args.out)
 
 
 def compact(spark: SparkSession, args) -> None:
@@ -257,20 +282,33 @@ def _parser() -> argparse.ArgumentParser:
     sub = job(pending, "write the heights a table lacks", "table", "out")
     sub.add_argument("--first", type=int, required=True)
     sub.add_argument("--stop", type=int, required=True, help="first height beyond")
+    sub.add_argument("--ranges", action="store_true", help="a row (first, last) for each gap")
+    sub = job(redrive, "put the quarantined blocks whose transaction has come", "quarantine", "table")
+    sub.add_argument("--batch-id", type=int, required=True, help="another for each run")
+    sub.add_argument("--writer", default="redrive")
+    sub.add_argument("--outputs", choices=["first", "all"], default="first")
+    sub.add_argument("--subsidy", choices=["era", "fixed"], default="era")
+    lookup(sub)
     for function, summary in (
         (series, "write the fees of a range of heights in order"),
+        (positions, "write the same fees, numbered in order"),
+        (refresh_buckets, "bring buckets up to date with what was put since"),
         (buckets, "write count, least, greatest and total fee of runs of heights"),
         (outliers, "write the blocks above a fee"),
         (top, "write the blocks with the greatest fees"),
         (reconcile, "write the fees of both sources side by side"),
-        (marker, "write the last height processed"),
+        (marker, "write the last height below which none is missing"),
     ):
         sub = job(function, summary, "table", "out")
         sub.add_argument("--source", choices=["node", "explorer"], default=None if function is reconcile else "node")
-        if function is series:
+        if function in (series, positions):
             sub.add_argument("--first", type=int, required=True)
             sub.add_argument("--last", type=int, required=True)
-        if function is buckets:
+        if function is positions:
+            sub.add_argument("--start", type=int, default=0, help="number of the first point")
+        if function is marker:
+            sub.add_argument("--first", type=int, help="where the chain begins, else the lowest height put")
+        if function in (buckets, refresh_buckets):
             sub.add_argument("--blocks", type=int, default=1000)
         if function is outliers:
             sub.add_argument("--above", type=int, default=200, help="coins")
@@ -279,6 +317,13 @@ def _parser() -> argparse.ArgumentParser:
     for function, summary in ((headers, "write block headers"), (edges, "write block-to-transaction edges")):
         sub = job(function, summary, "lines", "out")
         sub.add_argument("--after", help="a marker: only blocks above it")
+    for function, summary in ((load_headers, "put block headers by height"), (load_edges, "put block-to-transaction edges by height")):
+        sub = job(function, summary, "lines", "table")
+        sub.add_argument("--after", help="a marker: only blocks above it")
+        batch(sub)
+    sub = job(blocks, "write the headers or edges of a range of heights", "table", "out")
+    sub.add_argument("--first", type=int, required=True)
+    sub.add_argument("--stop", type=int, required=True, help="first height beyond")
     sub = job(compact, "write the newest puts as a snapshot that readers then use", "table")
     sub.add_argument("--kind", choices=["fees", "json", "coinbase"], default="fees")
     sub.add_argument("--open", type=int, default=0, help="newest batches of each writer to leave outside")

@@ -3,7 +3,9 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from blockfee.functions import to_coin, to_satoshi
 from blockfee.operators.once import with_columns_once
+from blockfee.schemas import COIN
 
 # Names under which results are stored.
 FEE_FAMILY, FEE_QUALIFIER = "tx_fee_col", "tx_fee"
@@ -23,6 +25,16 @@ def fee_cells(fees: DataFrame, value: str = "fee_btc", rowkey: str = "height") -
     )
 
 
+def cell_fees(cells: DataFrame) -> DataFrame:
+    """The fee records that cells were made of, whatever unit their values are in."""
+    coins = F.col("unit") == "coin"
+    fee_sat = F.when(coins, to_satoshi(F.when(coins, F.col("value")).try_cast(COIN))).otherwise(
+        F.col("value").try_cast("bigint")
+    )
+    fees = cells.select(F.col("rowkey").cast("bigint").alias("height"), fee_sat.alias("fee_sat"), "source")
+    return fees.select("height", to_coin(F.col("fee_sat")).alias("fee_btc"), "fee_sat", "source")
+
+
 def json_records(lines: DataFrame, id_path: str = "$.id") -> DataFrame:
     """Add the ``id`` of each JSON line and ``reason`` (null if the line is JSON and its id a scalar)."""
     # Inside a list nothing can follow the record but the list's own end.

@@ -1,8 +1,24 @@
 """Split parsed rows into usable and unusable ones."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Every reason that lines are refused for.
+REASONS = (
+    "empty_line",
+    "stray_text",
+    "truncated",
+    "bad_height",
+    "bad_txid",
+    "bad_fee",
+    "bad_amount",
+    "bad_json",
+    "bad_id",
+    "no_id",
+    "missing_transaction",
+    "ambiguous_transaction",
+)
+
 
 def accepted(parsed: DataFrame) -> DataFrame:
     """Rows without a reason against them."""
@@ -30,3 +46,9 @@ def reason_counts(parsed: DataFrame) -> DataFrame:
     return parsed.groupBy(F.coalesce("reason", F.lit("ok")).alias("reason")).agg(
         F.count(F.lit(1)).alias("lines")
     )
+
+
+def outcome_metrics() -> list[Column]:
+    """For ``observe``: all rows, the usable ones (``ok``), and those with each reason."""
+    refused = [F.count_if(F.col("reason") == reason).alias(reason) for reason in REASONS]
+    return [F.count(F.lit(1)).alias("lines"), F.count_if(F.col("reason").isNull()).alias("ok"), *refused]

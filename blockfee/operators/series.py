@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from blockfee.operators.ordered import numbered
 from blockfee.schemas import COIN, TOTAL_COIN
 
 
@@ -19,6 +20,16 @@ def fee_series(fees: DataFrame, first: int, last: int) -> DataFrame:
     )
 
 
+def positional_series(fees: DataFrame, first: int, last: int, start: int = 0) -> DataFrame:
+    """The same points, numbered in order from ``start``: (position, height, fee).
+
+    For plots that count points instead of reading their height.
+    """
+    points = fees.where(F.col("height").between(first, last)).select("height", "fee_btc")
+    placed = numbered(points, "height", "fee_btc", name="position")
+    return placed.select((F.col("position") + start).alias("position"), "height", "fee_btc")
+
+
 def fee_buckets(fees: DataFrame, blocks_per_bucket: int = 1000) -> DataFrame:
     """Count, least, greatest and total fee of each run of heights."""
     start = F.col("height") - F.pmod("height", F.lit(blocks_per_bucket))

@@ -161,6 +161,7 @@ def put_batch(
     )
     _note_schema(spark, path, puts.schema)
     note_once(spark, path, "partitions", json.dumps([*partition_by]))
+    note_once(spark, path, "order", json.dumps([*sort_by]))
     log = read_log(spark, path)
     _refuse_closed(log, batch)
     # What an interrupted put left under this number isn't whole, so it may go.
@@ -261,11 +262,12 @@ def compact(
     Reads the last snapshot that counts and what it doesn't hold. The newest
     ``open_batches`` batches of each writer stay outside, where a stream may still replay
     them. What a snapshot replaces stays where it is until ``remove_replaced``. It is
-    partitioned as the table is.
+    partitioned and sorted as the table is.
     """
     known = json.loads(read_note(spark, path, "partitions") or "[]")
     if partition_by is not None and [*partition_by] != known:
         raise ValueError(f"{path} is partitioned by {known}, not {[*partition_by]}")
+    order_in_files = json.loads(read_note(spark, path, "order") or "[]")
     log = read_log(spark, path)
     newest = _newest(log, open_batches)
     version = log.current()
@@ -281,7 +283,8 @@ def compact(
     rows = read_directories(spark, path, directories)
     number = log.noted + 1
     # What an interrupted compaction left is not noted, so it may go.
-    _write(latest_by_key(rows, keys, order), log.directory((SNAPSHOT, number), 0), known, "overwrite")
+    target = log.directory((SNAPSHOT, number), 0)
+    _write(latest_by_key(rows, keys, order), target, known, "overwrite", order_in_files)
     everything = {**_batches(held), **taken}
     note_once(spark, path, f"snapshot-{number}", json.dumps(_ranges(everything), sort_keys=True))
 

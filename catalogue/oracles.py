@@ -246,3 +246,54 @@ SELECT 210000 + o_orderkey AS height,
 FROM orders LEFT JOIN coinbase ON coinbase.l_orderkey = o_orderkey
 LEFT JOIN totals ON totals.l_orderkey = o_orderkey""",
 }
+
+ORACLES["q37_redriven_fees"] = _era_fees("210000 + o_orderkey") + """
+SELECT CAST(height AS VARCHAR) AS rowkey, CAST(fee_btc AS VARCHAR) AS value, 'node' AS source, 'coin' AS unit,
+       CASE WHEN (height - 210000) % 3 = 0 THEN 'redrive' ELSE 'batch' END AS put_by,
+       CASE WHEN (height - 210000) % 3 = 0 THEN 1 ELSE 0 END::BIGINT AS put_id
+FROM fees"""
+
+ORACLES["q38_pending_ranges"] = """
+WITH missing AS (
+  SELECT r.range AS height FROM range(210000, (SELECT 210001 + max(o_orderkey) FROM orders)) r
+  WHERE r.range NOT IN (SELECT 210000 + l_orderkey FROM lineitem)
+), islands AS (SELECT height, height - row_number() OVER (ORDER BY height) AS island FROM missing)
+SELECT min(height) AS first, max(height) AS last FROM islands GROUP BY island"""
+
+ORACLES["q39_contiguous_marker"] = """
+WITH missing AS (
+  SELECT r.range AS height FROM range(210000, (SELECT 210002 + max(l_orderkey) FROM lineitem)) r
+  WHERE r.range NOT IN (SELECT 210000 + l_orderkey FROM lineitem)
+)
+SELECT CASE WHEN min(height) > 210000 THEN min(height) - 1 END AS last_block_processed FROM missing"""
+
+ORACLES["q40_put_counts"] = ORACLES["q21_quarantine"]
+
+ORACLES["q41_header_slice"] = f"""
+SELECT height, hash, difficulty, previousblockhash, CASE WHEN height < {SERIES_FIRST + 500} THEN 1 ELSE 0 END::BIGINT AS put_id
+FROM ({_HEADERS}) WHERE height >= {SERIES_FIRST} AND height < {SERIES_LAST}"""
+
+ORACLES["q42_headers_of_pending"] = f"""
+SELECT height, hash, nonce FROM ({_HEADERS}) WHERE height NOT IN (SELECT 210000 + l_orderkey FROM lineitem)"""
+
+ORACLES["q43_edge_slice"] = f"""
+SELECT height, pos, txid FROM ({ORACLES["q15_block_tx_edges"]})
+WHERE height >= {SERIES_FIRST} AND height < {SERIES_LAST}"""
+
+ORACLES["q44_buckets_refreshed"] = f"""
+WITH {_COINBASE},
+totals AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,8))) AS total FROM lineitem GROUP BY 1),
+fees AS (
+  SELECT 210000 + o_orderkey AS height,
+         CAST(CASE WHEN 210000 + o_orderkey >= {SERIES_LAST} THEN total ELSE first_value END
+              - {_coin(_SUBSIDY.format(h="(210000 + o_orderkey)"))} AS DECIMAL(18,8)) AS fee_btc
+  FROM orders JOIN coinbase ON coinbase.l_orderkey = o_orderkey JOIN totals ON totals.l_orderkey = o_orderkey
+)
+SELECT height - height % 1000 AS bucket_start, count(*) AS blocks, min(fee_btc) AS min_fee,
+       max(fee_btc) AS max_fee, CAST(sum(fee_btc) AS DECIMAL(28,8)) AS sum_fee
+FROM fees GROUP BY 1"""
+
+ORACLES["q45_reconcile_by_bucket"] = ORACLES["q20_mode_reconcile"]
+
+ORACLES["q46_positional_series"] = _PARITY + """
+SELECT 209999 + row_number() OVER (ORDER BY height, fee_btc) AS position, height, fee_btc FROM fees"""

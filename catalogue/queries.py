@@ -266,6 +266,107 @@ def rounded_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select("o_orderkey", round_coin(amount).alias("amount"))
 
 
+def redriven_fees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third transaction comes late; its blocks are put out of the quarantine."""
+    base = streaming.work_dir(spark)
+    values = standin.coinbase(spark, sf_dir)
+    late = F.col("l_orderkey") % 3 == 0
+    sinks.put_coinbase(values.where(~late).drop("l_orderkey"), f"{base}/coinbase", 0, digits=1)
+    known = sinks.coinbase_reader(spark, f"{base}/coinbase")
+    table, refused = f"{base}/table", f"{base}/refused"
+    put = plans.put_node_fees(known, table, refused)
+    put(standin.node_lines(spark, sf_dir), 0)
+    redrive = plans.redrive_node_fees(known, table, refused)
+    redrive(spark, 0)
+    sinks.put_coinbase(values.where(late).drop("l_orderkey"), f"{base}/coinbase", 1, digits=1)
+    for batch in (1, 1, 2):
+        redrive(spark, batch)
+    return sinks.read_table(spark, table).select("rowkey", "value", "source", "unit", "put_by", "put_id")
+
+
+def pending_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loaded = standin.loaded_heights(spark, sf_dir)
+    return op.pending_ranges(loaded, standin.FIRST_HEIGHT, standin.tip(spark, sf_dir))
+
+
+def contiguous_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.contiguous_marker(standin.loaded_heights(spark, sf_dir), standin.FIRST_HEIGHT)
+
+
+def put_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines of a stream were put, and refused for which reason, as its puts counted them."""
+    base = streaming.work_dir(spark)
+    sinks.put_coinbase(standin.coinbase(spark, sf_dir).drop("l_orderkey"), f"{base}/coinbase", 0, digits=1)
+    known = sinks.coinbase_reader(spark, f"{base}/coinbase")
+    counts: list[tuple[int, str, int]] = []
+
+    def report(batch_id: int, found: dict[str, int]) -> None:
+        counts.extend((batch_id, reason, lines) for reason, lines in found.items() if reason != "lines")
+
+    put = plans.put_node_fees(known, f"{base}/table", f"{base}/refused", report=report)
+    _stream(standin.flawed_node_lines(spark, sf_dir), put, spark, base)
+    rows = spark.createDataFrame(counts, "batch long, reason string, lines long").where("lines > 0")
+    return rows.groupBy("reason").agg(F.sum("lines").alias("lines"))
+
+
+def _header_table(spark: SparkSession, sf_dir: str) -> str:
+    """Headers put by height in two batches, the later of which has every block below the middle again."""
+    table = f"{streaming.work_dir(spark)}/headers"
+    headers = op.block_headers(_accepted_blocks(spark, sf_dir))
+    sinks.put_blocks(headers, table, 0)
+    sinks.put_blocks(headers.where(F.col("height") < SERIES_FIRST + 500), table, 1)
+    sinks.compact(spark, table, keys=["height"])
+    return table
+
+
+def header_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sinks.blocks_between(spark, _header_table(spark, sf_dir), SERIES_FIRST, SERIES_LAST)
+    return rows.select("height", "hash", "difficulty", "previousblockhash", "put_id")
+
+
+def headers_of_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers of the blocks that have no generation transaction."""
+    wanted = pending_heights(spark, sf_dir)
+    return sinks.blocks_of(spark, _header_table(spark, sf_dir), wanted).select("height", "hash", "nonce")
+
+
+def edge_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = f"{streaming.work_dir(spark)}/edges"
+    sinks.put_blocks(op.tx_edges(_accepted_blocks(spark, sf_dir)), table, 0, sort_by=("pos",))
+    return sinks.blocks_between(spark, table, SERIES_FIRST, SERIES_LAST).select("height", "pos", "txid")
+
+
+def buckets_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets after a put of all fees by the first output, and one of some by all outputs."""
+    base = streaming.work_dir(spark)
+    table, out = f"{base}/table", f"{base}/buckets"
+    for batch, outputs in enumerate(("first", "all")):
+        fees = _node_fees(spark, sf_dir, outputs=outputs)
+        if batch:
+            fees = fees.where(F.col("height") >= SERIES_LAST)
+        cells = op.fee_cells(fees).withColumn("height_range", F.expr("CAST(rowkey AS bigint) div 10000 * 10000"))
+        sinks.put_batch(cells, table, batch, ["height_range"])
+        sinks.refresh_buckets(spark, table, out)
+    return sinks.read_buckets(spark, out)
+
+
+def reconcile_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sources written in buckets of height and compared without another shuffle."""
+    base = streaming.work_dir(spark)
+    name = base.rsplit("/", 1)[-1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    explorer = plans.explorer_fees(standin.explorer_lines(spark, sf_dir))
+    both = {"node": _node_fees(spark, sf_dir), "explorer": explorer}
+    tables = [sinks.write_by_height(fees, f"{name}_{k}", f"{base}/{k}", buckets) for k, fees in both.items()]
+    return op.compare_sources(*tables)
+
+
+def positional_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every point numbered as a plot counts them, from the first height on."""
+    fees = _parity_fees(spark, sf_dir)
+    return op.positional_series(fees, standin.FIRST_HEIGHT, standin.tip(spark, sf_dir), standin.FIRST_HEIGHT)
+
+
 def quarantine_explorer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.reason_counts(op.explorer_fields(standin.flawed_explorer_lines(spark, sf_dir)))
 
@@ -329,4 +430,14 @@ QUERIES: dict[str, Query] = {
     "q34_quarantine_explorer": quarantine_explorer,
     "q35_quarantine_json": quarantine_json,
     "q36_corrected_lookup": corrected_lookup,
+    "q37_redriven_fees": redriven_fees,
+    "q38_pending_ranges": pending_ranges,
+    "q39_contiguous_marker": contiguous_marker,
+    "q40_put_counts": put_counts,
+    "q41_header_slice": header_slice,
+    "q42_headers_of_pending": headers_of_pending,
+    "q43_edge_slice": edge_slice,
+    "q44_buckets_refreshed": buckets_refreshed,
+    "q45_reconcile_by_bucket": reconcile_by_bucket,
+    "q46_positional_series": positional_series,
 }

@@ -49,12 +49,12 @@ def test_compaction_beside_a_writer(spark, tmp_path, monkeypatch):
     sinks.put_batch(cells(spark, a="1", b="1"), path, 0)
     write = sinks.tables._write
 
-    def write_late(rows, target, partition_by, mode):
+    def write_late(rows, target, partition_by, mode, sort_by):
         if sinks.tables.SNAPSHOT in target:
             monkeypatch.setattr(sinks.tables, "_write", write)
             sinks.put_batch(cells(spark, c="9"), path, 1)
             sinks.put_batch(cells(spark, d="9"), path, 0, writer="new")
-        write(rows, target, partition_by, mode)
+        write(rows, target, partition_by, mode, sort_by)
 
     monkeypatch.setattr(sinks.tables, "_write", write_late)
     sinks.compact(spark, path)
