@@ -297,3 +297,13 @@ ORACLES["q45_reconcile_by_bucket"] = ORACLES["q20_mode_reconcile"]
 
 ORACLES["q46_positional_series"] = _PARITY + """
 SELECT 209999 + row_number() OVER (ORDER BY height, fee_btc) AS position, height, fee_btc FROM fees"""
+
+ORACLES["q47_whole_files"] = ORACLES["q02_block_named_parse"]
+
+ORACLES["q48_bounded_preview"] = _PARITY + """
+SELECT height, fee_btc FROM fees ORDER BY height, fee_btc LIMIT 200"""
+
+ORACLES["q49_interval_stream"] = ORACLES["q23_stream_fee_explorer"]
+
+ORACLES["q50_stream_preview"] = """
+SELECT CAST(0 AS INTEGER) AS batch, least(200, count(*)) AS shown FROM orders"""

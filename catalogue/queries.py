@@ -367,6 +367,45 @@ def positional_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.positional_series(fees, standin.FIRST_HEIGHT, standin.tip(spark, sf_dir), standin.FIRST_HEIGHT)
 
 
+def whole_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dump whose files are read as one record each, and cut into lines afterwards."""
+    dump = _written_lines(standin.node_lines(spark, sf_dir), spark)
+    files = sources.read_lines(spark, dump, whole_file=True)
+    lines = files.select(F.explode(F.split("value", "\n")).alias("value")).where("value <> ''")
+    return op.accepted(op.node_references(lines)).select("height", "txid")
+
+
+def bounded_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first points of the series, as many as fit a screen."""
+    fees = _parity_fees(spark, sf_dir)
+    return op.fee_series(fees, standin.FIRST_HEIGHT, standin.tip(spark, sf_dir)).limit(streaming.run.PREVIEW_ROWS)
+
+
+def interval_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The explorer stream at an interval, for a bounded time, until nothing new comes."""
+    base = streaming.work_dir(spark)
+    put = plans.put_explorer_fees(f"{base}/table", f"{base}/refused", mode="positional")
+    source = sources.stream_lines(spark, _written_lines(standin.explorer_lines(spark, sf_dir), spark), FILES_PER_TRIGGER)
+    timeout = streaming.run.EXPLORER_TIMEOUT_SECONDS
+    streaming.run_stream(source, put, f"{base}/checkpoint", timeout=timeout, until_idle=True)
+    return sinks.read_table(spark, f"{base}/table").select("rowkey", "value")
+
+
+def stream_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows of the first micro-batch, a whole dump in one file, a preview shows."""
+    lines = standin.explorer_lines(spark, sf_dir).select("value")
+    base = streaming.work_dir(spark)
+    lines.repartition(1).write.text(f"{base}/lines")
+    fees = op.explorer_fields(sources.stream_lines(spark, f"{base}/lines"), "positional").select("fee_text_padded")
+
+    def show(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{base}/shown/batch={batch_id}")
+
+    streaming.preview_batches(fees, show, interval=None)
+    shown = spark.read.schema("fee_text_padded string, batch int").parquet(f"{base}/shown")
+    return shown.groupBy("batch").agg(F.count(F.lit(1)).alias("shown"))
+
+
 def quarantine_explorer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.reason_counts(op.explorer_fields(standin.flawed_explorer_lines(spark, sf_dir)))
 
@@ -440,4 +479,8 @@ QUERIES: dict[str, Query] = {
     "q44_buckets_refreshed": buckets_refreshed,
     "q45_reconcile_by_bucket": reconcile_by_bucket,
     "q46_positional_series": positional_series,
+    "q47_whole_files": whole_files,
+    "q48_bounded_preview": bounded_preview,
+    "q49_interval_stream": interval_stream,
+    "q50_stream_preview": stream_preview,
 }
