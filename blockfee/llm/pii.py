@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+#: A domain has 127 labels at most; a group that may repeat without end would cost stack for each of them.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,125}\.[A-Za-z]{2,}"
 IPV4 = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"
 #: Countries by the length of their IBANs, as registered.
 IBAN_SIZES = {
@@ -84,7 +85,7 @@ def _ten(n: Column) -> Column:
     return F.rpad(F.lit("1"), n + 1, F.lit("0")).cast("long")
 
 
-def permuted(left: Column, right: Column, a: Column, b: Column, kind: str, key: str) -> Column:
+def permuted(left: Column, right: Column, a: Column, b: Column, kind: str | Column, key: str) -> Column:
     """The pair (left, right) permuted among all pairs below (a, b)."""
 
     def mixed(i: Column, value: Column) -> Column:
@@ -107,7 +108,7 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def permuted_digits(digits: Column, kind: str, key: str) -> Column:
+def permuted_digits(digits: Column, kind: str | Column, key: str) -> Column:
     """A string of 1 to 18 digits permuted among all of its length."""
     size = F.length(digits)
     first = F.floor(size / 2).cast("int")
@@ -121,6 +122,21 @@ def permuted_digits(digits: Column, kind: str, key: str) -> Column:
     )
 
 
+def all_permuted(digits: Column, kind: str, key: str) -> Column:
+    """A string of up to 36 digits permuted, each of them.
+
+    Beyond 18, the last 18 are permuted by a network that depends on the others, and these by
+    one that depends on the new last 18; both steps can be undone with the key.
+    """
+
+    def chained(size: Column) -> Column:
+        head, tail = F.substr(digits, F.lit(1), size), F.substr(digits, size + 1)
+        new_tail = permuted_digits(tail, F.concat(F.lit(f"{kind}:"), head), key)
+        return _let(new_tail, lambda t: F.concat(permuted_digits(head, F.concat(F.lit(f"{kind}<"), t), key), t))
+
+    return F.when(F.length(digits) <= 18, permuted_digits(digits, kind, key)).otherwise(chained(F.length(digits) - 18))
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, r"[^0-9]", "")
 
@@ -201,11 +217,8 @@ def _iban(found: Column, key: str) -> Column:
 def _valid_iban(found: Column, key: str) -> Column:
     plain = F.replace(found, F.lit(" "), F.lit(""))
     body, country = F.substr(plain, F.lit(5)), F.substr(plain, F.lit(1), F.lit(2))
-    # The last 18 digits of the account are permuted; letters and any digits before stay.
-    digits = _digits(body)
-    kept = F.substr(digits, F.lit(1), F.greatest(F.length(digits) - 18, F.lit(0)))
-    moved = F.substr(digits, F.length(kept) + 1)
-    new_body = _refilled(body, F.concat(kept, permuted_digits(moved, "iban", key)))
+    # Letters stay.
+    new_body = _let(_digits(body), lambda d: _refilled(body, all_permuted(d, "iban", key)))
     new = _let(
         new_body,
         lambda b: F.concat(
@@ -241,9 +254,7 @@ def _ssn(found: Column, key: str) -> Column:
 def _phone(found: Column, key: str) -> Column:
     country = F.regexp_extract(found, r"^\+\d{1,3}(?=[ .(-])", 0)
     rest = F.substr(found, F.length(country) + 1)
-    digits = _digits(rest)
-    kept = F.substr(digits, F.lit(1), F.greatest(F.length(digits) - 18, F.lit(0)))
-    new = F.concat(kept, permuted_digits(F.substr(digits, F.length(kept) + 1), "phone", key))
+    new = _let(_digits(rest), lambda d: all_permuted(d, "phone", key))
     return _let(new, lambda x: F.concat(country, _refilled(rest, x)))
 
 

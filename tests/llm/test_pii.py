@@ -162,3 +162,29 @@ def test_credential_names_in_any_case(spark):
     names = ["Password: ", "API_KEY=", "Token = ", "SECRET: ", "PassWd=", "MY_TOKEN="]
     for name, new in zip(names, replaced(spark, [f"x {n}{value}." for n in names]), strict=True):
         assert re.fullmatch(rf"x {name}[0-9a-f]{{14}}\.", new) and value not in new
+
+
+def test_no_pattern_runs_out_of_stack(spark):
+    """A hundred thousand repeats of what each pattern may repeat."""
+    n = 100_000
+    pieces = ["a.", "x@a.", "1.", "1.2.3.4.", "+1 ", "+1 22 ", "(12) ", "12-", "1234 ", "AB12 CDEF ", "DE89 3704 ", "2020-01-01-", "1/1/2020/",
+              "token=", "token: abcdefgh", "AKIA", "a-", "%", "_"]
+    texts = [start + piece * n for piece in pieces for start in ("", "x@")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    assert pii.pseudonymised(docs, key="k", found="n").where("text IS NOT NULL").count() == len(texts)
+    assert pii.pseudonymised(docs.where("doc_id = 3"), key="k", found="n").count() == 1
+
+
+def test_all_digits_of_long_numbers_are_permuted(spark):
+    """Every digit may change, two numbers never get one pseudonym, and it depends on the key."""
+    texts = [f"{a:06d}{b:018d}" for a in (0, 1, 999_999) for b in range(40)] + ["9" * 36, "0" * 27, "7" * 18]
+    rows = spark.createDataFrame([(t,) for t in texts], "d string")
+    new = rows.select("d", *[pii.all_permuted(F.col("d"), "iban", k).alias(k) for k in "ab"]).collect()
+    assert all(len(r.a) == len(r.d) and r.a.isdigit() for r in new)
+    assert len({r.a for r in new}) == len(texts) and all(r.a != r.b for r in new)
+    assert sum(r.a[:6] == r.d[:6] for r in new) < 5
+    polish = "PL61 1090 1014 0000 0712 1981 2874"
+    found = pii.pseudonymised(spark.createDataFrame([(1, f"IBAN {polish}.")], "doc_id long, text string"), key="k").first().text
+    plain = found[5:-1].replace(" ", "")
+    assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+    assert plain[4:10] != "109010"
