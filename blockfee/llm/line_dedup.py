@@ -4,15 +4,16 @@ Three passes. Distinct line hashes are counted; those in enough documents go int
 shards, each a minimal perfect hash with arrays for fingerprint, count and last
 document (``line_index``). The documents' line hashes, 24 bytes each and without any
 text, are sent to the shards and probe the arrays; lines are never joined with lines.
-What is to be dropped goes back to the documents by their id.
+What is to be dropped goes back to the documents by their id and a hash of their text.
 
 A shard has at most about ``SHARD_LINES`` lines. A shard that a very common line makes
 hot is copied to as many tasks as its share of the probes asks for.
 
 Defined cases: a null or empty text is one empty line, and null becomes an empty text;
-each row counts as a document, and rows that share the largest ``doc_id`` all keep the
-line; a null ``doc_id`` counts as smaller than any other; a text of any length is read
-whole; an empty table gives an empty result.
+rows that share a ``doc_id`` count as one document, and if it is the largest all keep the
+line; each row without an id counts as a document of its own, smaller than any other; a text
+of any length is read whole; an empty table gives an empty result. All columns are kept
+whatever their names; ``counts`` replace columns of the same names.
 """
 
 from __future__ import annotations
@@ -53,15 +54,27 @@ def _hashes(text: str | None, min_chars: int) -> list[tuple[int, int] | None]:
     return out
 
 
-def _line_hashes(part: pa.RecordBatch, min_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, high and low half of each distinct line of each row."""
-    docs, pairs = [], []
-    for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+def _line_hashes(part: pa.RecordBatch, min_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Document, key of the row, high and low half of each distinct line of each row."""
+    docs, keys, pairs = [], [], []
+    columns = [part.column(name).to_pylist() for name in ("doc_id", "key", "text")]
+    for doc_id, key, text in zip(*columns, strict=True):
         lines = {x for x in _hashes(text, min_chars) if x}
         pairs += lines
         docs += [_NO_ID if doc_id is None else doc_id] * len(lines)
+        keys += [key] * len(lines)
     halves = np.array(pairs, np.uint64).reshape(-1, 2).view(np.int64)
-    return np.array(docs, np.int64), halves[:, 0], halves[:, 1]
+    return np.array(docs, np.int64), np.array(keys, np.int64), halves[:, 0], halves[:, 1]
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and ``key``, which tells rows with one id, or none, but different texts apart."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("key"))
+
+
+def _ids_repeat(docs: DataFrame) -> bool:
+    ids = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count()
+    return not ids.where("count > 1").isEmpty()
 
 
 def _shard(high: np.ndarray, shards: int) -> np.ndarray:
@@ -74,10 +87,14 @@ def repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                doc, high, low = _line_hashes(part, min_chars)
+                doc, _, high, low = _line_hashes(part, min_chars)
                 yield pa.record_batch({"doc": doc, "high": high, "low": low})
 
-    lines = docs.select("doc_id", "text").mapInArrow(run, "doc long, high long, low long")
+    lines = _keyed(docs).mapInArrow(run, "doc long, high long, low long")
+    if _ids_repeat(docs):
+        # Rows of one id are one document; a row without an id is a document of its own.
+        alone = F.when(F.col("doc") == _NO_ID, F.monotonically_increasing_id())
+        lines = lines.withColumn("alone", alone).distinct().drop("alone")
     counted = lines.groupBy("high", "low").agg(F.count("*").alias("n"), F.max("doc").alias("last"))
     return counted.where(F.col("n") >= min_docs)
 
@@ -106,7 +123,7 @@ def _indexed(repeated: DataFrame, shards: int) -> DataFrame:
 
 
 def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """``doc`` and ``high`` of each line that goes; the id of a document without one is the least long."""
+    """``doc``, ``key`` of its text, and ``high`` of each line that goes; the id of a document without one is the least long."""
     spark = docs.sparkSession
     repeated = stored(repeated_lines(docs, min_chars, min_docs), "repeated-lines")
     shards = max(1, -(-repeated.count() // SHARD_LINES))
@@ -125,11 +142,12 @@ def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Da
         start, count = sent.value
         for batch in batches:
             for part in slices(batch):
-                doc, high, low = _line_hashes(part, min_chars)
+                doc, key, high, low = _line_hashes(part, min_chars)
                 shard = _shard(high, shards)
-                salt = (mixed(doc.view(np.uint64)) % count[shard].astype(np.uint64)).astype(np.int64)
+                salt = (mixed((doc ^ key).view(np.uint64)) % count[shard].astype(np.uint64)).astype(np.int64)
                 none = pa.nulls(len(doc), pa.binary())
-                yield pa.record_batch({"slot": start[shard] + salt, "doc": doc, "high": high, "low": low, "index": none})
+                columns = {"slot": start[shard] + salt, "doc": doc, "key": key, "high": high, "low": low}
+                yield pa.record_batch({**columns, "index": none})
 
     places = spark.createDataFrame(
         pd.DataFrame({"shard": np.arange(shards), "start": first[:-1], "copies": copies}),
@@ -139,13 +157,12 @@ def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Da
     copied = indexes.join(places, "shard").select(
         F.explode(F.sequence("start", F.expr("start + copies - 1"))).alias("slot"),
         nothing.alias("doc"),
+        nothing.alias("key"),
         nothing.alias("high"),
         nothing.alias("low"),
         "index",
     )
-    asked = docs.select("doc_id", "text").mapInArrow(
-        probes, "slot long, doc long, high long, low long, index binary"
-    )
+    asked = _keyed(docs).mapInArrow(probes, "slot long, doc long, key long, high long, low long, index binary")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = None
@@ -157,17 +174,17 @@ def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Da
                 batch = batch.slice(known)
             if index is None or not len(batch):
                 continue
-            doc, high, low = (batch.column(k).to_numpy() for k in ("doc", "high", "low"))
+            doc, key, high, low = (batch.column(k).to_numpy() for k in ("doc", "key", "high", "low"))
             number = index.find(high, low)
             gone = number >= 0
             gone[gone] = (index.counts[number[gone]] >= min_docs) & (index.last[number[gone]] != doc[gone])
-            yield pa.record_batch({"doc": doc[gone], "high": high[gone]})
+            yield pa.record_batch({"doc": doc[gone], "key": key[gone], "high": high[gone]})
 
     return (
         copied.unionByName(asked)
         .repartitionById(slots, F.col("slot").cast("int"))
         .sortWithinPartitions(F.col("index").isNull())
-        .mapInArrow(answer, "doc long, high long")
+        .mapInArrow(answer, "doc long, key long, high long")
     )
 
 
@@ -180,13 +197,14 @@ def without_repeated_lines(
     """
     gone = (
         dropped_lines(docs, min_chars, min_docs)
-        .groupBy("doc")
-        .agg(F.collect_list("high").alias("high"))
+        .groupBy("doc", "key")
+        .agg(F.collect_set("high").alias("high"))  # of one text's lines, however many rows have it
     )
     columns = docs.columns
     own: Column = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
     # Columns of docs travel in a struct, so that none can clash.
-    joined = docs.select(own.alias("doc"), F.struct(*columns).alias("row")).join(gone, "doc", "left")
+    keyed = docs.select(own.alias("doc"), F.xxhash64("text").alias("key"), F.struct(*columns).alias("row"))
+    joined = keyed.join(gone, ["doc", "key"], "left")
     flat = joined.select(
         *[F.col(f"row.{c}").alias(f"c{i}") for i, c in enumerate(columns)], F.col("high").alias("gone")
     )
@@ -220,4 +238,6 @@ def without_repeated_lines(
     )
     cleaned = flat.mapInArrow(cut, out)
     names = [*columns, *(counts or ())]
-    return cleaned.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    return cleaned.select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(names) if i >= len(columns) or c not in (counts or ())]
+    )

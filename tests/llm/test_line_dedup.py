@@ -13,7 +13,7 @@ LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def brute(rows, min_chars=20, min_docs=3):
-    """Rows are documents; a null id is smaller than any."""
+    """Rows of an id are one document; each row without one is its own, smaller than any."""
 
     def key(line):
         k = line.strip(WHITE).translate(LOWER)
@@ -25,7 +25,8 @@ def brute(rows, min_chars=20, min_docs=3):
     held = defaultdict(list)
     for i, text in rows:
         for k in {key(line) for line in (text or "").split("\n")} - {None}:
-            held[k].append(rank(i))
+            if i is None or i not in held[k]:
+                held[k].append(rank(i))
     out = []
     for i, text in rows:
         lines = (text or "").split("\n")
@@ -47,6 +48,26 @@ def test_odd_rows(spark):
     assert run(spark, TEXTS) == want
 
 
+def test_repeated_and_missing_ids(spark):
+    line = "one line that is long enough to count"
+    rows = [(1, line), (1, line), (2, line), (2, line + "\nown"), (3, "x")]
+    assert run(spark, rows) == brute(rows) and not any(r[3] for r in run(spark, rows))
+    rows += [(9, line), (9, "another line that is long enough"), (None, line)]
+    assert run(spark, rows) == brute(rows)
+    shared = "\n".join(f"shared line {k} of them, quite long" for k in range(5))
+    rows = [(None, f"{shared}\nnumber {i} of the rows without an id") for i in range(200)] + [(None, shared)] * 50
+    assert run(spark, rows) == brute(rows)
+    rows += [(7, shared), (-5, line), (-5, shared)]
+    got = run(spark, rows)
+    assert got == brute(rows) and sum(r[3] for r in got) == 5 * 251
+
+
+def test_counts_replace_columns_of_their_names(spark):
+    docs = documents(spark)
+    got = line_dedup.without_repeated_lines(docs, counts=("n", "row"))
+    assert sorted(got.columns) == sorted(docs.columns)
+
+
 def test_no_rows_and_nothing_shared(spark):
     assert run(spark, []) == []
     rows = [(1, "a line of its own, quite long"), (2, None)]
