@@ -11,10 +11,12 @@ emits a token wherever a valid pair ends.
 with the tokens that it alone would emit. What all open paths share is emitted at once;
 the rest waits. Every path ends within the length of the longest token, which bounds how
 far emission looks ahead. States and steps are made when first needed and kept; beyond a
-limit they are dropped and made anew.
+limit they are dropped and made anew, also within a piece.
 
 ``Decoder`` turns token ids back into text piece by piece with a state machine over
-incomplete UTF-8 sequences.
+incomplete UTF-8 sequences. For whole columns of ids, tokens that begin and end between
+characters are read off a table, as they keep the machine at its start; it runs
+over what is between them.
 """
 
 from __future__ import annotations
@@ -23,7 +25,6 @@ import base64
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from .words import slices
 
 #: Steps of the encoder and decoder, and pairs of tokens, that are kept.
 KEPT_STEPS = 300_000
-KEPT_PAIRS = 300_000
+KEPT_PAIRS = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -96,11 +97,12 @@ class Encoder:
         return tuple([self.ranks[p] for p in parts])
 
     def _forget(self) -> None:
-        # A state: (tokens to come, last token or -1, node since) for each open path, oldest first.
-        start = (((), -1, 0),)
-        self.states = [start]
-        self.numbers = {start: 0}
-        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
+        # A state: under -1 its paths, (tokens to come, last token or -1, node since) for each open one, oldest
+        # first, and under each byte met so far where that leads and what is certain by then.
+        paths = (((), -1, 0),)
+        self.start: dict = {-1: paths}
+        self.states = {paths: self.start}
+        self.kept = 0
 
     def _edge(self, token: int) -> tuple[bool, int, int, list[bytes], list[bytes]]:
         """How a token's bytes merge: whether to it alone, the ranks that first join its first and its last byte,
@@ -140,11 +142,11 @@ class Encoder:
             return True
         return self.merge(self.bytes_of[last] + self.bytes_of[token]) == (last, token)
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def _step(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
         """Where a byte leads, and what is certain by then."""
         ahead, ended = [], None
         children, token_at, inner = self.children, self.token_at, self.inner
-        for waiting, last, node in self.states[state]:
+        for waiting, last, node in state[-1]:
             child = children.get(node << 8 | byte)
             if child is None:
                 continue
@@ -157,16 +159,24 @@ class Encoder:
         if ended is not None:
             ahead.append(ended)
         certain = ahead[0][0]
-        if len(ahead) > 1 and certain:
-            certain = commonprefix([waiting for waiting, _, _ in ahead])
-        if certain:
-            n = len(certain)
+        n = len(certain)
+        for waiting, _, _ in ahead:
+            while waiting[:n] != certain[:n]:
+                n -= 1
+        if n:
+            certain = certain[:n]
             ahead = [(waiting[n:], last, node) for waiting, last, node in ahead]
+        else:
+            certain = ()
         key = tuple(ahead)
-        if (number := self.numbers.get(key)) is None:
-            number = self.numbers[key] = len(self.states)
-            self.states.append(key)
-        found = self.steps[state << 8 | byte] = (number, certain)
+        if self.kept >= KEPT_STEPS:
+            # Goes on from a state made anew, so that nothing holds on to the old ones.
+            self._forget()
+            state = {}
+        if (following := self.states.get(key)) is None:
+            following = self.states[key] = {-1: key}
+        found = state[byte] = (following, certain)
+        self.kept += 1
         return found
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
@@ -175,17 +185,14 @@ class Encoder:
             return (whole,)
         if not piece:
             return ()
-        if len(self.steps) >= KEPT_STEPS:
-            self._forget()
         out: list[int] = []
-        state, get = 0, self.steps.get
+        state = self.start
         for byte in piece:
-            step = get(state << 8 | byte) or self._step(state, byte)
-            state, emitted = step
+            state, emitted = state.get(byte) or self._step(state, byte)
             if emitted:
                 out += emitted
         # At the end the path that stands at the edge of a token is the encoding.
-        waiting, _, node = self.states[state][-1]
+        waiting, _, node = state[-1][-1]
         if node:
             raise AssertionError("every piece has an encoding")
         out += waiting
@@ -239,6 +246,11 @@ class Decoder:
         #: Texts of tokens that begin and end between characters: they keep the machine at its start.
         self.plain = {token: text for token, data in tokens.items() if (text := _whole_text(data)) is not None}
         self.state = b""
+        size = max(tokens, default=-1) + 1
+        #: The same for columns of ids: which ids those are, and the texts of all ids, empty for others.
+        self.is_plain = np.zeros(size, bool)
+        self.is_plain[list(self.plain)] = True
+        self.texts = [self.plain.get(i, "") for i in range(size)]
 
     def finish(self) -> str:
         text, self.state = "�" if self.state else "", b""
@@ -269,8 +281,39 @@ class Decoder:
 
     def text(self, ids: list[int]) -> str:
         """The text of all ids, from the machine's start."""
-        texts = list(map(self.plain.get, ids))
-        return "".join(self.decode(ids) if None in texts else texts)
+        return self.columns(np.array(ids, np.int64), np.array([0, len(ids)]))[0].as_py()
+
+    def columns(self, ids: np.ndarray, starts: np.ndarray) -> pa.Array:
+        """The texts of rows of ids, one after the other; ``starts`` has one entry more than there are rows."""
+        at = ids.astype(np.int64)
+        others = ~self.is_plain[at]
+        if others.any():
+            # The machine runs over stretches of other tokens; a row's end ends a stretch.
+            begins = others.copy()
+            begins[1:] &= ~others[:-1]
+            inner = starts[:-1][starts[:-1] < len(at)]
+            begins[inner] |= others[inner]
+            first = np.flatnonzero(begins)
+            number = np.cumsum(begins)
+            last = np.searchsorted(number[others], np.arange(1, len(first) + 1), side="right")
+            tokens = ids[others].tolist()
+            more, known, low = [], {}, 0
+            for high in last.tolist():
+                stretch = tuple(tokens[low:high])
+                if (text := known.get(stretch)) is None:
+                    text = known[stretch] = "".join(self.decode(stretch))
+                more.append(text)
+                low = high
+            at[others] = len(self.texts)  # an empty text, but at the beginning of a stretch
+            at[first] = len(self.texts) + 1 + np.arange(len(first))
+            table = pa.array([*self.texts, "", *more], pa.large_string())
+        else:
+            table = pa.array(self.texts, pa.large_string())
+        joined = table.take(pa.array(at))
+        _, offsets, data = joined.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[: len(at) + 1]
+        bounds = pa.py_buffer(np.ascontiguousarray(offsets[starts]))
+        return pa.LargeStringArray.from_buffers(len(starts) - 1, bounds, data if data is not None else pa.py_buffer(b""))
 
     def decode(self, ids: Iterable[int]) -> Iterator[str]:
         """The texts of a stream of ids, one for each id and one for its end."""
@@ -306,8 +349,10 @@ def _encoded(part: pa.RecordBatch, encoder: TextEncoder) -> pa.RecordBatch:
 
 
 def _with_text(part: pa.RecordBatch, decoder: Decoder) -> pa.RecordBatch:
-    texts = [decoder.text(ids.values.to_pylist()) for ids in part.column("ids")]
-    return part.append_column("text", pa.array(texts, pa.string()))
+    lists = part.column("ids")
+    starts = lists.offsets.to_numpy().astype(np.int64)
+    ids = lists.values.to_numpy(zero_copy_only=False)[starts[0] : starts[-1]]
+    return part.append_column("text", decoder.columns(ids, starts - starts[0]).cast(pa.string()))
 
 
 def encoded(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -319,6 +364,7 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(ranks_path, pattern)
+        pa.default_memory_pool().release_unused()  # of stages before, in the same worker
         for batch in batches:
             for part in slices(batch, size=TEXT_SLICE):
                 yield _encoded(part, encoder)

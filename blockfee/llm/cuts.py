@@ -21,8 +21,10 @@ import pyarrow.compute as pc
 
 from .words import filled
 
-#: Words that are kept; each about 200 bytes.
-KEPT_WORDS = 800_000
+#: Words of each generation that are kept, and characters of the longest of them: at most
+#: half a kilobyte each, usually much less.
+KEPT_WORDS = 400_000
+LONGEST_KEPT = 32
 _PUNCTUATION = ".,;:!?%&$#*|)(]['\"-"
 
 
@@ -31,16 +33,26 @@ class KnownCuts:
 
     def __init__(self, encode_many: Callable[[list[str]], list[bytes]]) -> None:
         self.encode_many = encode_many
-        #: By the word after a space, or by the word with its line break.
+        #: By the word after a space, or by the word with its line break. Words that went on
+        #: being used in the older generation are taken over from it.
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        #: Words that are too long to be kept beyond their slice.
+        self.long: list[str] = []
         #: By the text itself: what begins a text, and punctuation.
         self.plain: dict[str, bytes] = {}
         #: Of the scalar way.
         self.scalar: dict[str, bytes | None] = {}
 
     def _forget(self) -> None:
-        for known in (self.words, self.plain, self.scalar):
-            if len(known) > KEPT_WORDS:
+        for word in self.long:
+            self.words.pop(word, None)
+        self.long = []
+        if len(self.words) > KEPT_WORDS:
+            self.older, self.words = self.words, {}
+        # Texts' first words are rarely met again.
+        for known in (self.plain, self.scalar):
+            if len(known) > KEPT_WORDS // 4:
                 known.clear()
 
     def _learn(self, words: list[str], plain: list[str]) -> None:
@@ -49,13 +61,19 @@ class KnownCuts:
         for word in words:
             if word in self.words:
                 continue
+            if (known := self.older.get(word)) is not None:
+                self.words[word] = known
+                continue
             base = word.rstrip(_PUNCTUATION)
             if base != word and base and base[-1].isalpha():
                 joined.append((word, base, word[len(base) :]))
                 if joined[-1][2] not in self.plain:
                     new_plain.add(joined[-1][2])
                 if base not in self.words:
-                    new.append(base)
+                    if (known := self.older.get(base)) is not None:
+                        self.words[base] = known
+                    else:
+                        new.append(base)
             else:
                 new.append(word)
         new = list(dict.fromkeys(new))
@@ -65,6 +83,9 @@ class KnownCuts:
         self.plain.update(zip(new_plain, ids[len(new) :], strict=True))
         for word, base, end in joined:
             self.words[word] = self.words[base] + self.plain[end]
+            if len(word) > LONGEST_KEPT:
+                self.long.append(word)
+        self.long += [x for x in new if len(x) > LONGEST_KEPT]
 
     def encode_one(self, text: str) -> bytes:
         return b"".join(encoded_cuts(text, self.scalar, lambda cut: self.encode_many([cut])[0]))
@@ -131,9 +152,11 @@ def encoded_cuts(text: str, known: dict[str, bytes | None], encode: Callable[[st
         word = words[i]
         found = get(word, known)
         if found is known:  # not seen before
-            if len(known) > KEPT_WORDS:
+            if len(known) > KEPT_WORDS // 4:
                 known.clear()
-            found = known[word] = None if not word or word[-1].isspace() else encode(" " + word)
+            found = None if not word or word[-1].isspace() else encode(" " + word)
+            if len(word) <= LONGEST_KEPT:
+                known[word] = found
         if found is None:
             end = joined(i)
             yield encode(" " + " ".join(words[i:end]))

@@ -3,6 +3,7 @@ import hashlib
 import random
 from array import array
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -106,3 +107,38 @@ def test_query(spark):
 def test_every_byte_needs_a_token():
     with pytest.raises(ValueError):
         bpe.Encoder({b"a": 0})
+
+
+def test_decoding_columns_of_any_ids():
+    """Rows that begin and end within characters, among whole ones; a row's bytes never meet the next row's."""
+    chance = np.random.default_rng(2)
+    decoder = bpe.Decoder({rank: token for token, rank in RANKS.items()})
+    broken = [r for t, r in RANKS.items() if bpe._whole_text(t) is None]
+    for _ in range(50):
+        sizes = chance.integers(0, 6, 40)
+        ids = np.where(chance.random(sizes.sum()) < 0.5, chance.choice(broken, sizes.sum()), chance.integers(0, len(RANKS), sizes.sum()))
+        starts = np.concatenate(([0], np.cumsum(sizes)))
+        want = [
+            b"".join(THEIRS.decode_single_token_bytes(int(t)) for t in ids[a:b]).decode("utf-8", "replace")
+            for a, b in zip(starts, starts[1:])
+        ]
+        assert decoder.columns(ids, starts).to_pylist() == want
+    assert decoder.columns(np.zeros(0, np.int64), np.array([0])).to_pylist() == []
+
+
+def test_one_long_piece_is_kept_within_bounds(monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_STEPS", 1000)
+    encoder = bpe.Encoder(RANKS)
+    chance = np.random.default_rng(4)
+    text = "".join(map(chr, chance.integers(0x4E00, 0x9FA5, 4000)))
+    assert list(encoder.encode(text.encode())) == THEIRS.encode_ordinary(text)
+    assert encoder.kept <= 1000 and len(encoder.states) <= 1002
+
+
+def test_long_words_are_not_kept():
+    encoder = bpe.TextEncoder(RANKS, public_tokenizers.PATTERN)
+    texts = [f"a {chr(0x4E00 + k) * 500} b {chr(0x4E00 + k) * 500}." for k in range(50)]
+    for text in texts:
+        ids, _ = encoder.encode(pa.array([text]))
+        assert ids.tolist() == THEIRS.encode_ordinary(text)
+    assert sum(len(w) > cuts.LONGEST_KEPT for w in encoder.words) <= 2
