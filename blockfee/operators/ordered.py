@@ -28,7 +28,9 @@ def dealt_by_range(rows: DataFrame, *order: str) -> DataFrame:
 def _carried(dealt: DataFrame, rows: list[tuple[int, int | None]]) -> DataFrame:
     """``dealt`` with ``_carried``, a number for each partition."""
     # A row for each partition: their number doesn't follow the number of rows.
-    small = dealt.sparkSession.createDataFrame(rows, "_part int, _carried long")
+    known = [F.struct(F.lit(p).alias("_part"), F.lit(c).cast("long").alias("_carried")) for p, c in rows]
+    none = F.expr("CAST(array() AS array<struct<_part: int, _carried: bigint>>)")
+    small = dealt.sparkSession.range(1).select(F.inline(F.array(*known) if known else none))
     return dealt.join(F.broadcast(small), "_part")
 
 

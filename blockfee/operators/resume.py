@@ -23,7 +23,7 @@ def pending_ranges(loaded: DataFrame, start: int, stop: int) -> DataFrame:
     """
     inside = loaded.select("height").where((F.col("height") >= start) & (F.col("height") < stop)).distinct()
     # The first height beyond stands for the end.
-    end = loaded.sparkSession.createDataFrame([(stop,)], "height long")
+    end = loaded.sparkSession.range(stop, stop + 1).withColumnRenamed("id", "height")
     steps = with_previous(inside.unionByName(end), "height", start - 1)
     gaps = steps.where(F.col("height") - F.col("previous") > 1)
     return gaps.select((F.col("previous") + 1).alias("first"), (F.col("height") - 1).alias("last"))

@@ -305,8 +305,9 @@ def put_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     put = plans.put_node_fees(known, f"{base}/table", f"{base}/refused", report=report)
     _stream(standin.flawed_node_lines(spark, sf_dir), put, spark, base)
-    rows = spark.createDataFrame(counts, "batch long, reason string, lines long").where("lines > 0")
-    return rows.groupBy("reason").agg(F.sum("lines").alias("lines"))
+    known = [F.struct(*map(F.lit, row)) for row in counts]
+    rows = spark.range(1).select(F.inline(F.array(*known)).alias("batch", "reason", "lines")).where("lines > 0")
+    return rows.groupBy("reason").agg(F.sum("lines").cast("long").alias("lines"))
 
 
 def _header_table(spark: SparkSession, sf_dir: str) -> str:
