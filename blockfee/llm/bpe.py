@@ -52,7 +52,9 @@ _NONE = 1 << 62
 class Encoder:
     """Encodes pieces of bytes by the ranks of their merges."""
 
-    def __init__(self, ranks: dict[bytes, int]) -> None:
+    def __init__(self, ranks: dict[bytes, int], kept: int | None = None) -> None:
+        #: How many steps and pairs are kept, instead of ``KEPT_STEPS`` and ``KEPT_PAIRS``.
+        self.most = kept
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("every byte needs a token")
         self.ranks = ranks
@@ -122,7 +124,7 @@ class Encoder:
         """Whether a token may stand behind another one."""
         key = (last + 1) << 32 | token
         if (known := self.pairs.get(key)) is None:
-            if len(self.pairs) >= KEPT_PAIRS:
+            if len(self.pairs) >= (self.most or KEPT_PAIRS):
                 self.pairs.clear()
             known = self.pairs[key] = self._stay_apart(last, token)
         return known
@@ -169,7 +171,7 @@ class Encoder:
         else:
             certain = ()
         key = tuple(ahead)
-        if self.kept >= KEPT_STEPS:
+        if self.kept >= (self.most or KEPT_STEPS):
             # Goes on from a state made anew, so that nothing holds on to the old ones.
             self._forget()
             state = {}
@@ -202,9 +204,9 @@ class Encoder:
 class TextEncoder(KnownCuts):
     """Texts to ids: pieces by a pattern, each encoded by itself."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        super().__init__(self._encode_many)
-        self.encoder = Encoder(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, kept: int | None = None) -> None:
+        super().__init__(self._encode_many, kept)
+        self.encoder = Encoder(ranks, kept)
         self.pattern = regex.compile(pattern)
         #: Whether the pattern keeps a space and letters of any script together.
         letters = " aZßéжλ漢あ"
@@ -355,15 +357,19 @@ def _with_text(part: pa.RecordBatch, decoder: Decoder) -> pa.RecordBatch:
     return part.append_column("text", decoder.columns(ids, starts - starts[0]).cast(pa.string()))
 
 
-def encoded(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def encoded(docs: DataFrame, ranks_path: str, pattern: str, kept: int | None = None) -> DataFrame:
     """``doc_id``, ``n_tokens`` and ``ids`` of every row's whole text.
 
+    ``kept`` bounds how many words, steps and pairs each a worker keeps, where it should
+    take less memory than by default and may take longer; the ids are the same.
+
     ``ranks_path`` is read where the tasks run. A null or empty text has no ids; equal
     rows give equal rows; an empty table gives an empty result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = text_encoder(ranks_path, pattern)
+        # With bounds of its own it goes with its task, and leaves its memory to other stages.
+        encoder = text_encoder(ranks_path, pattern) if kept is None else TextEncoder(read_ranks(ranks_path), pattern, kept)
         pa.default_memory_pool().release_unused()  # of stages before, in the same worker
         for batch in batches:
             for part in slices(batch, size=TEXT_SLICE):

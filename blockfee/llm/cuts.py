@@ -31,8 +31,10 @@ _PUNCTUATION = ".,;:!?%&$#*|)(]['\"-"
 class KnownCuts:
     """Encodes columns of text by ``encode_many``, which takes texts and gives 32-bit little-endian ids."""
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]]) -> None:
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], kept: int | None = None) -> None:
         self.encode_many = encode_many
+        #: How many words are kept, instead of ``KEPT_WORDS``.
+        self.most = kept
         #: By the word after a space, or by the word with its line break. Words that went on
         #: being used in the older generation are taken over from it.
         self.words: dict[str, bytes] = {}
@@ -48,11 +50,12 @@ class KnownCuts:
         for word in self.long:
             self.words.pop(word, None)
         self.long = []
-        if len(self.words) > KEPT_WORDS:
+        most = self.most or KEPT_WORDS
+        if len(self.words) > most:
             self.older, self.words = self.words, {}
         # Texts' first words are rarely met again.
         for known in (self.plain, self.scalar):
-            if len(known) > KEPT_WORDS // 4:
+            if len(known) > most // 4:
                 known.clear()
 
     def _learn(self, words: list[str], plain: list[str]) -> None:

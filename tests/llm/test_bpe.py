@@ -142,3 +142,10 @@ def test_long_words_are_not_kept():
         ids, _ = encoder.encode(pa.array([text]))
         assert ids.tolist() == THEIRS.encode_ordinary(text)
     assert sum(len(w) > cuts.LONGEST_KEPT for w in encoder.words) <= 2
+
+
+def test_how_much_is_kept_changes_no_ids(spark):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, "documents").limit(300)
+    few, usual = (bpe.encoded(docs, path, public_tokenizers.PATTERN, kept=k).orderBy("doc_id").collect() for k in (20, None))
+    assert few == usual
