@@ -16,6 +16,9 @@ from blockfee.llm import bpe, jaccard, line_dedup, mixing, quality
 from blockfee.llm.queries import quality_weights
 from blockfee.llm.shared import send_package, stored
 
+#: Words, steps and pairs of tokens that a worker keeps: the heaps that earlier stages grew leave less room.
+KEPT = 60_000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -73,7 +76,8 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``n_tokens`` and ``ids`` of each document of the mix."""
     send_package(spark)
-    return bpe.encoded(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.encoded(docs, ranks, public_tokenizers.PATTERN, kept=KEPT)
 
 
 STAGES: list[tuple[str, Stage]] = [
