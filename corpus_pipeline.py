@@ -19,18 +19,29 @@ from blockfee.llm.shared import send_package, stored
 #: Words, steps and pairs of tokens that a worker keeps: the heaps that earlier stages grew leave less room.
 KEPT = 60_000
 
+#: Rows that go to a Python worker at once, in place of Spark's 10,000: whole documents, some of them very long.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _prepare(spark: SparkSession) -> None:
+    """The package where the tasks run, and smaller batches unless the session has its own size."""
+    send_package(spark)
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes; it learns from the labels of those still there."""
-    send_package(spark)
+    _prepare(spark)
     return quality.kept(docs, quality_weights(spark, docs, sf_dir), threshold=0.3)
 
 
 def no_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that a later document has too."""
-    send_package(spark)
+    _prepare(spark)
     return line_dedup.without_repeated_lines(docs)
 
 
@@ -47,7 +58,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     any other; a row that is linked with nothing, with or without an id, stays. Of a group's
     rows with its smallest id, null or not, the one with the smallest hash stays.
     """
-    send_package(spark)
+    _prepare(spark)
     keyed = _keyed(docs, "rows")
     groups = jaccard.components(keyed.select(F.col("row_key").alias("doc_id"), "row.text")).select(
         F.col("doc_id").alias("row_key"), "component_id"
@@ -65,7 +76,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: each row as often as it takes that row, whatever ids rows share."""
-    send_package(spark)
+    _prepare(spark)
     keyed = _keyed(docs, "rows")
     mix = mixing.mixed(keyed.select("row_key", "row.doc_id", "row.source", "row.text"), row_key="row_key")
     taken = mix.where("taken > 0").select("row_key", (F.col("taken") / F.col("size")).cast("int").alias("times"))
@@ -75,7 +86,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``n_tokens`` and ``ids`` of each document of the mix."""
-    send_package(spark)
+    _prepare(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encoded(docs, ranks, public_tokenizers.PATTERN, kept=KEPT)
 
