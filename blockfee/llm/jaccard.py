@@ -8,10 +8,11 @@ shingles; whoever meets in a list is a candidate. Up to which size a set is ligh
 chosen by the cost of both ways.
 
 Near copies of one text would meet in every list, all pairs of them. So sets that share
-a min-hash band are first compared with a few leaders, and what turns out linked is one
-group. Lists then give only pairs from different groups, which no link is lost by: a
-link inside a group would join nothing. Candidates pass a bound from bitmaps of the
-sets, then the exact comparison.
+a min-hash band are first compared with a leader, those that it leaves apart with a few
+more, and what turns out linked is one group. Lists then give only pairs from different
+groups, which no link is lost by: a link inside a group would join nothing. Nor does the
+boundary count such pairs. Candidates pass a bound from bitmaps of the sets, then the
+exact comparison.
 
 Shingles are ordered by a sketch of counts over all documents, rare ones first. The
 sketch never counts too little, so a list that could be longer than a task should hold
@@ -49,9 +50,13 @@ COMPARE = 50
 PLACES = 1 << 20
 #: A list may hold so many rows more than twice the sketch's mean and still go to one task.
 LIST_ROWS = 20_000
+#: Candidates from lists are handed on in pieces of about so many.
+_PAIRS = 1 << 18
 _BANDS, _ROWS = 6, 3
-#: Leaders of those who share a band's value.
+#: Leaders of those who share a band's value: the first for all of them, the others for whom it leaves apart.
 _LEADERS = 16
+#: What the bitmaps must leave over of two sets' sizes for the pair to be all but surely linked.
+_SURE = 0.03
 _SEEDS = mixed(np.arange(1, _BANDS * _ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 #: Stands for a null doc_id.
 _NO_ID = 2**63 - 1
@@ -201,7 +206,7 @@ def light_bound(sizes: dict[int, int], met: float, rule: Rule) -> int:
     """Up to which size sets are light, by cost in rows.
 
     ``sizes`` counts classes by size, up to ``LIGHT_MOST``; ``met`` is how many other
-    sets a shingle leads to on average.
+    sets a list leads to on average.
     """
 
     def cost(bound: int) -> float:
@@ -257,20 +262,73 @@ def light_links(classes: DataFrame, bound: int, rule: Rule) -> DataFrame:
     )
 
 
-def _leaders(classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a class and the leaders of its bands.
+def _bands(classes: DataFrame) -> DataFrame:
+    return classes.select("class", F.posexplode("bands").alias("band", "value"))
 
-    Those who share a band's value have several leaders, each the first by an order of its
-    own, so copies too far from one are near to another.
-    """
-    bands = classes.select("class", F.posexplode("bands").alias("band", "value"))
-    orders = [F.min(F.struct(F.xxhash64("class", F.lit(k)).alias("order"), "class"))["class"] for k in range(_LEADERS)]
-    leaders = bands.groupBy("band", "value").agg(F.count("*").alias("k"), F.array(*orders).alias("leaders"))
-    named = bands.join(leaders.where("k > 1"), ["band", "value"])
+
+def _with_leaders(members: DataFrame, bands: DataFrame, orders: range) -> DataFrame:
+    """Pairs (a, b) of a member and the leaders of its bands, the first in ``bands`` by each order."""
+    first = [F.min(F.struct(F.xxhash64("class", F.lit(k)).alias("order"), "class"))["class"] for k in orders]
+    # Stored, so that the join has exchanges of its own and a common value can be split.
+    leaders = stored(
+        bands.groupBy("band", "value")
+        .agg(F.count("*").alias("k"), F.array(*first).alias("leaders"))
+        .where("k > 1")
+        .select("band", "value", "leaders"),
+        "leaders",
+    )
+    named = members.join(leaders, ["band", "value"])
     pairs = named.select(F.col("class").alias("a"), F.explode(F.array_distinct("leaders")).alias("b"))
     return pairs.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def _leaders(classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a class and the first leader of each of its bands; one order serves all bands."""
+    return _with_leaders(_bands(classes), _bands(classes), range(1))
+
+
+def _led(classes: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of classes and leaders that the bitmaps let pass.
+
+    Only classes that share a band and for which no first leader is all but surely linked
+    meet the other leaders, each the first by an order of its own.
+    """
+    first = stored(_leaders(classes), "first-leaders")
+    led = stored(_possible(first, classes, rule), "led")
+    near = led.where(F.col("spare") >= _SURE).select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    apart = first.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(near, "class", "left_anti")
+    bands = _bands(classes)
+    more = _with_leaders(bands.join(apart, "class", "left_semi"), bands, range(1, _LEADERS))
+    more = more.join(first, ["a", "b"], "left_anti")
+    return stored(led.unionByName(_possible(more, classes, rule)), "led")
+
+
+def _met(classes: DataFrame, grouped: DataFrame, sketch: np.ndarray, rule: Rule) -> float:
+    """How many sets of other groups a set meets on average in one list of its rarest shingles.
+
+    Taken from the lists of all classes that may be light, as they would be scanned.
+    """
+    counts = classes.sparkSession.sparkContext.broadcast(np.minimum(sketch, 2**32 - 1).astype(np.uint32))
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            roots, tokens = [], []
+            for root, small in zip(batch.column("root").to_pylist(), batch.column("small").to_pylist(), strict=True):
+                shingles = np.array(small, np.int64).view(np.uint64)
+                order = np.lexsort((shingles, counts.value[_place(shingles)]))[: rule.probe(len(shingles))]
+                tokens.append(shingles[order].view(np.int64))
+                roots.append(np.full(len(order), root, np.int64))
+            if tokens:
+                yield pa.record_batch({"token": np.concatenate(tokens), "root": np.concatenate(roots)})
+
+    small = classes.where(F.col("n") <= LIGHT_MOST).select("class", "small").join(grouped.select("class", "root"), "class")
+    own = small.select("root", "small").mapInArrow(rarest, "token long, root long").groupBy("token", "root").count()
+    each = F.col("count").cast("double")
+    lists = own.groupBy("token").agg(F.sum(each).alias("k"), F.sum(each * each).alias("inside"))
+    total = lists.agg(F.sum(F.col("k") * F.col("k") - F.col("inside")).alias("met"), F.sum("k").alias("k")).first()
+    return total["met"] / total["k"] if total["k"] else 0.0
+
+
 def _possible(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (a, b) that the bitmaps' bound lets pass, and by how much (``spare``)."""
     known = classes.select("class", "n", "bits")
@@ -400,13 +458,13 @@ def _entries(
     )
 
 
-def _list_pairs(rows: dict[str, np.ndarray], rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs from the lists of whole tokens, sorted by token."""
+def _list_pairs(rows: dict[str, np.ndarray], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """Pairs from the lists of whole tokens, sorted by token, in pieces."""
     token, number, root, n, at = (rows[k] for k in ("token", "class", "root", "n", "at"))
     starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
     ends = np.append(starts[1:], len(token))
     several = np.minimum.reduceat(root, starts) != np.maximum.reduceat(root, starts)
-    left, right = [], []
+    left, right, held = [], [], 0
     for a, b in zip(starts[several], ends[several], strict=True):
         order = a + np.lexsort((number[a:b], n[a:b]))
         sizes = n[order].astype(np.int64)
@@ -422,9 +480,12 @@ def _list_pairs(rows: dict[str, np.ndarray], rule: Rule) -> tuple[np.ndarray, np
             other = other[most >= rule.overlap(int(n[x]), n[other].astype(np.int64))]
             left.append(np.full(len(other), number[x]))
             right.append(number[other])
-    if not left:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(left), np.concatenate(right)
+            held += len(other)
+            if held >= _PAIRS:
+                yield pa.record_batch({"a": np.concatenate(left), "b": np.concatenate(right)})
+                left, right, held = [], [], 0
+    if held:
+        yield pa.record_batch({"a": np.concatenate(left), "b": np.concatenate(right)})
 
 
 def _cold_pairs(rows: DataFrame, rule: Rule) -> DataFrame:
@@ -441,11 +502,9 @@ def _cold_pairs(rows: DataFrame, rule: Rule) -> DataFrame:
             done = int(np.searchsorted(new["token"], new["token"][-1])) if len(new["token"]) else 0
             kept = {k: v[done:] for k, v in new.items()}
             if done:
-                a, b = _list_pairs({k: v[:done] for k, v in new.items()}, rule)
-                yield pa.record_batch({"a": a, "b": b})
+                yield from _list_pairs({k: v[:done] for k, v in new.items()}, rule)
         if kept is not None and len(kept["token"]):
-            a, b = _list_pairs(kept, rule)
-            yield pa.record_batch({"a": a, "b": b})
+            yield from _list_pairs(kept, rule)
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(parts, "token").sortWithinPartitions("token").mapInArrow(run, "a long, b long")
@@ -517,22 +576,21 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80, list_rows: int =
         "classes",
     )
 
-    sizes = dict(classes.where(F.col("n") <= LIGHT_MOST).groupBy("n").count().collect())
-    met = float((sketch * np.maximum(0.0, sketch - sketch.mean())).sum() / max(1.0, float(sketch.sum())))
-    bound = light_bound(sizes, met, rule)
-    light = light_links(classes, bound, rule)
-
-    # Sets that a heavy one could link with, light ones near the bound among them.
-    heavy = classes.where(100 * F.col("n") >= percent * (bound + 1))
-    led = stored(_possible(_leaders(heavy), classes, rule), "led")
     # First the likeliest leader of each, then what would still join groups.
+    led = _led(classes, rule)
     best = led.groupBy("a").agg(F.max(F.struct("spare", "b"))["b"].alias("b"))
-    linked = light.unionByName(verified(best, classes, docs, n, rule))
-    rooted = stored(_rooted(classes, linked), "rooted")
+    known = classes.select("class", "n", "doc", "high", "low")
+    rooted = stored(_rooted(known, verified(best, classes, docs, n, rule)), "rooted")
     others = _between(led, rooted).groupBy("a", "root_b").agg(F.max(F.struct("spare", "b"))["b"].alias("b"))
     links = _between(verified(others.select("a", "b"), classes, docs, n, rule), rooted)
     grouped = stored(_merged(rooted, links), "grouped")
 
+    sizes = dict(classes.where(F.col("n") <= LIGHT_MOST).groupBy("n").count().collect())
+    bound = light_bound(sizes, _met(classes, grouped, sketch, rule), rule)
+    grouped = stored(_merged(grouped, _between(light_links(classes, bound, rule), grouped)), "grouped")
+    # Sets that a heavy one could link with, light ones near the bound among them.
+    heavy = classes.where(100 * F.col("n") >= percent * (bound + 1))
+
     longest = int(2 * sketch.mean()) + list_rows
     listed = grouped.join(heavy.select("class"), "class", "left_semi")
     entries = stored(_entries(docs, listed, sketch, longest, n, rule), "entries")
