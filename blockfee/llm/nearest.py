@@ -16,8 +16,11 @@ The fewer ranges and the more curves, the higher the recall: a query sees 3 /
 more even on vectors without any structure, which is the hardest case.
 
 Defined cases: rows without id, with a null, zero or empty vector, with a null or
-non-finite component, or of another length than most take no part; equal rows are
-found as often as their id differs; an empty table gives an empty result.
+non-finite component, or of another length than most take no part; of the others that
+share an id the one with the smallest vector counts; equal vectors are found as often as
+their id differs; ties of cosine go to the smaller id; vectors of any length are read
+whole; only ``vec_id`` and the vector are read, so other columns can't clash; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .hilbert import hilbert_order
-from .vectors import best, only_vectors, ranked, read_vectors
+from .shared import stored
+from .vectors import best, one_of_each_id, only_vectors, ranked, read_vectors
 from .words import mixed
 
 #: Rows that ranges are cut by, at most.
@@ -68,6 +72,7 @@ def nearest(
     """``query_id``, ``rank``, ``vec_id`` and ``score`` (cosine) of the k nearest rows found for each query."""
     spark = table.sparkSession
     rows = only_vectors(table, column).where(F.exists(column, lambda x: x != 0))
+    rows = stored(one_of_each_id(rows, column), "vectors")
     rows = rows.select("vec_id", column, F.coalesce(is_query, F.lit(False)).alias("asks"))
 
     total, asking = rows.agg(F.count("*"), F.count_if("asks")).first()
@@ -176,8 +181,8 @@ def nearest(
 
 def _scored(pairs: DataFrame, rows: DataFrame, column: str) -> DataFrame:
     """The cosine of each pair, from the original vectors, in one order of summing."""
-    a = rows.select(F.col("vec_id").alias("query_id"), F.col(column).alias("x")).dropDuplicates(["query_id"])
-    b = rows.select("vec_id", F.col(column).alias("y")).dropDuplicates(["vec_id"])
+    a = rows.select(F.col("vec_id").alias("query_id"), F.col(column).alias("x"))
+    b = rows.select("vec_id", F.col(column).alias("y"))
 
     def cosine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

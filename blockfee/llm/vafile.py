@@ -12,9 +12,11 @@ The queries, a stated set, go over the file in blocks of ``BLOCK``. Sums are exa
 64-bit numbers where no sum can exceed 2**53, else of Python's integers.
 
 Defined cases: rows without id, with a null or empty vector, with a null or non-finite
-component, or of another length than most take no part; rows with equal ids are
-candidates for each other no more than a row for itself; a score beyond 64 bits counts
-as the largest or smallest of these; an empty table gives an empty result.
+component, or of another length than most take no part; of the others that share an id
+the one with the smallest vector counts, so a query finds an id once; ties of score go to
+the smaller id; vectors of any length are read whole; only ``vec_id`` and the vector are
+read, so other columns can't clash; a score beyond 64 bits counts as the largest or
+smallest of these; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import stored
-from .vectors import only_vectors, ranked, read_vectors
+from .vectors import one_of_each_id, only_vectors, ranked, read_vectors
 
 #: Intervals on each axis, a byte at most.
 CELLS = 64
@@ -96,7 +98,8 @@ def build(table: DataFrame, scale: int = 256, column: str = "embedding") -> tupl
                 }
             )
 
-    return stored(rows.mapInArrow(approximated, "vec_id long, cells binary, vector binary"), "va-file"), edges
+    distinct = one_of_each_id(rows, column)
+    return stored(distinct.mapInArrow(approximated, "vec_id long, cells binary, vector binary"), "va-file"), edges
 
 
 def _bounds(queries: np.ndarray, cells: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

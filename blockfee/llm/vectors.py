@@ -43,6 +43,11 @@ def only_vectors(table: DataFrame, column: str = "embedding") -> DataFrame:
     return rows.where(F.size(column) == (sizes["size"] if sizes else 0))
 
 
+def one_of_each_id(rows: DataFrame, column: str = "embedding") -> DataFrame:
+    """Of rows with one ``vec_id`` that with the smallest vector, in the order of arrays; combined before the shuffle."""
+    return rows.groupBy("vec_id").agg(F.min(column).alias(column))
+
+
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """For each row of scores, the places of the k highest, ties to the smaller id; -inf is left to the end."""
     if scores.shape[1] > 4 * k:

@@ -69,6 +69,35 @@ def test_exact_search_of_odd_rows(spark):
     assert got == brute(good(ODD), product)
 
 
+#: Queries and candidates twice, with the same vector or another one, and more of an id than are asked for.
+REPEATED = [
+    *[(q, [1.0, 0.5, 0.5], 1) for q in (0, 0, 50)],
+    (50, [2.0, -1.0, 0.25], 1),
+    *[(7, [9.0, float(i), 1.0], 1) for i in range(8)],
+    *[(i, [1.0, i / 8, -0.5], 1) for i in (1, 2, 2, 3, 4, 5, 6)],
+    (8, None, 1),
+    (8, [1.0, 1.0, 1.0], 1),
+]
+
+
+def once(rows):
+    """Of rows with one id that with the smallest vector."""
+    return list({i: v for i, v in sorted(rows, reverse=True)}.items())
+
+
+def test_exact_search_of_repeated_ids(spark):
+    got = sorted(map(tuple, vafile.top_k(spark.createDataFrame(REPEATED, SCHEMA).repartition(3), asks()).collect()))
+    assert got == brute(once(good(REPEATED)), product)
+
+
+def test_nearest_of_repeated_ids(spark):
+    rows = spark.createDataFrame(REPEATED, SCHEMA).repartition(3)
+    got = sorted(map(tuple, nearest.nearest(rows, asks(), curves=20).collect()))
+    want = brute(once(good(REPEATED)), cosine)
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert np.allclose([r[3] for r in got], [r[3] for r in want])
+
+
 @pytest.mark.parametrize("size", [1.0, 1e5, 1e-3])
 def test_exact_search_like_brute_force(spark, size, monkeypatch):
     monkeypatch.setattr(vafile, "BLOCK", 3)
