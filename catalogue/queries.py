@@ -18,6 +18,8 @@ SERIES_FIRST, SERIES_LAST = 211_000, 214_000
 OUTLIER_COINS = 50_000
 #: Files of a dump in a micro-batch.
 FILES_PER_TRIGGER = 4
+#: Lines in a file that is read as one record, under a kilobyte each: a task has a file in memory several times.
+LINES_PER_WHOLE_FILE = 5_000
 
 
 def _node_fees(spark: SparkSession, sf_dir: str, **rules: str) -> DataFrame:
@@ -35,10 +37,10 @@ def _accepted_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.accepted(op.node_blocks(standin.node_lines(spark, sf_dir)))
 
 
-def _written_lines(lines: DataFrame, spark: SparkSession) -> str:
+def _written_lines(lines: DataFrame, spark: SparkSession, **options: int | str) -> str:
     """Write lines as a text dump and return its path."""
     path = f"{streaming.work_dir(spark)}/lines"
-    lines.select("value").write.text(path)
+    lines.select("value").write.options(**options).text(path)
     return path
 
 
@@ -370,7 +372,7 @@ def positional_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def whole_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dump whose files are read as one record each, and cut into lines afterwards."""
-    dump = _written_lines(standin.node_lines(spark, sf_dir), spark)
+    dump = _written_lines(standin.node_lines(spark, sf_dir), spark, maxRecordsPerFile=LINES_PER_WHOLE_FILE)
     files = sources.read_lines(spark, dump, whole_file=True)
     lines = files.select(F.explode(F.split("value", "\n")).alias("value")).where("value <> ''")
     return op.accepted(op.node_references(lines)).select("height", "txid")
