@@ -1,5 +1,6 @@
 """Column functions; every one compiles to built-in Spark expressions."""
 
+from blockfee.functions.ids import pack_id, unpack_id
 from blockfee.functions.literal import JSON_OPTIONS, list_items, literal_to_json
 from blockfee.functions.money import (
     SATOSHI_PER_COIN,
@@ -19,10 +20,12 @@ __all__ = [
     "list_items",
     "literal_to_json",
     "normalise_text",
+    "pack_id",
     "round_coin",
     "subsidy_sat",
     "to_coin",
     "to_json_text",
     "to_satoshi",
     "unescape",
+    "unpack_id",
 ]

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from blockfee.functions import pack_id, unpack_id
 from blockfee.schemas import COIN, TOTAL_COIN
 
 
@@ -36,10 +37,12 @@ def merge_copies(values: DataFrame) -> DataFrame:
     row = F.struct(*columns, known.alias("ambiguous"))
     # The grouping has one column more than the lookup key. The lookup then
     # shuffles both sides anew, the shape in which adaptive execution can split
-    # a hot txid; the extra shuffle carries one short row per transaction.
+    # a hot txid; the extra shuffle carries one short row per transaction, its id
+    # packed, and a number that is the same for nearly all.
     merged = (
         values.where(F.col("txid").isNotNull())
-        .groupBy("txid", F.xxhash64("txid").alias("_spread"))
+        .withColumn("_id", pack_id(F.col("txid")))
+        .groupBy("_id", F.octet_length("_id").alias("_spread"))
         .agg(
             F.max(F.struct(put_id.alias("put_id"), put_by.alias("put_by"), row.alias("row"))).alias("_last"),
             # The other end of the same put: of its rows the least.
@@ -47,7 +50,7 @@ def merge_copies(values: DataFrame) -> DataFrame:
         )
     )
     return merged.select(
-        "txid",
+        unpack_id(F.col("_id")).alias("txid"),
         *[F.col(f"_last.row.{name}").alias(name) for name in columns],
         ((F.col("_last.row") != F.col("_first.row")) | F.col("_last.row.ambiguous")).alias("ambiguous"),
     )
@@ -76,22 +79,33 @@ def output_values(
 def attach_coinbase(references: DataFrame, coinbase: DataFrame) -> DataFrame:
     """Look up each block's generation transaction; unknown and ambiguous ids are left out.
 
-    ``coinbase`` has one row per ``txid``. No side is forced to broadcast.
+    ``coinbase`` has one row per ``txid``. No side is forced to broadcast. Ids are
+    shuffled packed.
     """
     if "ambiguous" in coinbase.columns:
         coinbase = coinbase.where(~F.col("ambiguous")).drop("ambiguous")
-    return references.join(coinbase, "txid", "inner")
+    found = _packed(references).join(_packed(coinbase), "_key", "inner")
+    return found.select(unpack_id(F.col("_key")).alias("txid"), "*").drop("_key")
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_key``, the packed id, in place of ``txid``."""
+    return rows.withColumn("_key", pack_id(F.col("txid"))).drop("txid")
 
 
 def look_up_coinbase(parsed: DataFrame, coinbase: DataFrame) -> DataFrame:
     """The same lookup that keeps every row and gives unknown ids a reason.
 
     Rows refused before get a join key of their own that matches nothing, so a
-    mass of them does not pile up in one task.
+    mass of them does not pile up in one task. It is shorter than any packed id.
     """
-    alone = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))
-    keyed = parsed.withColumn("_key", F.when(F.col("reason").isNull(), F.col("txid")).otherwise(alone))
-    found = keyed.join(coinbase.withColumnRenamed("txid", "_key"), "_key", "left").drop("_key")
+    usable = F.col("reason").isNull()
+    alone = F.monotonically_increasing_id().cast("string").cast("binary")
+    keyed = parsed.withColumn("_key", F.when(usable, pack_id(F.col("txid"))).otherwise(alone))
+    # The key says what the id of a usable row is.
+    keyed = keyed.withColumn("txid", F.when(~usable, F.col("txid")))
+    found = keyed.join(_packed(coinbase), "_key", "left")
+    found = found.withColumn("txid", F.when(usable, unpack_id(F.col("_key"))).otherwise(F.col("txid"))).drop("_key")
     bad = F.when(F.col("n_outputs").isNull(), "missing_transaction")
     if "ambiguous" in found.columns:
         bad = bad.when(F.col("ambiguous"), "ambiguous_transaction")

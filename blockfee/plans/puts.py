@@ -7,6 +7,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from blockfee.functions import pack_id, unpack_id
 from blockfee.operators import (
     accepted,
     explorer_fee,
@@ -62,7 +63,8 @@ def _staged(rows: DataFrame, table: str) -> Iterator[DataFrame]:
     """
     path = f"{table.rstrip('/')}/_staged/{uuid.uuid4().hex}"
     try:
-        rows.write.parquet(path)
+        # Ids are most of it, and take half the space this way.
+        rows.write.option("compression", "zstd").parquet(path)
         yield rows.sparkSession.read.schema(rows.schema).parquet(path)
     finally:
         remove(rows.sparkSession, path)
@@ -126,10 +128,13 @@ def put_node_fees(
     def put(lines: DataFrame, batch_id: int) -> None:
         # The long lines are scanned once; what is staged of them is short.
         with _staged(_without_good_lines(node_references(lines, mode), "height", "txid"), table) as parsed:
-            looked_up = refuse_bad_amounts(look_up_coinbase(parsed, coinbase(parsed)), outputs, subsidy)
+            known = coinbase(parsed)
+            looked_up = refuse_bad_amounts(look_up_coinbase(parsed.where("reason IS NULL"), known), outputs, subsidy)
             columns = ["height", "txid", "reason", "value", "first_value", "total_value"]
+            # Refused lines are long, and have nothing to be looked up.
+            refused_lines = parsed.where("reason IS NOT NULL")
             _put(
-                looked_up.select(*columns),
+                looked_up.select(*columns).unionByName(refused_lines, allowMissingColumns=True),
                 lambda rows: _fee_cells(node_fee(rows, outputs, subsidy), "fee_btc"),
                 table,
                 refused,
@@ -226,14 +231,19 @@ def redrive_node_fees(
     def redrive(spark: SparkSession, batch_id: int) -> None:
         rows = read_table(spark, quarantine)
         own = (F.col("put_by") == writer) & (F.col("put_id") == batch_id)
-        settled = rows.where((F.col("put_by") == writer) & ~own).select("height", "txid").distinct()
-        waiting = rows.where("reason = 'missing_transaction'").select("height", "txid").distinct()
-        waiting = waiting.join(settled, ["height", "txid"], "left_anti")
+        block = ["height", pack_id(F.col("txid")).alias("_id")]
+        settled = rows.where((F.col("put_by") == writer) & ~own).select(*block).distinct()
+        waiting = rows.where("reason = 'missing_transaction'").select(*block).distinct()
+        waiting = waiting.join(settled, ["height", "_id"], "left_anti")
         nothing = F.lit(None).cast("string")
-        with _staged(waiting.select("height", "txid", nothing.alias("reason"), nothing.alias("value")), table) as parsed:
-            known = coinbase(parsed)
-            arrived = parsed.join(known.select("txid"), "txid", "left_semi").select(*parsed.columns)
-            looked_up = refuse_bad_amounts(look_up_coinbase(arrived, known), outputs, subsidy)
+        waiting = waiting.select(
+            "height", unpack_id(F.col("_id")).alias("txid"), nothing.alias("reason"), nothing.alias("value")
+        )
+        with _staged(waiting, table) as parsed:
+            # One lookup tells what has arrived, and what it is.
+            known = coinbase(parsed).withColumn("_arrived", F.lit(True))
+            arrived = look_up_coinbase(parsed, known).where("_arrived")
+            looked_up = refuse_bad_amounts(arrived, outputs, subsidy)
             columns = ["height", "txid", "reason", "value", "first_value", "total_value"]
             with _staged(looked_up.select(*columns), table) as outcome:
                 cells = _fee_cells(node_fee(accepted(outcome), outputs, subsidy), "fee_btc")

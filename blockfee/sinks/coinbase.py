@@ -16,6 +16,8 @@ from blockfee.sinks.tables import compact, note_once, put_batch, read_note, read
 DIGITS = 2
 #: Readers ask for partitions by name; there are 16 ** MOST_DIGITS at most.
 MOST_DIGITS = 3
+#: Bits by which a reader tells most of the rows that nobody asks for.
+MOST_BITS = 1 << 27
 
 
 def _prefix(txid: str, digits: int) -> Column:
@@ -45,16 +47,35 @@ def put_coinbase(
     put_batch(rows, path, batch_id, ["prefix"], writer, read_from)
 
 
+def _perhaps_among(table: DataFrame, wanted: DataFrame, count: int) -> DataFrame:
+    """The rows of ``table`` whose id is among the ``count`` ids of ``wanted``, and a tenth of the others.
+
+    So what is shuffled for a batch is as much as the batch needs, however large the table
+    is. Each id sets a bit by its hash; the bits are broadcast, at most 16 MB of them.
+    """
+    bits = min(MOST_BITS, 8 << max(12, count.bit_length()))
+    number = F.pmod(F.xxhash64("txid"), F.lit(bits))
+    maps = (
+        wanted.select(number.alias("_number"))
+        .groupBy(F.bitmap_bucket_number("_number").alias("_bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_number")).alias("_bits"))
+    )
+    place = F.bitmap_bit_position(number)
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    set_there = F.getbit(byte, (place % 8).cast("int")) == 1
+    return table.join(F.broadcast(maps), (F.bitmap_bucket_number(number) == F.col("_bucket")) & set_there, "left_semi")
+
+
 def coinbase_reader(spark: SparkSession, path: str) -> Callable[[DataFrame], DataFrame]:
-    """Read those partitions of the table that parsed lines ask for."""
+    """Read those partitions of the table that parsed lines ask for, and of their rows few others than those."""
     digits = int(read_note(spark, path, "digits") or DIGITS)
 
     def read(parsed: DataFrame) -> DataFrame:
         usable = parsed.where(F.col("reason").isNull())
         # Hexadecimal digits: never more values than the table has partitions.
-        wanted = usable.select(_prefix("txid", digits).alias("prefix")).distinct().collect()
-        table = read_table(spark, path)
-        return merge_copies(table.where(F.col("prefix").isin([r.prefix for r in wanted])))
+        wanted = usable.groupBy(_prefix("txid", digits).alias("prefix")).agg(F.count(F.lit(1)).alias("ids")).collect()
+        table = read_table(spark, path).where(F.col("prefix").isin([r.prefix for r in wanted]))
+        return merge_copies(_perhaps_among(table, usable, sum(r.ids for r in wanted)))
 
     return read
 
