@@ -46,7 +46,8 @@ def _written_lines(lines: DataFrame, spark: SparkSession, **options: int | str)
 
 def _stream(lines: DataFrame, put: plans.Put, spark: SparkSession, base: str) -> None:
     """Write lines as a text dump, then stream it, so many files at a time."""
-    dump = _written_lines(lines, spark)
+    # Most of a dump is hexadecimal digits. Its files are read once, each by one task.
+    dump = _written_lines(lines, spark, compression="gzip")
     source = sources.stream_lines(spark, dump, FILES_PER_TRIGGER)
     streaming.run_stream(source, put, f"{base}/checkpoint", interval=None)
 

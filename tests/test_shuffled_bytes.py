@@ -122,3 +122,19 @@ def test_redriving_looks_up_once(spark, tmp_path, monkeypatch):
     # The transactions are merged for one lookup, not for a second one that tells which have come.
     assert written[-1].count("min(struct") + written[-1].count("min(named_struct") == 1
     assert sum("Join" in line for line in written[-1].splitlines()) == 2
+
+
+def test_streamed_dumps_and_tables_are_compressed(spark, monkeypatch, tmp_path):
+    seen = []
+    stream = queries.sources.stream_lines
+
+    def spy(spark, path, *args):
+        seen.append(path)
+        return stream(spark, path, *args)
+
+    monkeypatch.setattr(queries.sources, "stream_lines", spy)
+    assert queries.stream_fee_node(spark, SF_DIR).count() == 1473
+    dump = Path(seen[0].removeprefix("file:"))
+    assert all(f.name.endswith(".gz") for f in dump.glob("part-*"))
+    sinks.put_batch(spark.range(10), str(tmp_path / "t"), 0)
+    assert all(".zstd." in f.name for f in (tmp_path / "t").rglob("part-*"))
