@@ -214,13 +214,16 @@ def blocks_by_height(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fee_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All explorer fees put by one writer; node fees by wrong rules by another, compacted. Then a batch with
     a lower number comes late, and the one in the snapshot is put again, right and with even heights only."""
-    table = f"{streaming.work_dir(spark)}/table"
+    base = streaming.work_dir(spark)
+    table = f"{base}/table"
     explorer = op.fee_cells(plans.explorer_fees(standin.explorer_lines(spark, sf_dir)), "fee_sat")
     sinks.put_batch(explorer, table, 0, writer="explorer")
     fixed = _node_fees(spark, sf_dir, subsidy="fixed", outputs="all")
     sinks.put_batch(op.fee_cells(fixed), table, 5, writer="node")
     sinks.compact(spark, table)
-    node = op.fee_cells(_node_fees(spark, sf_dir))
+    # Put three times, looked up once.
+    op.fee_cells(_node_fees(spark, sf_dir)).write.parquet(f"{base}/node")
+    node = spark.read.parquet(f"{base}/node")
     sinks.put_batch(node, table, 3, writer="node")
     for _ in range(2):
         sinks.put_batch(node.where("CAST(rowkey AS bigint) % 2 = 0"), table, 5, writer="node")

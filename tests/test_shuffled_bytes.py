@@ -138,3 +138,16 @@ def test_streamed_dumps_and_tables_are_compressed(spark, monkeypatch, tmp_path):
     assert all(f.name.endswith(".gz") for f in dump.glob("part-*"))
     sinks.put_batch(spark.range(10), str(tmp_path / "t"), 0)
     assert all(".zstd." in f.name for f in (tmp_path / "t").rglob("part-*"))
+
+
+def test_node_fees_put_three_times_are_looked_up_once(spark, monkeypatch):
+    joins = []
+    put = sinks.put_batch
+
+    def spy(rows, *args, **options):
+        joins.append("Join" in plan(rows))
+        put(rows, *args, **options)
+
+    monkeypatch.setattr(queries.sinks, "put_batch", spy)
+    queries.fee_table_upsert(spark, SF_DIR)
+    assert joins == [False, True, False, False, False]
