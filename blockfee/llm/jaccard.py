@@ -14,6 +14,11 @@ groups, which no link is lost by: a link inside a group would join nothing. Nor
 boundary count such pairs. Candidates pass a bound from bitmaps of the sets, then the
 exact comparison.
 
+Nor need a set that no leader was linked with meet all of a large group: in a list where
+groups would meet in many pairs, each member meets a few of the largest group first.
+What that links is merged before the list is gone through again, with more of them each
+time and at last with all pairs of groups that are still apart.
+
 Shingles are ordered by a sketch of counts over all documents, rare ones first. The
 sketch never counts too little, so a list that could be longer than a task should hold
 is known before; those few go through joins that split (``_hot_pairs``).
@@ -55,6 +60,8 @@ _PAIRS = 1 << 18
 _BANDS, _ROWS = 6, 3
 #: Leaders of those who share a band's value: the first for all of them, the others for whom it leaves apart.
 _LEADERS = 16
+#: How many of a list's largest group its other members meet at first, and how many times as many the next time.
+_FEW, _STEP = 4, 16
 #: What the bitmaps must leave over of two sets' sizes for the pair to be all but surely linked.
 _SURE = 0.03
 _SEEDS = mixed(np.arange(1, _BANDS * _ROWS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -458,16 +465,67 @@ def _entries(
     )
 
 
-def _list_pairs(rows: dict[str, np.ndarray], rule: Rule) -> Iterator[pa.RecordBatch]:
-    """Pairs from the lists of whole tokens, sorted by token, in pieces."""
+def _meets(n, at, m, bt, rule: Rule):
+    """Whether sets of sizes n <= m with a common shingle at these places of theirs may be linked by this list."""
+    return (at < rule.index(n)) & (1 + np.minimum(n - at - 1, m - bt - 1) >= rule.overlap(n, m))
+
+
+def _few_of_largest(
+    number: np.ndarray, group: np.ndarray, n: np.ndarray, few: int, rule: Rule
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places, in a list sorted by size, of each member of another group and of ``few`` that fit in the largest."""
+    largest = group == np.bincount(group).argmax()
+    inside, others = np.flatnonzero(largest), np.flatnonzero(~largest)
+    sizes = n[inside]
+    low = np.searchsorted(sizes, -(-rule.percent * n[others] // 100), side="left")
+    span = np.searchsorted(sizes, 100 * n[others] // rule.percent, side="right") - low
+    others, low, span = others[span > 0], low[span > 0], span[span > 0]
+    # Evenly spaced, from a place of the member's own on.
+    first = (mixed(number[others].view(np.uint64)) % span.astype(np.uint64)).astype(np.int64)
+    steps = np.arange(few)[None, :]
+    at = low[:, None] + (first[:, None] + steps * np.maximum(1, span // few)[:, None]) % span[:, None]
+    each = steps < span[:, None]
+    return np.broadcast_to(others[:, None], at.shape)[each], inside[at[each]]
+
+
+def _list_pairs(rows: dict[str, np.ndarray], rule: Rule, few: int) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) from the lists of whole tokens, sorted by token, in pieces.
+
+    Lists whose groups meet in more than ``few`` pairs a member give so many at most, and a
+    row with their ``token``.
+    """
     token, number, root, n, at = (rows[k] for k in ("token", "class", "root", "n", "at"))
+    n, at = n.astype(np.int64), at.astype(np.int64)
     starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
     ends = np.append(starts[1:], len(token))
     several = np.minimum.reduceat(root, starts) != np.maximum.reduceat(root, starts)
-    left, right, held = [], [], 0
+    left, right, held, left_open = [], [], 0, []
+
+    def piece() -> pa.RecordBatch:
+        pairs = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right)]
+        columns = [pa.array(x, pa.int64()) for x in (*pairs, left_open)]
+        for i, size in ((0, len(left_open)), (1, len(left_open)), (2, len(pairs[0]))):
+            parts = [columns[i], pa.nulls(size, pa.int64())]
+            columns[i] = pa.concat_arrays(parts if i < 2 else parts[::-1])
+        return pa.record_batch(columns, names=["a", "b", "token"])
+
     for a, b in zip(starts[several], ends[several], strict=True):
         order = a + np.lexsort((number[a:b], n[a:b]))
-        sizes = n[order].astype(np.int64)
+        sizes = n[order]
+        if len(order) > 2 * few + 1:  # else its pairs can't be more
+            _, group, counts = np.unique(root[order], return_inverse=True, return_counts=True)
+            if len(order) ** 2 - int((counts.astype(np.int64) ** 2).sum()) > 2 * few * len(order):
+                i, j = _few_of_largest(number[order], group, sizes, few, rule)
+                x, y = order[np.minimum(i, j)], order[np.maximum(i, j)]
+                met = _meets(n[x], at[x], n[y], at[y], rule)
+                left.append(number[x[met]])
+                right.append(number[y[met]])
+                left_open.append(int(token[a]))
+                held += int(met.sum()) + 1
+                if held >= _PAIRS:
+                    yield piece()
+                    left, right, held, left_open = [], [], 0, []
+                continue
         for i in range(len(order)):
             x = order[i]
             if at[x] >= rule.index(int(n[x])):
@@ -476,20 +534,19 @@ def _list_pairs(rows: dict[str, np.ndarray], rule: Rule) -> Iterator[pa.RecordBa
             stop = np.searchsorted(sizes, 100 * sizes[i] // rule.percent, side="right")
             other = order[i + 1 : stop]
             other = other[root[other] != root[x]]
-            most = 1 + np.minimum(int(n[x]) - at[x] - 1, n[other] - at[other] - 1)
-            other = other[most >= rule.overlap(int(n[x]), n[other].astype(np.int64))]
+            other = other[_meets(n[x], at[x], n[other], at[other], rule)]
             left.append(np.full(len(other), number[x]))
             right.append(number[other])
             held += len(other)
             if held >= _PAIRS:
-                yield pa.record_batch({"a": np.concatenate(left), "b": np.concatenate(right)})
-                left, right, held = [], [], 0
+                yield piece()
+                left, right, held, left_open = [], [], 0, []
     if held:
-        yield pa.record_batch({"a": np.concatenate(left), "b": np.concatenate(right)})
+        yield piece()
 
 
-def _cold_pairs(rows: DataFrame, rule: Rule) -> DataFrame:
-    """Candidates from lists that one task can hold."""
+def _cold_pairs(rows: DataFrame, rule: Rule, few: int) -> DataFrame:
+    """Candidates (a, b) from lists that one task can hold, and the ``token`` of each that isn't gone through yet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["token", "class", "root", "n", "at"]
@@ -502,12 +559,38 @@ def _cold_pairs(rows: DataFrame, rule: Rule) -> DataFrame:
             done = int(np.searchsorted(new["token"], new["token"][-1])) if len(new["token"]) else 0
             kept = {k: v[done:] for k, v in new.items()}
             if done:
-                yield from _list_pairs({k: v[:done] for k, v in new.items()}, rule)
+                yield from _list_pairs({k: v[:done] for k, v in new.items()}, rule, few)
         if kept is not None and len(kept["token"]):
-            yield from _list_pairs(kept, rule)
+            yield from _list_pairs(kept, rule, few)
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(parts, "token").sortWithinPartitions("token").mapInArrow(run, "a long, b long")
+    return rows.repartition(parts, "token").sortWithinPartitions("token").mapInArrow(run, "a long, b long, token long")
+
+
+def _may_link(rule: Rule):
+    """Whether sets of sizes n_a and n_b may be linked that share a shingle at at_a and at_b."""
+    needed = F.ceil(rule.percent * (F.col("n_a") + F.col("n_b")) / (100 + rule.percent))
+    most = 1 + F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) - 1
+    return (100 * F.least("n_a", "n_b") >= rule.percent * F.greatest("n_a", "n_b")) & (most >= needed)
+
+
+def _hot_few(rows: DataFrame, rule: Rule) -> DataFrame:
+    """Candidates from lists of any length: each member with a few of the list's largest group."""
+    few = [F.min(F.struct(F.xxhash64("token", "class", F.lit(k)).alias("order"), "class", "n", "at")) for k in range(_FEW)]
+    groups = rows.groupBy("token", "root").agg(F.count("*").alias("k"), F.array(*few).alias("few"))
+    largest = stored(
+        groups.groupBy("token")
+        .agg(F.count("*").alias("groups"), F.max(F.struct("k", "root", "few")).alias("largest"))
+        .where("groups > 1")
+        .select("token", "largest"),
+        "largest",
+    )
+    own = [F.col(c).alias(f"{c}_a") for c in ("class", "n", "at")]
+    met = rows.join(largest, "token").where("root != largest.root").select(
+        *own, F.explode(F.array_distinct("largest.few")).alias("other")
+    )
+    pairs = met.select("*", *[F.col(f"other.{c}").alias(f"{c}_b") for c in ("class", "n", "at")])
+    return pairs.where(_may_link(rule)).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
 
 
 def _hot_pairs(rows: DataFrame, rule: Rule) -> DataFrame:
@@ -529,11 +612,7 @@ def _hot_pairs(rows: DataFrame, rule: Rule) -> DataFrame:
             *[F.col(c).alias(f"{c}_{side}") for c in ("class", "n", "at")],
         )
         near = near.join(members, ["token", f"root_{side}"])
-    total = F.col("n_a") + F.col("n_b")
-    needed = F.ceil(rule.percent * total / (100 + rule.percent))
-    most = 1 + F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) - 1
-    fits = (100 * F.least("n_a", "n_b") >= rule.percent * F.greatest("n_a", "n_b")) & (most >= needed)
-    return near.where(fits).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
+    return near.where(_may_link(rule)).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
 
 
 def _rooted(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -596,12 +675,33 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80, list_rows: int =
     entries = stored(_entries(docs, listed, sketch, longest, n, rule), "entries")
     rows_of_lists = entries.select("class", "root", "n", "hot_from", F.posexplode("tokens").alias("at", "token"))
     columns = ["token", "class", "root", "n", "at"]
-    pairs = _cold_pairs(rows_of_lists.where("at < hot_from").select(columns), rule).unionByName(
-        _hot_pairs(rows_of_lists.where("at >= hot_from").select(columns), rule)
-    )
-    candidates = stored(_possible(pairs.distinct(), classes, rule).select("a", "b"), "candidates")
-    more = verified(candidates, classes, docs, n, rule)
-    final = _merged(grouped, _between(more, grouped)).select("high", "low", "doc", "root")
+    cold = rows_of_lists.where("at < hot_from").select(columns)
+    hot = rows_of_lists.where("at >= hot_from").select(columns)
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """``grouped`` with the groups joined that linked ones of ``pairs`` connect."""
+        ordered = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        candidates = stored(_possible(ordered, classes, rule).select("a", "b"), "candidates")
+        more = verified(candidates, classes, docs, n, rule)
+        return stored(_merged(grouped, _between(more, grouped)), "grouped")
+
+    def regrouped(rows: DataFrame) -> DataFrame:
+        return rows.drop("root").join(grouped.select("class", "root"), "class").select(columns)
+
+    # Lists in which too many groups meet are gone through again when a few of their pairs have been tried.
+    few, any_hot = _FEW, not hot.isEmpty()
+    found = stored(_cold_pairs(cold, rule, few), "listed")
+    pairs = found.where("a is not null").select("a", "b")
+    grouped = linked(pairs.unionByName(_hot_few(hot, rule)) if any_hot else pairs)
+    lists = stored(cold.join(found.where("token is not null").select("token"), "token", "left_semi"), "lists")
+    while not lists.isEmpty():
+        few *= _STEP
+        found = stored(_cold_pairs(regrouped(lists), rule, few), "listed")
+        grouped = linked(found.where("a is not null").select("a", "b"))
+        lists = stored(lists.join(found.where("token is not null").select("token"), "token", "left_semi"), "lists")
+    if any_hot:
+        grouped = linked(_hot_pairs(regrouped(hot), rule))
+    final = grouped.select("high", "low", "doc", "root")
     smallest = final.groupBy("root").agg(F.min("doc").alias("component"))
     named = stored(final.join(smallest, "root").select("high", "low", "component"), "components")
 

@@ -83,6 +83,28 @@ def test_without_leaders_no_link_is_lost(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+def test_lists_of_near_copies_make_pairs_in_proportion(spark, monkeypatch):
+    """Of lists alone, without leaders: a group's members aren't all compared with each other."""
+    compared = []
+
+    def possible(pairs, classes, rule, whole=jaccard._possible):
+        compared.append(pairs.count())
+        return whole(pairs, classes, rule)
+
+    monkeypatch.setattr(jaccard, "_leaders", lambda classes: classes.limit(0).selectExpr("class a", "class b"))
+    monkeypatch.setattr(jaccard, "_possible", possible)
+    chance, made = random.Random(6), []
+    for copies in (150, 600):
+        rows = [(i, [f"w{k}" for k in range(60)]) for i in range(copies)]
+        for i, words in rows:
+            words[chance.randrange(60)] = f"x{i}"
+        rows = [(i, " ".join(words)) for i, words in rows]
+        compared.clear()
+        assert run(spark, rows) == brute(rows)
+        made.append(sum(compared))
+    assert made[1] < 8 * made[0] and made[1] < copies * (copies - 1) / 4
+
+
 def test_links_at_the_limit(spark):
     words = [f"w{i}" for i in range(13)]
     # 9 and 8 of 9 and 10 shingles: exactly 0.8 of the union, then just below.
